@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import quality, simhash, substring_dedup
+from . import packing, quality, simhash, substring_dedup, token_files
 
 
 def queries() -> dict:
     return {
         "op4_simhash_near_dedup": simhash.query,
+        "op5_packing": packing.query,
         "op8_substring_dedup": substring_dedup.query,
+        "op9_token_files": token_files.query,
         "op10_quality_perplexity": quality.query,
     }
 
