@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import packing, quality, simhash, substring_dedup, token_files
+from . import mixing, packing, quality, resharding, simhash, substring_dedup, token_files
 
 
 def queries() -> dict:
     return {
+        "op3_mixing": mixing.query,
         "op4_simhash_near_dedup": simhash.query,
         "op5_packing": packing.query,
+        "op6_resharding": resharding.query,
         "op8_substring_dedup": substring_dedup.query,
         "op9_token_files": token_files.query,
         "op10_quality_perplexity": quality.query,
@@ -16,4 +18,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mixing": mixing.ORACLE}
