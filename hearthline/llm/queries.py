@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, quality, resharding, simhash, substring_dedup, token_files
+from . import line_dedup, mixing, packing, quality, resharding, simhash, substring_dedup, token_files
 
 
 def queries() -> dict:
     return {
+        "op1_line_dedup": line_dedup.query,
         "op3_mixing": mixing.query,
         "op4_simhash_near_dedup": simhash.query,
         "op5_packing": packing.query,
@@ -18,4 +19,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.ORACLE}
+    return {"op1_line_dedup": line_dedup.ORACLE, "op3_mixing": mixing.ORACLE}
