@@ -5,10 +5,13 @@ sequence also starts in a document with a smaller id. Repeated windows merge int
 removal intervals.
 
 Only windows that can repeat are shuffled. Equal windows hold equal half-windows, so they
-share the smallest of their half-window hashes (the minimiser): pass one emits each run of
-equal minimisers once, Spark counts in how many documents each one occurs, and pass two
-emits the 128-bit hashes of just those windows whose minimiser two documents share. This
-loses no repeated window, and no group is ever gathered: both counts are pre-aggregated.
+share the smallest of their half-window hashes (the minimiser). Pass one emits each run of
+windows with one minimiser as one row, with a 128-bit hash of all the words that the run
+spans. Spark counts runs by minimiser and drops those that stand alone. Among equal runs, all
+but the first document's are removed whole; the first one stands for them. Only where a
+minimiser has several different runs, pass two emits the 128-bit hashes of the windows in the
+runs that stand for others, and Spark finds each window's first document. This loses no
+repeated window, copies by the thousand cost one run each, and every count is pre-aggregated.
 
 Defined results: a null text has no words; a null id neither removes nor is removed from;
 rows that repeat an id are each cut by the same rule and never by one another; an empty
@@ -17,6 +20,8 @@ table gives an empty result; other columns are kept.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,13 +31,34 @@ from . import bytewords as bw
 from .support import fresh_name, stash
 
 
-def _windows(words: bw.Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, the starts of all whole windows, and each one's minimiser."""
-    hashes, sub = words.hashes(), max(1, window // 2)
-    last = np.repeat(words.first[1:], words.counts) - window
-    starts = np.flatnonzero(np.arange(len(hashes)) <= last)
+@dataclass
+class _Runs:
+    """The windows of some texts and their runs: run k holds windows first[k]:last[k]."""
+
+    words: bw.Words
+    hashes: np.ndarray
+    starts: np.ndarray
+    text: np.ndarray
+    least: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    window: int
+
+    def spans(self, base: str) -> np.ndarray:
+        return bw.span_hash(self.hashes, self.starts[self.first], self.starts[self.last - 1] + self.window, base)
+
+    def windows(self, which: np.ndarray, base: str) -> np.ndarray:
+        at = self.starts[which]
+        return bw.span_hash(self.hashes, at, at + self.window, base)
+
+
+def _runs(buffer: np.ndarray, offsets: np.ndarray, window: int) -> _Runs:
+    words = bw.find_words(buffer, offsets)
+    hashes, sub, none = words.hashes(), max(1, window // 2), np.zeros(0, np.int64)
+    text = words.text_of()
+    starts = np.flatnonzero(np.arange(len(hashes)) <= words.first[1:][text] - window)
     if not len(starts):
-        return hashes, starts, np.zeros(0, np.uint64)
+        return _Runs(words, hashes, none, none, none.astype(np.uint64), none, none, window)
     at = np.arange(len(hashes) - sub + 1)
     least, width, target = bw.span_hash(hashes, at, at + sub, "word"), 1, window - sub + 1
     while width * 2 <= target:
@@ -40,79 +66,72 @@ def _windows(words: bw.Words, window: int) -> tuple[np.ndarray, np.ndarray, np.n
         width *= 2
     if width < target:
         least = np.minimum(least[: len(least) - (target - width)], least[target - width :])
-    return hashes, starts, least[starts]
+    least, text = least[starts], text[starts]
+    first = np.concatenate([[0], np.flatnonzero((least[1:] != least[:-1]) | (text[1:] != text[:-1])) + 1])
+    return _Runs(words, hashes, starts, text, least, first, np.append(first[1:], len(starts)), window)
+
 
+def _listed(runs_text: np.ndarray, values: np.ndarray, lists: pa.Array, row: int, rows: int) -> np.ndarray:
+    """Which values are in the list of their text; both sorted by text."""
+    hit, bounds = np.zeros(len(values), bool), np.searchsorted(runs_text, np.arange(rows + 1))
+    valid = np.asarray(lists.is_valid())
+    for d in range(rows):
+        a, b = bounds[d], bounds[d + 1]
+        if a < b and valid[row + d]:
+            hit[a:b] = np.isin(values[a:b], lists[row + d].values.to_numpy(zero_copy_only=False).view(np.uint64))
+    return hit
 
-def _minimisers(window: int):
+
+def _emit_runs(window: int):
     def run(batches):
         for batch in batches:
             ids = batch.column(0)
             for row, to, buffer, offsets in bw.chunks(batch):
-                words = bw.find_words(buffer, offsets)
-                _, starts, least = _windows(words, window)
-                if not len(starts):
-                    continue
-                text = words.text_of()[starts]
-                new = np.ones(len(starts), bool)
-                new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
-                yield pa.RecordBatch.from_arrays([ids.slice(row, to - row).take(pa.array(text[new])), pa.array(least[new].view(np.int64))], ["id", "m"])
+                r = _runs(buffer, offsets, window)
+                if len(r.first):
+                    columns = (r.least[r.first], r.spans("word"), r.spans("second"))
+                    yield pa.RecordBatch.from_arrays([ids.slice(row, to - row).take(pa.array(r.text[r.first])), *(pa.array(c.view(np.int64)) for c in columns)], ["id", "m", "g1", "g2"])
 
     return run
 
 
-def _suspects(window: int):
+def _emit_windows(window: int):
     def run(batches):
         for batch in batches:
-            ids, shared = batch.column(0), batch.column(2)
+            ids, lists = batch.column(0), batch.column(2)
             for row, to, buffer, offsets in bw.chunks(batch):
-                words = bw.find_words(buffer, offsets)
-                hashes, starts, least = _windows(words, window)
-                if not len(starts):
-                    continue
-                text = words.text_of()[starts]
-                bounds = np.searchsorted(text, np.arange(to - row + 1))
-                hit = np.zeros(len(starts), bool)
-                for d in range(to - row):
-                    a, b = bounds[d], bounds[d + 1]
-                    if a < b:
-                        hit[a:b] = np.isin(least[a:b], shared[row + d].values.to_numpy(zero_copy_only=False).view(np.uint64))
-                at = starts[hit]
-                one, two = (bw.span_hash(hashes, at, at + window, base).view(np.int64) for base in ("word", "second"))
-                yield pa.RecordBatch.from_arrays([ids.slice(row, to - row).take(pa.array(text[hit])), pa.array(one), pa.array(two)], ["id", "h1", "h2"])
+                r = _runs(buffer, offsets, window)
+                if len(r.first):
+                    asked = _listed(r.text[r.first], r.spans("word"), lists, row, to - row)
+                    which = np.flatnonzero(np.repeat(asked, r.last - r.first))
+                    columns = (r.windows(which, base).view(np.int64) for base in ("word", "second"))
+                    yield pa.RecordBatch.from_arrays([ids.slice(row, to - row).take(pa.array(r.text[which])), *map(pa.array, columns)], ["id", "h1", "h2"])
 
     return run
 
 
-def _cut(window: int, at_text: int, at_cuts: int, schema: pa.Schema):
+def _cut(window: int, text_name: str, at_cuts: int, added: pa.Schema):
     def run(batches):
         for batch in batches:
             cuts = batch.column(at_cuts)
-            valid = np.asarray(cuts.is_valid())
-            for row, to, buffer, offsets in bw.chunks(batch, batch.schema.names[at_text]):
-                words = bw.find_words(buffer, offsets, compact=True)
+            for row, to, buffer, offsets in bw.chunks(batch, text_name):
+                r = _runs(buffer, offsets, window)
+                hit = np.repeat(_listed(r.text[r.first], r.spans("word"), cuts, row, to - row), r.last - r.first)
+                hit |= _listed(r.text, r.windows(np.arange(len(r.starts)), "word"), cuts, row, to - row)
+                edge = np.zeros(len(r.hashes) + 1, np.int64)
+                edge[r.starts[hit]] += 1
+                edge[r.starts[hit] + window] -= 1
+                gone, first = np.cumsum(edge[:-1]) > 0, r.words.first
                 n, spans, kept = [], [], []
                 for d in range(to - row):
-                    a, b = words.first[d], words.first[d + 1]
-                    text = bytes(buffer[offsets[d] : offsets[d + 1]]).split()
-                    gone, ranges = np.zeros(b - a, bool), []
-                    if valid[row + d] and b - a >= window:
-                        lo, hi = words.starts[a], words.ends[b - 1]
-                        own = bw.Words(words.buffer[lo:hi], np.array([0, hi - lo]), words.starts[a:b] - lo, words.ends[a:b] - lo, np.array([0, b - a]))
-                        at = np.arange(b - a - window + 1)
-                        hashes = bw.span_hash(own.hashes(), at, at + window, "word")
-                        hit = np.isin(hashes, cuts[row + d].values.to_numpy(zero_copy_only=False).view(np.uint64))
-                        edge = np.zeros(b - a + 1, np.int64)
-                        edge[at[hit]] += 1
-                        edge[at[hit] + window] -= 1
-                        gone = np.cumsum(edge[:-1]) > 0
-                        turn = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-                        ranges = [{"start": int(x), "end": int(y)} for x, y in zip(turn[::2], turn[1::2])]
-                    n.append(int(gone.sum()))
-                    spans.append(ranges)
-                    kept.append(b" ".join(w for w, g in zip(text, gone) if not g) if ranges else b" ".join(text))
+                    text, own = bytes(buffer[offsets[d] : offsets[d + 1]]).split(), gone[first[d] : first[d + 1]]
+                    turn = np.flatnonzero(np.diff(own.astype(np.int8), prepend=0, append=0)) if own.any() else []
+                    n.append(int(own.sum()))
+                    spans.append([{"start": int(x), "end": int(y)} for x, y in zip(turn[::2], turn[1::2])])
+                    kept.append(b" ".join(w for w, g in zip(text, own.tolist()) if not g) if n[-1] else b" ".join(text))
                 part = batch.slice(row, to - row)
-                made = [pa.array(words.counts, pa.int64()), pa.array(n, pa.int64()), pa.array(spans, schema.field("removed_spans").type), pa.array(kept, pa.binary()).cast(pa.string())]
-                yield pa.RecordBatch.from_arrays([c for k, c in enumerate(part.columns) if k != at_cuts] + made, schema=pa.schema([f for k, f in enumerate(part.schema) if k != at_cuts] + list(schema)))
+                made = [pa.array(r.words.counts, pa.int64()), pa.array(n, pa.int64()), pa.array(spans, added.field("removed_spans").type), pa.array(kept, pa.binary()).cast(pa.string())]
+                yield pa.RecordBatch.from_arrays([c for k, c in enumerate(part.columns) if k != at_cuts] + made, schema=pa.schema([f for k, f in enumerate(part.schema) if k != at_cuts] + list(added)))
 
     return run
 
@@ -125,18 +144,22 @@ def remove_repeated_windows(docs: DataFrame, window: int = 50, id_col: str = "do
         docs = docs.drop(*clash)
     id_type = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull())
-    runs = stash(slim.mapInArrow(_minimisers(window), f"id {id_type}, m long"))
-    shared = runs.groupBy("m").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("m")
-    hits = runs.join(shared, "m").groupBy("id").agg(F.collect_set("m").alias("shared"))
-    found = stash(slim.join(hits, "id").select("id", "text", "shared").mapInArrow(_suspects(window), f"id {id_type}, h1 long, h2 long"))
-    repeated = found.groupBy("h1", "h2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h1", "h2", "lo")
+    runs = stash(slim.mapInArrow(_emit_runs(window), f"id {id_type}, m long, g1 long, g2 long"))
+    several = runs.groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m")
+    runs = stash(runs.join(several, "m", "left_semi"))
+    firsts = stash(runs.groupBy("m", "g1", "g2").agg(F.min("id").alias("lo")))
+    differ = firsts.groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m")
+    asked = firsts.join(differ, "m", "left_semi").groupBy(F.col("lo").alias("id")).agg(F.collect_set("g1").alias("asked"))
+    found = stash(slim.join(asked, "id").select("id", "text", "asked").mapInArrow(_emit_windows(window), f"id {id_type}, h1 long, h2 long"))
+    earliest = found.groupBy("h1", "h2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h1", "h2", "lo")
+    late_windows = found.join(earliest, ["h1", "h2"]).where("id > lo").select("id", F.col("h1").alias("cut"))
+    late_runs = runs.join(firsts, ["m", "g1", "g2"]).where("id > lo").select("id", F.col("g1").alias("cut"))
     cuts_name = fresh_name(docs, "cuts")
-    cuts = found.join(repeated, ["h1", "h2"]).where("id > lo").groupBy(F.col("id").alias(fresh_name(docs, "cut_id"))).agg(F.collect_set("h1").alias(cuts_name))
-    cuts = stash(cuts)
+    cuts = stash(late_windows.union(late_runs).groupBy(F.col("id").alias(fresh_name(docs, "cut_id"))).agg(F.collect_set("cut").alias(cuts_name)))
     joined = docs.join(cuts, docs[id_col] == cuts[cuts.columns[0]], "left").select(*[docs[c] for c in docs.columns], cuts[cuts_name])
     added = pa.schema([("n_words", pa.int64()), ("n_removed", pa.int64()), ("removed_spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept_text", pa.string())])
     ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + ["n_words long, n_removed long, removed_spans array<struct<start: long, end: long>>, kept_text string"])
-    return joined.mapInArrow(_cut(window, docs.columns.index(text_col), len(docs.columns), added), ddl)
+    return joined.mapInArrow(_cut(window, text_col, len(docs.columns), added), ddl)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
