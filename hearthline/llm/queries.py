@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, packing, quality, resharding, simhash, substring_dedup, token_files
+from . import language_model, line_dedup, mixing, packing, quality, resharding, simhash, substring_dedup, token_files
 
 
 def queries() -> dict:
     return {
         "op1_line_dedup": line_dedup.query,
+        "op2_pitman_yor": language_model.query,
         "op3_mixing": mixing.query,
         "op4_simhash_near_dedup": simhash.query,
         "op5_packing": packing.query,
