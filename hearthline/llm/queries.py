@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language_model, line_dedup, mixing, packing, quality, resharding, simhash, substring_dedup, token_files
+from . import language_model, line_dedup, mixing, packing, quality, resharding, search, simhash, substring_dedup, token_files
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op4_simhash_near_dedup": simhash.query,
         "op5_packing": packing.query,
         "op6_resharding": resharding.query,
+        "op7_topk_search": search.query,
         "op8_substring_dedup": substring_dedup.query,
         "op9_token_files": token_files.query,
         "op10_quality_perplexity": quality.query,
