@@ -1,10 +1,54 @@
-"""The training-data pipeline: five stages over ``documents``, each written and read again."""
+"""The training-data pipeline over ``documents``: rules and perplexity, line dedup, near-duplicate
+removal, mixing, packing. Each stage works on what the one before it left.
+
+Stages but the last return the columns of ``documents``; line dedup rewrites text and n_chars and
+lets go of documents of which no line stays; mixing may return a document more than once.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hearthline.llm import line_dedup, mixing, packing, quality, simhash
+from hearthline.llm.support import documents, stash
+from hearthline.llm.tokens import default_tokenizer
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.assess(docs).where("kept").select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = line_dedup.dedup_lines(docs).where("n_removed = 0 or kept_text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
+    cut = cut.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.char_length("text").cast("long"))
+    return cut.select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one_of_each_group(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs, entropy_share=0.95).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, default_tokenizer())
+
+
+STAGES = [
+    ("quality rules", keep_good),
+    ("line dedup", drop_repeated_lines),
+    ("SimHash near-dedup", drop_near_copies),
+    ("mixing to target weights", mix_sources),
+    ("packing", pack_sequences),
+]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for _, stage in STAGES[:-1]:
+        docs = stash(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
