@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .values import lookup
+from .values import lookup, staged
 
 # Abbreviations of street suffixes.
 SUFFIXES = {
@@ -74,20 +74,20 @@ def address_hash(street: Column, unit: Column, city: Column, state: Column, zip_
 def standardise(df: DataFrame, source: str, out: str = "parsed_address") -> DataFrame:
     """Add struct column ``out``: street, unit, city, state, zip_code, address_hash; null if unreadable."""
     keep = [c for c in df.columns if c != out]
-    df = df.select(*keep, tidy(F.coalesce(F.col(source), F.lit(""))).alias("_text"))
+    df = staged(df.select(*keep), {"_text": tidy(F.coalesce(F.col(source), F.lit("")))})
     tail = lambda k: F.regexp_extract("_text", _TAIL, k)
-    df = df.withColumns({"_segments": F.filter(F.transform(F.split(tail(1), ","), lambda x: F.trim(x)), lambda x: x != ""), "_state": tail(2), "_zip": tail(3)})
+    df = staged(df, {"_segments": F.filter(F.transform(F.split(tail(1), ","), lambda x: F.trim(x)), lambda x: x != ""), "_state": tail(2), "_zip": tail(3)})
     segments = F.col("_segments")
     line = F.when((F.size(segments) > 2) & F.get(segments, F.lit(0)).rlike(_LONE_UNIT), F.concat_ws(" ", F.get(segments, F.lit(1)), F.get(segments, F.lit(0)), F.array_join(F.slice(segments, 3, F.greatest(F.size(segments) - 3, F.lit(0))), " ")))
     rest = F.array_join(F.slice(segments, 1, F.greatest(F.size(segments) - 1, F.lit(0))), " ")
-    df = df.withColumns({"_line": F.trim(F.coalesce(line, rest)), "_city": F.try_element_at(segments, F.lit(-1))})
+    df = staged(df, {"_line": F.trim(F.coalesce(line, rest)), "_city": F.try_element_at(segments, F.lit(-1))})
     named = lambda k: F.regexp_extract("_line", _NAMED_UNIT, k)
     numbered = lambda k: F.regexp_extract("_line", _NUMBERED_UNIT, k)
     bare = lambda k: F.regexp_extract("_line", _BARE_UNIT, k)
     unit = F.when(named(1) != "", F.concat_ws(" ", lookup(UNITS, F.lower(named(2))), named(3))).when(numbered(1) != "", F.concat(F.lit("APT "), numbered(2))).when(bare(1) != "", bare(2)).otherwise("")
     street = F.when(named(1) != "", named(1)).when(numbered(1) != "", numbered(1)).when(bare(1) != "", bare(1)).otherwise(F.col("_line"))
-    df = df.withColumns({"_unit": unit, "_street": _street(street)})
+    df = staged(staged(df, {"_unit": unit, "_plain": street}), {"_street": _street(F.col("_plain"))})
     fields = [F.col(f"_{c}") for c in ("street", "unit", "city", "state", "zip")]
     whole = (F.size(segments) >= 2) & (F.col("_street") != "") & (F.col("_city") != "") & (F.col("_state") != "") & (F.col("_zip") != "")
     made = F.struct(*[f.alias(n) for f, n in zip(fields, ("street", "unit", "city", "state", "zip_code"))], address_hash(*fields).alias("address_hash"))
-    return df.select(*keep, F.when(whole, made).alias(out))
+    return staged(df, {out: F.when(whole, made)}).select(*keep, out)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import address
-from .values import money
+from .values import money, staged
 
 # Markup of listing and search pages.
 SEARCH_CONTAINER = "DesktopBlueprintSearchPage__pageContainer"
@@ -162,15 +162,15 @@ def raw_records(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     for k, candidate in enumerate(candidates):
         df = address.standardise(df.withColumn(f"_c{k}", candidate), f"_c{k}", f"_p{k}")
         tried.append(F.when(F.col(f"_p{k}").isNotNull(), F.col(f"_c{k}")))
-    df = df.withColumns({"address": F.coalesce(*tried), "status": status_text(html), "year_built": key_detail(html, "Year Built").try_cast("int"), "_js": embedded_events(html)})
+    df = staged(df.drop("address", "status", "year_built"), {"address": F.coalesce(*tried), "status": status_text(html), "year_built": key_detail(html, "Year Built").try_cast("int"), "_js": embedded_events(html)})
     history = F.when(F.size("_js") > 0, F.col("_js")).otherwise(row_events(html))
     code = F.when(listing_id(F.col("url")).isNull(), "InvalidListingUrl").when(F.col("address").isNull(), "AddressNotFound").when(F.col("status").isNull(), "StatusNotFound")
-    df = df.withColumn("_error", code)
+    df = staged(df, {"_error": code, "_history": history})
     good = df.where("_error is null").select(
         "url", listing_id(F.col("url")).alias("data_source_id"), "scraped_at", "address", page_zip(F.col("zip_code"), F.col("address")).alias("zip_code"),
         _number_and_unit(meta(html, "twitter:text:sqft"), "sqft").alias("area"), key_detail(html, "Property Type").alias("property_type"), lot_size(html).alias("lot_area"),
         meta(html, "twitter:text:beds").try_cast("double").alias("bedrooms"), meta(html, "twitter:text:baths").try_cast("double").alias("bathrooms"), "year_built", "status",
-        money(meta(html, "twitter:text:price")).cast("double").alias("price"), ready_to_build(html, F.col("year_built")).alias("ready_to_build"), "property_id", history.alias("history"), F.size(history).alias("history_count"),
+        money(meta(html, "twitter:text:price")).cast("double").alias("price"), ready_to_build(html, F.col("year_built")).alias("ready_to_build"), "property_id", F.col("_history").alias("history"), F.size("_history").alias("history_count"),
     )
     bad = df.where("_error is not null").select(F.sha2("url", 256).alias("record_key"), F.lit("page").alias("stage"), F.col("_error").alias("error_code"), F.lit("the page lacks a required field").alias("message"), F.col("url").alias("payload"))
     return good, bad

@@ -5,7 +5,7 @@ Naive wall times are Pacific; the session zone must be UTC. Bad text gives null,
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PACIFIC = "America/Los_Angeles"
@@ -15,6 +15,13 @@ AREA_UNITS = {"sqft": "SquareFeet", "squarefeet": "SquareFeet", "acres": "Acres"
 IN_SQUARE_FEET = {"SquareFeet": 1.0, "SquareMeter": 10.7639104167, "Acres": 43560.0}
 
 
+def staged(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` with columns that are computed once a row, here. Through a one-row generator the
+    optimiser neither repeats them in later expressions nor pushes tests on them into itself, so
+    chains of derived columns do not grow exponentially."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def lookup(values: dict[str, object], key: Column) -> Column:
     """A literal map as a column; a missing key gives null."""
     return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[key]

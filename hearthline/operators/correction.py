@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import classify
+from ..functions import classify, values
 from . import history
 
 NOTE = "ListRemoved (added by system correction), information maybe missing"
@@ -49,7 +49,7 @@ def rescan(properties: DataFrame, events: DataFrame, scanned: DataFrame) -> tupl
     fresh = scanned.select("property_id", F.explode("events").alias("e")).select("property_id", "e.*")
     merged = history.merge(events.drop("event_id"), fresh)
     mine = mine.join(history.as_arrays(merged), "property_id", "left").withColumn("history", F.coalesce("history", F.array().cast(f"array<{_event_type(merged)}>")))
-    mine = mine.withColumn("_s", classify.resolve_status(F.col("status_text"), F.col("history"), F.col("seen_at")))
+    mine = values.staged(mine, {"_s": classify.resolve_status(F.col("status_text"), F.col("history"), F.col("seen_at"))})
     bad = mine.where("_s.error is not null").select(F.col("property_id").alias("record_key"), F.lit("rescan").alias("stage"), F.col("_s.error").alias("error_code"), F.lit("no status for this banner").alias("message"), F.col("status_text").alias("payload"))
     mine = mine.where("_s.status is not null").withColumn("changed", ~F.col("_s.status").eqNullSafe(F.col("status")))
     price = F.when(F.col("changed") & (F.col("_s.status") == "Sold"), F.lit(None)).otherwise(F.col("price"))

@@ -69,10 +69,10 @@ def rejects(df: DataFrame, stage: str, code: Column) -> DataFrame:
 def parse(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Raw records (with record_key) to (properties with an ``events`` array, rejects)."""
     df = address.standardise(records, "address", "_address")
-    df = df.withColumns({"_type": classify.property_type(F.col("property_type")), "_seen": values.utc_time(F.col("scraped_at")), "_typed": typed_events(F.col("history"))})
-    df = df.withColumn("_events", sort_and_dedupe(F.col("_typed")))
-    df = df.withColumn("_status", classify.resolve_status(F.col("status"), F.col("_events"), F.col("_seen")))
-    df = df.withColumn("_error", first_error())
+    df = values.staged(df, {"_type": classify.property_type(F.col("property_type")), "_seen": values.utc_time(F.col("scraped_at")), "_typed": typed_events(F.col("history"))})
+    df = values.staged(df, {"_events": sort_and_dedupe(F.col("_typed"))})
+    df = values.staged(df, {"_status": classify.resolve_status(F.col("status"), F.col("_events"), F.col("_seen"))})
+    df = values.staged(df, {"_error": first_error()})
     last_price = F.try_element_at(F.col("_events"), F.lit(-1))["price"]
     source = F.struct(F.col("data_source_id").alias("source_id"), F.col("url").alias("source_url"), F.lit(SOURCE_NAME).alias("source_name"))
     good = df.where("_error is null").select(

@@ -198,7 +198,7 @@ def retention_newest_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.newest_n(table(spark, sf_dir, "events"), 1000)
 
 
-@registered("""SELECT c_custkey, unnest(range(1, len(l) + 1))::INT AS event_no, unnest(list_transform(l, x -> x.o_orderdate)) AS event_ts, unnest(list_transform(l, x -> x.o_orderkey)) AS order_id, len(l)::INT AS n_events
+@registered("""SELECT c_custkey, unnest(range(1, len(l) + 1))::INT AS event_no, unnest([x.o_orderdate for x in l]) AS event_ts, unnest([x.o_orderkey for x in l]) AS order_id, len(l)::INT AS n_events
 FROM (SELECT c_custkey, list({'o_orderdate': o_orderdate, 'o_orderkey': o_orderkey} ORDER BY o_orderdate, o_orderkey) AS l FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey)""")
 def nested_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
@@ -280,7 +280,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(f"""WITH p AS ({PROPERTIES_SQL}), e AS ({EVENTS_SQL})
 SELECT p.property_id, p.price, p.city, count(e.event_id) AS n_events, max(e.event_ts) AS last_event_ts FROM p LEFT JOIN e ON p.owner = e.property_id
-WHERE state = 'ASIA' AND status = 'O' AND (price IS NULL OR price = 0 OR price <= 150000) GROUP BY ALL""")
+WHERE state = 'ASIA' AND status = 'O' AND (p.price IS NULL OR p.price = 0 OR p.price <= 150000) GROUP BY ALL""")
 def active_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open listings of one state under a price, with the events of their owner's history."""
     p = query.Pattern(states=["ASIA"], statuses=["O"], price=(None, 150000))
