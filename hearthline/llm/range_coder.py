@@ -14,52 +14,47 @@ import zlib
 
 import numpy as np
 
-BLOCK = 4096
+BLOCK = 1024
 _TOTAL, _ZERO = 28, 24  # bits of the mixed and of the order-0 distribution
-_SLOTS1, _SLOTS2, _LEVELS = 2048, 4096, 8
+_SLOTS1, _SLOTS2, _LEVELS, _FULL = 256, 512, 8, 1 << _TOTAL
 _LOW48 = np.uint64((1 << 48) - 1)
 U = np.uint64
 
 
 class _Mixer:
-    """The models of all lanes."""
+    """The models of all lanes. A table cell holds a predicted id times 8 plus its confidence."""
 
     def __init__(self, lanes: int):
-        self.guess1, self.sure1 = np.zeros((lanes, _SLOTS1), np.int32), np.zeros((lanes, _SLOTS1), np.uint8)
-        self.guess2, self.sure2 = np.zeros((lanes, _SLOTS2), np.int32), np.zeros((lanes, _SLOTS2), np.uint8)
+        self.cells1, self.cells2 = np.zeros(lanes * _SLOTS1, np.int32), np.zeros(lanes * _SLOTS2, np.int32)
         start = (np.arange(_LEVELS) * 6000 + 2000).astype(np.int32)
         start[0] = 0
-        self.rate1, self.rate2 = np.tile(start, (lanes, 1)), np.tile(start, (lanes, 1))
+        self.rates1, self.rates2 = np.tile(start, lanes), np.tile(start, lanes)
         self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.flat = [t.reshape(-1) for t in (self.guess1, self.sure1, self.guess2, self.sure2, self.rate1, self.rate2)]
-        self.lane = np.arange(lanes)
+        lane = np.arange(lanes)
+        self.base1, self.base2, self.base_rate = lane * _SLOTS1, lane * _SLOTS2, lane * _LEVELS
 
     def predict(self, n: int):
         """Predictions and the ends of their intervals, for the first ``n`` lanes."""
-        one, two, lane = self.one[:n], self.two[:n], self.lane[:n]
-        guess1, sure1, guess2, sure2, rate1, rate2 = self.flat
-        self.at1 = lane * _SLOTS1 + ((one * 40503) & (_SLOTS1 - 1))
-        self.at2 = lane * _SLOTS2 + ((one * 40503 + two * 60493 + (two >> 5)) & (_SLOTS2 - 1))
-        self.p1, self.p2 = guess1[self.at1], guess2[self.at2]
-        self.k1, self.k2 = sure1[self.at1], sure2[self.at2]
-        self.r1, self.r2 = lane * _LEVELS + self.k1, lane * _LEVELS + self.k2
-        a = rate2[self.r2].astype(np.int64) << (_TOTAL - 16)
-        w = rate1[self.r1].astype(np.int64)
-        w[(self.p1 == self.p2) & (self.k2 > 0)] = 0
-        b = a + (((1 << _TOTAL) - a >> 16) * w)
+        one, two = self.one[:n] * 40503, self.two[:n]
+        self.at1 = (one & (_SLOTS1 - 1)) + self.base1[:n]
+        self.at2 = ((one + two * 60493 + (two >> 5)) & (_SLOTS2 - 1)) + self.base2[:n]
+        self.v1, self.v2 = self.cells1.take(self.at1, mode="clip"), self.cells2.take(self.at2, mode="clip")
+        self.k1, self.k2, self.p1, self.p2 = self.v1 & 7, self.v2 & 7, self.v1 >> 3, self.v2 >> 3
+        self.r1, self.r2 = self.base_rate[:n] + self.k1, self.base_rate[:n] + self.k2
+        self.q1, self.q2 = self.rates1.take(self.r1, mode="clip"), self.rates2.take(self.r2, mode="clip")
+        a = self.q2.astype(np.int64) << (_TOTAL - 16)
+        w = self.q1 * ((self.p1 != self.p2) | (self.k2 == 0))
+        b = a + ((_FULL - a >> 16) * w)
         np.minimum(b, (15 << _TOTAL) // 16, out=b)
         np.minimum(a, b, out=a)
         return a, b
 
     def learn(self, n: int, ids: np.ndarray) -> None:
-        guess1, sure1, guess2, sure2, rate1, rate2 = self.flat
-        for guess, sure, rate, at, p, k, r in ((guess2, sure2, rate2, self.at2, self.p2, self.k2, self.r2), (guess1, sure1, rate1, self.at1, self.p1, self.k1, self.r1)):
-            hit, known = p == ids, k > 0
-            old = rate[r]
-            rate[r] = np.where(known, old + (((hit.astype(np.int32) * 63000) - old) >> 4), 0)
-            drop = ~hit & (k <= 1)
-            guess[at] = np.where(drop, ids, p)
-            sure[at] = np.where(drop, 1, np.where(hit, np.minimum(k + 1, _LEVELS - 1), k >> 1))
+        fresh = (ids * 8 + 1).astype(np.int32)
+        for cells, rates, at, v, k, p, r, q in ((self.cells2, self.rates2, self.at2, self.v2, self.k2, self.p2, self.r2, self.q2), (self.cells1, self.rates1, self.at1, self.v1, self.k1, self.p1, self.r1, self.q1)):
+            hit = p == ids
+            rates[r] = (q + ((hit * 63000 - q) >> 4)) * (k > 0)
+            cells[at] = np.where(hit, v + (k < _LEVELS - 1), np.where(k <= 1, fresh, v - k + (k >> 1)))
         self.two[:n], self.one[:n] = self.one[:n], ids
 
 
@@ -98,7 +93,7 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes], list[i
         s = grid[t, :n]
         a, b = mixer.predict(n)
         hit2, hit1 = (mixer.p2 == s) & (mixer.k2 > 0) & (a > 0), (mixer.p1 == s) & (mixer.k1 > 0) & (b > a)
-        tail = (1 << _TOTAL) - b
+        tail = _FULL - b
         start, end = b + (cum[s] * tail >> _ZERO), b + (cum[s + 1] * tail >> _ZERO)
         start, end = np.where(hit1, a, start), np.where(hit1, b, end)
         start, end = np.where(hit2, 0, start), np.where(hit2, a, end)
@@ -121,17 +116,16 @@ def _put(out, used, who, words) -> None:
 
 def _settle(low, span, n, moved) -> None:
     """Move out the top 16 bits wherever they are settled or the range gets too narrow."""
-    who = np.arange(n)
-    while True:
+    lo, sp = low[:n], span[:n]
+    who = np.flatnonzero((((lo ^ (lo + sp)) >> U(48)) == 0) | (sp <= _LOW48))
+    while len(who):
         lo, sp = low[who], span[who]
         same = ((lo ^ (lo + sp)) >> U(48)) == 0
-        go = same | (sp <= _LOW48)
-        if not go.any():
-            return
-        who, lo, sp, same = who[go], lo[go], sp[go], same[go]
         sp = np.where(same, sp, (U(0) - lo) & _LOW48)
         moved(who, (lo >> U(48)).astype(np.uint16))
-        low[who], span[who] = lo << U(16), sp << U(16)
+        lo, sp = lo << U(16), sp << U(16)
+        low[who], span[who] = lo, sp
+        who = who[(((lo ^ (lo + sp)) >> U(48)) == 0) | (sp <= _LOW48)]
 
 
 def decode(present: np.ndarray, counts: np.ndarray, blocks: list[bytes], checks: list[int], n_ids: int) -> np.ndarray:
@@ -158,7 +152,7 @@ def decode(present: np.ndarray, counts: np.ndarray, blocks: list[bytes], checks:
         a, b = mixer.predict(n)
         r = span[:n] >> U(_TOTAL)
         v = np.minimum((code[:n] - low[:n]) // r, U((1 << _TOTAL) - 1)).astype(np.int64)
-        tail = (1 << _TOTAL) - b
+        tail = _FULL - b
         x = np.maximum(v - b, 0)
         s = np.minimum(np.searchsorted(cum, (((x + 1) << _ZERO) - 1) // tail, "right") - 1, len(present) - 1)
         start, end = b + (cum[s] * tail >> _ZERO), b + (cum[s + 1] * tail >> _ZERO)

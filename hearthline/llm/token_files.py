@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 
 from . import bytewords as bw
 from . import range_coder
-from .support import documents, scratch_dir, stash
+from .support import documents, scratch_dir, stash, tidy
 from .tokens import TokenCoder, default_tokenizer
 
-MAGIC, FILE_IDS = b"HLTOKEN1", 2048 * range_coder.BLOCK
+MAGIC, FILE_IDS = b"HLTOKEN1", 4096 * range_coder.BLOCK
 MANIFEST = "part int, seq int, path string, n_ids long, n_docs long, n_bytes long"
 
 
@@ -82,7 +82,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         if held:
             yield flush()
 
-    return run
+    return tidy(run)
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -101,6 +101,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str
     return spark.createDataFrame(rows, f"{MANIFEST}, start long")
 
 
+@tidy
 def _reader(batches):
     for batch in batches:
         for content, start in zip(batch.column(0), batch.column(1).to_pylist()):
