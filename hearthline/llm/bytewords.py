@@ -114,7 +114,7 @@ def find_words(buffer: np.ndarray, offsets: np.ndarray, lower: bool = False, com
     return Words(buffer, offsets, starts, ends, np.searchsorted(starts, offsets))
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(row from, row to, bytes, offsets) of runs of whole texts of about ``limit`` bytes."""
     buffer, offsets = raw_texts(batch.column(batch.schema.get_field_index(column)))
     row, rows = 0, len(offsets) - 1

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .support import documents, text_or_empty
+from .support import documents, give_back, text_or_empty
 from .tokens import TokenCoder, default_tokenizer
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, padding long, seed_doc_id long"
@@ -114,9 +114,12 @@ def _shard(tokenizer: str, end_id: int, length: int):
         raw, at = ids.astype("<u4").tobytes(), (bounds[doc] + start) * 4
         crc = [zlib.crc32(raw[a : a + 4 * n]) for a, n in zip(at.tolist(), size.tolist())]
         keys = pd.array(frame["id"], dtype="Int64")
-        return pd.DataFrame(
+        out = pd.DataFrame(
             {"doc_id": keys[doc], "start": start, "length": size, "ids_crc32": crc, "doc_tokens": np.diff(bounds)[doc], "sequence_id": (int(key[0]) << 32) + sequence, "offset": offset, "sequence_length": padded[sequence], "padding": (padded - used)[sequence], "seed_doc_id": keys[seed]}
         )
+        del ids, parts, raw, pieces, frame
+        give_back()
+        return out
 
     return run
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .support import documents, fresh_name, stash
+from .support import documents, fresh_name, stash, tidy
 
 
 def _fingerprints(shingle: int, text_name: str, name: str):
@@ -50,7 +50,7 @@ def _fingerprints(shingle: int, text_name: str, name: str):
             made = pa.array(np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, name])
 
-    return run
+    return tidy(run)
 
 
 def with_fingerprint(docs: DataFrame, shingle: int = 3, text_col: str = "text", name: str = "fingerprint") -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .support import fresh_name, stash
+from .support import fresh_name, stash, tidy
 
 
 @dataclass
@@ -92,7 +92,7 @@ def _emit_runs(window: int):
                     columns = (r.least[r.first], r.spans("word"), r.spans("second"))
                     yield pa.RecordBatch.from_arrays([ids.slice(row, to - row).take(pa.array(r.text[r.first])), *(pa.array(c.view(np.int64)) for c in columns)], ["id", "m", "g1", "g2"])
 
-    return run
+    return tidy(run)
 
 
 def _emit_windows(window: int):
@@ -107,7 +107,7 @@ def _emit_windows(window: int):
                     columns = (r.windows(which, base).view(np.int64) for base in ("word", "second"))
                     yield pa.RecordBatch.from_arrays([ids.slice(row, to - row).take(pa.array(r.text[which])), *map(pa.array, columns)], ["id", "h1", "h2"])
 
-    return run
+    return tidy(run)
 
 
 def _cut(window: int, text_name: str, at_cuts: int, added: pa.Schema):
@@ -133,7 +133,7 @@ def _cut(window: int, text_name: str, at_cuts: int, added: pa.Schema):
                 made = [pa.array(r.words.counts, pa.int64()), pa.array(n, pa.int64()), pa.array(spans, added.field("removed_spans").type), pa.array(kept, pa.binary()).cast(pa.string())]
                 yield pa.RecordBatch.from_arrays([c for k, c in enumerate(part.columns) if k != at_cuts] + made, schema=pa.schema([f for k, f in enumerate(part.schema) if k != at_cuts] + list(added)))
 
-    return run
+    return tidy(run)
 
 
 def remove_repeated_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
