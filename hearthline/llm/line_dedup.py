@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from .support import documents, fresh_name, stash
 
 BLANKS = " \t\r\x0b\x0c"
-CHUNK = 128
+CHUNK = 512
+BROADCAST_ROWS = 500_000  # about 100 MB
 
 
 def _layout(df: DataFrame) -> DataFrame:
@@ -38,7 +39,7 @@ def _layout(df: DataFrame) -> DataFrame:
     df = df.withColumn("m", m) if "c" in df.columns else df.withColumn("m", m).withColumn("c", F.explode(F.sequence(F.lit(0), m - 1)))
     before, behind = F.floor(F.col("c") * F.col("r") / F.col("m")).cast("int"), F.col("r") - F.floor((F.col("c") + 1) * F.col("r") / F.col("m")).cast("int")
     df = df.withColumn("before", before).withColumn("behind", behind)
-    outside = F.xxhash64("r", "c", F.substring("line", F.lit(1), F.col("before")), F.right(F.col("line"), F.col("behind")))
+    outside = F.xxhash64("r", "c", F.substring("line", F.lit(1), F.col("before")), F.substring("line", F.col("n") - F.col("behind") + 1, F.col("behind")))
     return df.withColumn("outside", outside)
 
 
@@ -49,13 +50,15 @@ def _differ(*columns: str) -> Column:
     return test
 
 
-def _near_lines(lines: DataFrame) -> DataFrame:
+def _near_lines(lines: DataFrame, places: DataFrame) -> DataFrame:
     """(h1, h2, keeper): for each distinct line with an earlier line within one edit, the first such occurrence."""
     cells = _layout(lines.select("h1", "h2", "line", "n", F.explode(F.array("n", F.col("n") + 1)).alias("r"))).select("h1", "h2", "r", "c", "outside")
     shared = cells.groupBy("outside").agg(_differ("h1", "h2").alias("many")).where("many").select("outside")
     cells = cells.join(shared, "outside").groupBy("h1", "h2").agg(F.collect_set(F.struct("r", "c")).alias("cells"))
-    firsts = lines.groupBy("h1", "h2").agg(F.min("at").alias("first"))
+    firsts = places.groupBy("h1", "h2").agg(F.min("at").alias("first"))
     asked = stash(cells.join(firsts, ["h1", "h2"]))
+    if asked.count() <= BROADCAST_ROWS:  # else the lines are shuffled to meet them
+        asked = F.broadcast(asked)
     suspects = lines.join(asked, ["h1", "h2"]).where(F.col("at").eqNullSafe(F.col("first"))).groupBy("h1", "h2").agg(F.first("line").alias("line"), F.first("n").alias("n"), F.first("first").alias("first"), F.first("cells").alias("cells"))
     suspects = stash(suspects)
     laid = _layout(suspects.select("h1", "h2", "line", "n", F.explode("cells").alias("x")).select("h1", "h2", "line", "n", "x.r", "x.c"))
@@ -82,9 +85,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 12, id_col: str = "doc_id", te
     split = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n")).alias("pos", "raw"))
     lines = split.select(F.struct("id", "th", "pos").alias("at"), F.btrim("raw", F.lit(BLANKS)).alias("line")).withColumn("n", F.char_length("line")).where(F.col("n") >= min_chars)
     lines = lines.select("at", "line", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
-    near = stash(_near_lines(lines))
-    firsts = lines.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("copies")).join(near, ["h1", "h2"], "left").where("copies > 1 or keeper is not null")
-    gone = lines.select("at", "h1", "h2").join(firsts, ["h1", "h2"]).where("keeper is not null or at > first")
+    places = stash(lines.select("at", "h1", "h2"))
+    near = stash(_near_lines(lines, places))
+    firsts = places.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("copies")).join(near, ["h1", "h2"], "left").where("copies > 1 or keeper is not null")
+    gone = places.join(firsts, ["h1", "h2"]).where("keeper is not null or at > first")
     names = [fresh_name(docs, c) for c in ("gone_id", "gone_th", "gone")]
     gone = stash(gone.groupBy(F.col("at.id").alias(names[0]), F.col("at.th").alias(names[1])).agg(F.collect_set("at.pos").alias(names[2])))
     joined = docs.join(gone, docs[id_col].eqNullSafe(gone[names[0]]) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == gone[names[1]]), "left")
