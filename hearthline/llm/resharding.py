@@ -5,7 +5,8 @@ old to new, where only moved bytes cost, is solved over the shards (a few hundre
 on the driver); Spark then realises it. An old shard's documents lie in a row of blocks, large
 documents first; the flow cuts the row into stretches, what stays first, and a document goes
 where its middle lies. So cuts fall among small documents, and new shards come out equal but
-for about one small document a cut. Blocks are (old shard, size class, hash) cells: no window
+for about one small document a cut. Shards whose content changes are then written anew, and the
+result is read from what was written. Blocks are (old shard, size class, hash) cells: no window
 spans a shard, and slots are block offsets plus a row number within the block.
 
 Defined results: null texts have no bytes (size 1); rows that repeat or have no id each take a
@@ -14,12 +15,13 @@ slot; a null source is one source; an empty table gives no rows; other columns d
 
 from __future__ import annotations
 
+import uuid
 from collections import deque
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .support import documents, stash, text_or_empty
+from .support import documents, fresh_name, scratch_dir, stash, text_or_empty
 
 
 def cheapest_flow(supply: list[int], capacity: list[int], cost) -> dict[tuple[int, int], int]:
@@ -74,12 +76,13 @@ def even_capacities(total: int, shards: int) -> list[int]:
     return [total // shards + (j < total % shards) for j in range(shards)]
 
 
-def assign(rows: DataFrame, shards: int = 16, capacities: list[int] | None = None, cells: int = 64) -> DataFrame:
-    """``rows`` (with old_shard from 0, size and any columns to keep) with shard and slot."""
+def assign(rows: DataFrame, shards: int = 16, capacities: list[int] | None = None, cells: int = 64, key: str | None = None) -> DataFrame:
+    """``rows`` (with old_shard from 0, size and any columns to keep) with shard and slot. The column
+    ``key``, if any, tells rows apart that are alike in all others and has no part in where they lie."""
     keys = ["old_shard", "class", "cell"]
-    ties = [F.col(c).asc_nulls_first() for c in rows.columns if c not in ("old_shard", "size")]
+    ties = [F.col(c).asc_nulls_first() for c in rows.columns if c not in ("old_shard", "size", key)] + ([F.col(key)] if key else [])
     rows = rows.withColumn("class", F.floor(F.log2("size") * 4).cast("int"))
-    rows = rows.withColumn("cell", F.pmod(F.xxhash64(*[c for c in rows.columns if c not in ("old_shard", "class")]), F.lit(cells)).cast("int"))
+    rows = rows.withColumn("cell", F.pmod(F.xxhash64(*[c for c in rows.columns if c not in ("old_shard", "class", key)]), F.lit(cells)).cast("int"))
     blocks = stash(rows.groupBy(*keys).agg(F.sum("size").alias("bytes")))
     old = {r["old_shard"]: r["n"] for r in blocks.groupBy("old_shard").agg(F.sum("bytes").alias("n")).collect()}
     supply = [old.get(i, 0) for i in range(max([*old, -1]) + 1)]
@@ -104,7 +107,10 @@ def assign(rows: DataFrame, shards: int = 16, capacities: list[int] | None = Non
 
 def rewrite_affected(docs: DataFrame, plan: DataFrame, path: str, id_col: str = "doc_id") -> list[int]:
     """Write, below ``path``, shard=N folders of the new shards whose content changed, in slot
-    order; returns the shards written. The old folders of all other shards stay in use as they are."""
+    order; returns the shards written. The old folders of all other shards stay in use as they are.
+    ``id_col`` must tell all rows apart."""
+    if plan.groupBy(id_col).count().where("count > 1").limit(1).count():
+        raise ValueError(f"{id_col} repeats: rows could not be told apart")
     moved = plan.where("old_shard <> shard")
     touched = sorted({r[0] for r in moved.select("shard").union(moved.select("old_shard")).distinct().collect()})
     rows = docs.join(plan.where(F.col("shard").isin(touched)).select(F.col(id_col).alias("plan_id"), "shard", "slot"), F.col(id_col).eqNullSafe(F.col("plan_id"))).drop("plan_id")
@@ -112,11 +118,24 @@ def rewrite_affected(docs: DataFrame, plan: DataFrame, path: str, id_col: str =
     return touched
 
 
+def reshard(docs: DataFrame, shards: int, path: str) -> DataFrame:
+    """Rewrite below ``path`` the shards of ``docs`` (with old_shard) that change; one row per row of
+    ``docs``, read from the written files, and from the old shards where these stay as they are."""
+    name, text = fresh_name(docs, "row_key"), text_or_empty()
+    facts = [(F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32")]
+    docs = stash(docs.withColumn(name, F.monotonically_increasing_id()))
+    plan = stash(assign(docs.select("doc_id", *facts, "old_shard", name), shards, key=name))
+    touched = rewrite_affected(docs, plan, path, name)
+    columns = ["doc_id", "size", "text_crc32", "shard", "slot", "old_shard"]
+    out = plan.where(~F.col("shard").isin(touched)).select(*columns)
+    if touched:
+        written = docs.sparkSession.read.schema(docs.drop(name).schema.add("shard", "integer").add("slot", "long")).parquet(path)
+        out = out.union(written.select("doc_id", *facts, "shard", "slot", "old_shard"))
+    return out
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """Documents lie in 16 old shards by a hash of their source, most of them in the hot one's."""
-    text = text_or_empty()
-    rows = documents(spark, sf_dir).select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.pmod(F.xxhash64("source"), F.lit(16)).cast("int").alias("old_shard")
-    )
-    out = assign(rows, 16)
+    docs = documents(spark, sf_dir).withColumn("old_shard", F.pmod(F.xxhash64("source"), F.lit(16)).cast("int"))
+    out = reshard(docs, 16, f"{scratch_dir(spark)}/shards-{uuid.uuid4().hex}")
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")

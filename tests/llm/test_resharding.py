@@ -64,3 +64,16 @@ def test_query_columns(spark):
     assert all((r["size"], r["text_crc32"]) == (len(text[r["doc_id"]]) + 1, zlib.crc32(text[r["doc_id"]])) for r in out)
     sizes = [sum(r["size"] for r in out if r["shard"] == k) for k in range(16)]
     assert max(sizes) - min(sizes) <= max(r["size"] for r in out)
+
+
+def test_rows_without_or_with_repeated_ids_are_rewritten_once(spark):
+    texts = [(None if k % 3 else k % 5, f"text {k} " * (k % 7)) for k in range(150)] + [(4, "same")] * 6 + [(None, None)] * 4
+    docs = spark.createDataFrame([(i, t, int(k % 10 == 0)) for k, (i, t) in enumerate(texts)], "doc_id long, text string, old_shard int")
+    path = f"{scratch_dir(spark)}/reshard-whole-{id(docs)}"
+    out = resharding.reshard(docs, 3, path).collect()
+    want = sorted(((i, len(t or "") + 1, zlib.crc32((t or "").encode())) for i, t in texts), key=repr)
+    assert sorted(((r.doc_id, r.size, r.text_crc32) for r in out), key=repr) == want
+    back = spark.read.parquet(path)
+    assert sorted(((r.doc_id, r.text) for r in back.collect()), key=repr) == sorted(texts, key=repr)
+    for k in range(3):
+        assert sorted(r.slot for r in out if r.shard == k) == list(range(sum(r.shard == k for r in out)))
