@@ -2,7 +2,9 @@
 
 A word is a run of bytes other than space and 0x09 to 0x0D. Texts are taken from Arrow
 columns without making Python strings; long batches are cut into chunks of whole texts so
-that memory stays bounded by the longest text.
+that memory stays bounded by the longest text. Words are hashed by random multipliers of
+their bytes, one for each place, and spans of words by Rabin-Karp modulo 2**61 - 1: neither
+has the periodic collisions of polynomials modulo 2**64.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ import pyarrow.compute as pc
 U64 = np.uint64
 _random = np.random.default_rng(20240229)
 _BYTE_VALUE = _random.integers(1, 2**63, 256, dtype=np.uint64)
-_BASES = {"byte": U64(0x9E3779B97F4A7C15), "word": U64(0xC2B2AE3D27D4EB4F), "second": U64(0xD6E8FEB86659FD93)}
+_BASES = {"word": 0x1A7C15F39CC0605C, "second": 0x0B86659FD93D6E8F}
+PRIME, _LOW61, _LOW31, _LOW30 = (1 << 61) - 1, U64((1 << 61) - 1), U64((1 << 31) - 1), U64((1 << 30) - 1)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -31,20 +34,53 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+_places = np.zeros(0, np.uint64)
+
+
+def _place_values(n: int) -> np.ndarray:
+    """Odd pseudo-random multipliers of the places 0 to ``n`` - 1, extended on demand."""
+    global _places
+    if len(_places) < n:
+        _places = mix(np.arange(1, max(n, 4096) + 1, dtype=np.uint64) * U64(0x9E3779B97F4A7C15)) | U64(1)
+    return _places
+
+
+def hash_bytes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes of spans that are not empty."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    sizes = ends - starts
+    first = np.cumsum(sizes) - sizes
+    every = np.arange(int(sizes.sum()))
+    place = every - np.repeat(first, sizes)
+    values = _BYTE_VALUE[buffer[np.repeat(starts, sizes) + place]] * _place_values(int(sizes.max()))[place]
+    return mix(np.add.reduceat(values, first) + sizes.astype(np.uint64) * U64(0xC2B2AE3D27D4EB4F))
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """Any 64-bit value modulo the prime."""
+    x = (x >> U64(61)) + (x & _LOW61)
+    return np.where(x >= _LOW61, x - _LOW61, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of values below it, by halves of 31 and 30 bits."""
+    ah, al, bh, bl = a >> U64(31), a & _LOW31, b >> U64(31), b & _LOW31
+    middle = ah * bl + al * bh
+    return _fold(ah * bh * U64(2) + (middle >> U64(30)) + ((middle & _LOW30) << U64(31)) + al * bl)
+
+
 class _Powers:
-    """Powers of an odd base modulo 2**64 and of its inverse, extended on demand."""
+    """Powers of a base and of its inverse modulo the prime, extended on demand."""
 
-    def __init__(self, base: np.uint64):
-        self.base, self.inverse, self.up, self.down = int(base), pow(int(base), -1, 2**64), None, None
+    def __init__(self, base: int):
+        self.bases, self.tables = (base, pow(base, -1, PRIME)), [np.ones(1, np.uint64)] * 2
 
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if self.up is None or len(self.up) < n:
-            size = max(n, 1 << 20)
-            for name, base in (("up", self.base), ("down", self.inverse)):
-                p = np.full(size, base, np.uint64)
-                p[0] = 1
-                setattr(self, name, np.cumprod(p))
-        return self.up[:n], self.down[:n]
+    def get(self, n: int) -> list[np.ndarray]:
+        while len(self.tables[0]) < n:
+            held = len(self.tables[0])
+            self.tables = [np.concatenate([t, _times(t, np.full(held, pow(b, held, PRIME), np.uint64))]) for t, b in zip(self.tables, self.bases)]
+        return self.tables
 
 
 _powers = {k: _Powers(v) for k, v in _BASES.items()}
@@ -54,10 +90,15 @@ def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: st
     """Rabin-Karp hashes of ``values[starts:ends]`` for every span, by one prefix sum."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, down = _powers[base].get(len(values))
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up, out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    n = len(values)
+    up, down = _powers[base].get(n)
+    terms = _times(_fold(values), up[:n])
+    low, high = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)  # halves, so that sums do not run over
+    np.cumsum(terms & _LOW31, out=low[1:])
+    np.cumsum(terms >> U64(31), out=high[1:])
+    high = _fold(high[ends] - high[starts])
+    total = _fold((high >> U64(30)) + ((high & _LOW30) << U64(31)) + (low[ends] - low[starts]))
+    return mix(_times(total, down[starts]) + ((ends - starts).astype(np.uint64) << U64(40)))
 
 
 @dataclass
@@ -78,7 +119,7 @@ class Words:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
     def hashes(self) -> np.ndarray:
-        return span_hash(_BYTE_VALUE[self.buffer], self.starts, self.ends, "byte")
+        return hash_bytes(self.buffer, self.starts, self.ends)
 
 
 def raw_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -200,7 +200,7 @@ def _line_copies(buffer: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     np.cumsum(~bw.SPACE[buffer], out=solid[1:])
     real = solid[ends] > solid[starts]
     text, starts, ends = text[real], starts[real], ends[real]
-    keys = bw.span_hash(bw._BYTE_VALUE[buffer], starts, ends, "byte") ^ bw.mix(text.astype(np.uint64) + np.uint64(1))
+    keys = bw.hash_bytes(buffer, starts, ends) ^ bw.mix(text.astype(np.uint64) + np.uint64(1))
     _, at = np.unique(keys, return_index=True)
     docs = len(offsets) - 1
     return np.bincount(text, minlength=docs) - np.bincount(text[at], minlength=docs)

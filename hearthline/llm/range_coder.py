@@ -65,6 +65,28 @@ def _order_zero(counts: np.ndarray) -> np.ndarray:
     return total * room // max(int(total[-1]), 1) + np.arange(len(total))
 
 
+_STEP = 5  # bits of an order-0 share within one cell of the finder
+
+
+class _Finder:
+    """The id that holds a value of the order-0 distribution: a table of cells, then a short search."""
+
+    def __init__(self, cum: np.ndarray):
+        self.cum = cum
+        self.cells = np.searchsorted(cum, np.arange(0, 1 << _ZERO, 1 << _STEP), "right").astype(np.int32) - 1
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        s = self.cells.take(x >> _STEP, mode="clip").astype(np.int64)
+        up = self.cum.take(s + 1, mode="clip") <= x
+        s += up
+        if up.any():
+            rest = np.flatnonzero(up)
+            rest = rest[self.cum[s[rest] + 1] <= x[rest]]
+            if len(rest):
+                s[rest] = np.searchsorted(self.cum, x[rest], "right") - 1
+        return s
+
+
 def _lanes(n: int) -> tuple[int, np.ndarray]:
     blocks = -(-n // BLOCK)
     sizes = np.full(blocks, BLOCK)
@@ -73,24 +95,34 @@ def _lanes(n: int) -> tuple[int, np.ndarray]:
     return blocks, sizes
 
 
+def _ranked(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(present ids, the rank of each id among them, their counts)."""
+    if not len(ids) or int(ids.max()) >= 1 << 24:
+        return np.unique(ids, return_inverse=True, return_counts=True)
+    counts = np.bincount(ids)
+    present = np.flatnonzero(counts)
+    rank = np.zeros(len(counts), np.int32)
+    rank[present] = np.arange(len(present))
+    return present.astype(ids.dtype), rank[ids], counts[present]
+
+
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes], list[int]]:
     """(present ids, their counts, each block's bytes, each block's CRC-32)."""
-    present, symbols, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    present, symbols, counts = _ranked(ids)
     lanes, sizes = _lanes(len(ids))
     if not lanes:
         return present, counts, [], []
     cum = _order_zero(counts)
-    grid = np.zeros((BLOCK, lanes), np.int64)
-    padded = np.zeros(lanes * BLOCK, np.int64)
+    padded = np.zeros(lanes * BLOCK, np.int32)
     padded[: len(ids)] = symbols
-    grid[:] = padded.reshape(lanes, BLOCK).T
+    grid = np.ascontiguousarray(padded.reshape(lanes, BLOCK).T)
     mixer = _Mixer(lanes)
     low, span = np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
     out, used = np.zeros((lanes, 2 * BLOCK + 8), np.uint16), np.zeros(lanes, np.int64)
 
     for t in range(int(sizes[0])):
         n = lanes if t < sizes[-1] else lanes - 1
-        s = grid[t, :n]
+        s = grid[t, :n].astype(np.int64)
         a, b = mixer.predict(n)
         hit2, hit1 = (mixer.p2 == s) & (mixer.k2 > 0) & (a > 0), (mixer.p1 == s) & (mixer.k1 > 0) & (b > a)
         tail = _FULL - b
@@ -134,6 +166,7 @@ def decode(present: np.ndarray, counts: np.ndarray, blocks: list[bytes], checks:
     if not lanes:
         return np.zeros(0, np.uint32)
     cum = _order_zero(counts)
+    find = _Finder(cum)
     words = np.zeros((lanes, max(len(b) for b in blocks) // 2 + 4), U)
     for k, block in enumerate(blocks):
         words[k, : len(block) // 2] = np.frombuffer(block, "<u2")
@@ -141,7 +174,7 @@ def decode(present: np.ndarray, counts: np.ndarray, blocks: list[bytes], checks:
     used = np.full(lanes, 4)
     mixer = _Mixer(lanes)
     low, span = np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
-    grid = np.zeros((BLOCK, lanes), np.int64)
+    grid = np.zeros((BLOCK, lanes), np.int32)
 
     def take(who, _):
         code[who] = (code[who] << U(16)) | words[who, np.minimum(used[who], words.shape[1] - 1)]
@@ -153,8 +186,7 @@ def decode(present: np.ndarray, counts: np.ndarray, blocks: list[bytes], checks:
         r = span[:n] >> U(_TOTAL)
         v = np.minimum((code[:n] - low[:n]) // r, U((1 << _TOTAL) - 1)).astype(np.int64)
         tail = _FULL - b
-        x = np.maximum(v - b, 0)
-        s = np.minimum(np.searchsorted(cum, (((x + 1) << _ZERO) - 1) // tail, "right") - 1, len(present) - 1)
+        s = find(np.minimum((((np.maximum(v - b, 0) + 1) << _ZERO) - 1) // tail, (1 << _ZERO) - 1))
         start, end = b + (cum[s] * tail >> _ZERO), b + (cum[s + 1] * tail >> _ZERO)
         hit2, hit1 = v < a, (v >= a) & (v < b)
         s = np.where(hit2, mixer.p2, np.where(hit1, mixer.p1, s))

@@ -2,15 +2,20 @@
 
 Old shards hold a number of bytes each; new shards have capacities. The cheapest flow from
 old to new, where only moved bytes cost, is solved over the shards (a few hundred at most, so
-on the driver); Spark then realises it. An old shard's documents lie in a row of blocks, large
-documents first; the flow cuts the row into stretches, what stays first, and a document goes
-where its middle lies. So cuts fall among small documents, and new shards come out equal but
-for about one small document a cut. Shards whose content changes are then written anew, and the
-result is read from what was written. Blocks are (old shard, size class, hash) cells: no window
-spans a shard, and slots are block offsets plus a row number within the block.
+on the driver); Spark then realises it. An old shard's documents have an order, large ones
+first (size class, cell, tag: a hash of id and text), which the flow cuts into stretches, what
+stays first; a document goes where its middle lies. So cuts fall among small documents, and new
+shards come out equal but for about one small document a cut. Cuts are found from the bytes of
+(old shard, class, cell) blocks and then, in the block of each cut alone, from its rows' tags.
+The cuts are a row for each pair of shards; every document is placed by comparing with them.
+
+Shards whose content changes are then written anew: texts are shuffled once, to buckets of their
+new shard, which number their rows. The result is read from the written files.
 
 Defined results: null texts have no bytes (size 1); rows that repeat or have no id each take a
-slot; a null source is one source; an empty table gives no rows; other columns do not matter.
+slot, and rows alike in id and text lie in one shard; a null old shard counts as the first;
+long texts are documents like others; of equal tags the order is of no account; an empty table
+gives no rows; other columns, whatever their names, are rewritten as they are.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ from collections import deque
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .support import documents, fresh_name, scratch_dir, stash, text_or_empty
+from .support import discard, documents, fresh_name, scratch_dir, shuffles_let_go, stash, text_or_empty
 
 
 def cheapest_flow(supply: list[int], capacity: list[int], cost) -> dict[tuple[int, int], int]:
@@ -76,64 +81,95 @@ def even_capacities(total: int, shards: int) -> list[int]:
     return [total // shards + (j < total % shards) for j in range(shards)]
 
 
-def assign(rows: DataFrame, shards: int = 16, capacities: list[int] | None = None, cells: int = 64, key: str | None = None) -> DataFrame:
-    """``rows`` (with old_shard from 0, size and any columns to keep) with shard and slot. The column
-    ``key``, if any, tells rows apart that are alike in all others and has no part in where they lie."""
-    keys = ["old_shard", "class", "cell"]
-    ties = [F.col(c).asc_nulls_first() for c in rows.columns if c not in ("old_shard", "size", key)] + ([F.col(key)] if key else [])
-    rows = rows.withColumn("class", F.floor(F.log2("size") * 4).cast("int"))
-    rows = rows.withColumn("cell", F.pmod(F.xxhash64(*[c for c in rows.columns if c not in ("old_shard", "class", key)]), F.lit(cells)).cast("int"))
-    blocks = stash(rows.groupBy(*keys).agg(F.sum("size").alias("bytes")))
-    old = {r["old_shard"]: r["n"] for r in blocks.groupBy("old_shard").agg(F.sum("bytes").alias("n")).collect()}
-    supply = [old.get(i, 0) for i in range(max([*old, -1]) + 1)]
-    flow = cheapest_flow(supply, capacities or even_capacities(sum(supply), shards), lambda i, j: int(i != j))
-    stretches, at = [], {}
+FIRST_TAG, BUCKET_BYTES, BUCKETS = -(1 << 63), 128 << 20, 4096
+
+
+def _stretches(flow: dict[tuple[int, int], int]) -> list[tuple[int, int, int]]:
+    """(old shard, new shard, bytes before): an old shard's bytes in turn, what stays first."""
+    out, at = [], {}
     for i, j in sorted(flow, key=lambda k: (k[0], k[0] != k[1], k[1])):
-        stretches.append((i, j, at.get(i, 0), at.get(i, 0) + flow[i, j]))
+        out.append((i, j, at.get(i, 0)))
         at[i] = at.get(i, 0) + flow[i, j]
-    spark = rows.sparkSession
-    cuts = spark.createDataFrame(stretches, "old_shard int, shard int, lo long, hi long")
-    row_of_blocks = Window.partitionBy("old_shard").orderBy(F.desc("class"), "cell").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("before", F.coalesce(F.sum("bytes").over(row_of_blocks), F.lit(0)))
-    inside = Window.partitionBy(*keys).orderBy(F.desc("size"), *ties).rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.join(blocks.select(*keys, "before"), keys).withColumn("end", F.col("before") + F.sum("size").over(inside))
-    middle = F.col("end") - F.col("size") + F.floor(F.col("size") / 2)
-    placed = placed.withColumn("middle", middle).join(F.broadcast(cuts), "old_shard").where("middle >= lo and middle < hi")  # one row for each pair of shards
-    counts = stash(placed.groupBy("shard", *keys).count())
-    offsets = counts.withColumn("first", F.sum("count").over(Window.partitionBy("shard").orderBy("old_shard", F.desc("class"), "cell")) - F.col("count")).drop("count")
-    number = F.row_number().over(Window.partitionBy(*keys, "shard").orderBy(F.desc("size"), *ties))
-    return placed.withColumn("number", number).join(offsets, ["shard", *keys]).withColumn("slot", (F.col("first") + F.col("number") - 1).cast("long")).drop("class", "cell", "before", "end", "middle", "lo", "hi", "first", "number")
-
-
-def rewrite_affected(docs: DataFrame, plan: DataFrame, path: str, id_col: str = "doc_id") -> list[int]:
-    """Write, below ``path``, shard=N folders of the new shards whose content changed, in slot
-    order; returns the shards written. The old folders of all other shards stay in use as they are.
-    ``id_col`` must tell all rows apart."""
-    if plan.groupBy(id_col).count().where("count > 1").limit(1).count():
-        raise ValueError(f"{id_col} repeats: rows could not be told apart")
-    moved = plan.where("old_shard <> shard")
-    touched = sorted({r[0] for r in moved.select("shard").union(moved.select("old_shard")).distinct().collect()})
-    rows = docs.join(plan.where(F.col("shard").isin(touched)).select(F.col(id_col).alias("plan_id"), "shard", "slot"), F.col(id_col).eqNullSafe(F.col("plan_id"))).drop("plan_id")
-    rows.repartition("shard", F.floor(F.col("slot") / 100_000)).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
-    return touched
-
-
-def reshard(docs: DataFrame, shards: int, path: str) -> DataFrame:
-    """Rewrite below ``path`` the shards of ``docs`` (with old_shard) that change; one row per row of
-    ``docs``, read from the written files, and from the old shards where these stay as they are."""
-    name, text = fresh_name(docs, "row_key"), text_or_empty()
-    facts = [(F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32")]
-    docs = stash(docs.withColumn(name, F.monotonically_increasing_id()))
-    plan = stash(assign(docs.select("doc_id", *facts, "old_shard", name), shards, key=name))
-    touched = rewrite_affected(docs, plan, path, name)
-    columns = ["doc_id", "size", "text_crc32", "shard", "slot", "old_shard"]
-    out = plan.where(~F.col("shard").isin(touched)).select(*columns)
-    if touched:
-        written = docs.sparkSession.read.schema(docs.drop(name).schema.add("shard", "integer").add("slot", "long")).parquet(path)
-        out = out.union(written.select("doc_id", *facts, "shard", "slot", "old_shard"))
     return out
 
 
+def _facts(id_col: str, text_col: str) -> list:
+    text = text_or_empty(text_col)
+    return [(F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(F.col(id_col), text).alias("tag")]
+
+
+def _place(cells: int):
+    """Where a document stands in its old shard: large ones first, then by cell and tag."""
+    return F.struct((-F.floor(F.log2("size") * 4)).cast("int").alias("class"), F.pmod("tag", F.lit(cells)).cast("int").alias("cell"), F.col("tag").alias("tag"))
+
+
+def find_cuts(rows: DataFrame, shards: int, capacities: list[int] | None = None, cells: int = 64) -> tuple[DataFrame, list[int]]:
+    """For ``rows`` (old_shard, size, tag): a row (old_shard, shard, lo, hi) for each stretch, its ends as
+    places, ``hi`` exclusive and null at the end; and the shards whose content changes."""
+    spark, keys = rows.sparkSession, ["old_shard", "class", "cell"]
+    placed = rows.select("old_shard", "size", _place(cells).alias("p")).select("old_shard", "size", "p.*")
+    blocks = stash(placed.groupBy(*keys).agg(F.sum("size").alias("bytes")))
+    old = {r["old_shard"]: r["n"] for r in blocks.groupBy("old_shard").agg(F.sum("bytes").alias("n")).collect()}  # a row a shard
+    supply = [old.get(i, 0) for i in range(max([*old, -1]) + 1)]
+    flow = cheapest_flow(supply, capacities or even_capacities(sum(supply), shards), lambda i, j: int(i != j))
+    starts = spark.createDataFrame(_stretches(flow), "old_shard int, shard int, start long")
+    row_of_blocks = Window.partitionBy("old_shard").orderBy("class", "cell").rowsBetween(Window.unboundedPreceding, 0)
+    edges = blocks.withColumn("end", F.sum("bytes").over(row_of_blocks)).join(F.broadcast(starts), "old_shard")
+    edges = stash(edges.where("start < end and start >= end - bytes").select(*keys, "shard", (F.col("start") - F.col("end") + F.col("bytes")).alias("need")))
+    inside = Window.partitionBy(*keys, "shard").orderBy("tag").rowsBetween(Window.unboundedPreceding, 0)
+    cut = placed.join(F.broadcast(edges.where("need > 0")), keys).withColumn("upto", F.sum("size").over(inside))  # the blocks of a cut, one a pair of shards
+    tags = cut.where("upto - size + floor(size / 2) >= need").groupBy(*keys, "shard").agg(F.min("tag").alias("first"))
+    tag = F.when(F.col("need") == 0, F.lit(FIRST_TAG)).otherwise(F.coalesce("first", F.lit((1 << 63) - 1)))
+    los = edges.join(tags, [*keys, "shard"], "left").select("old_shard", "shard", F.struct("class", "cell", tag.alias("tag")).alias("lo"))
+    order = {(i, j): k for k, (i, j, _) in enumerate(_stretches(flow))}
+    rank = spark.createDataFrame([(*k, v) for k, v in order.items()], "old_shard int, shard int, k int")
+    los = los.join(F.broadcast(rank), ["old_shard", "shard"])
+    cuts = stash(los.withColumn("hi", F.lead("lo").over(Window.partitionBy("old_shard").orderBy("k"))).drop("k"))
+    discard(blocks, edges)
+    return cuts, sorted({x for i, j in flow if i != j for x in (i, j)})
+
+
+def place_rows(rows: DataFrame, cuts: DataFrame, cells: int = 64) -> DataFrame:
+    """``rows`` (old_shard, size, tag and others) with ``shard``. The cuts have a row for each pair of shards."""
+    ends = cuts.select(F.col("old_shard").alias("from_shard"), "shard", "lo", "hi")
+    place = _place(cells)
+    here = (F.col("old_shard") == F.col("from_shard")) & (place >= F.col("lo")) & (F.col("hi").isNull() | (place < F.col("hi")))
+    return rows.join(F.broadcast(ends), here).drop("from_shard", "lo", "hi")
+
+
+def reshard(docs: DataFrame, shards: int, path: str, old_col: str = "old_shard", id_col: str = "doc_id", text_col: str = "text", cells: int = 64) -> DataFrame:
+    """Rewrite below ``path`` the shards of ``docs`` that change, with all their columns; returns (id, size,
+    text_crc32, shard, slot, old_shard), one row per row of ``docs``, read from the written files, and
+    from the old shards where these stay as they are."""
+    facts = _facts(id_col, text_col)
+    old_shard = F.coalesce(F.col(old_col), F.lit(0)).cast("int").alias("old_shard")
+    narrow = stash(docs.select(F.col(id_col).alias("id"), old_shard, *facts))
+    cuts, touched = find_cuts(narrow, shards, cells=cells)
+    total = narrow.agg(F.sum("size")).first()[0] or 0
+    buckets = min(BUCKETS, max(1, -(-total // (shards * BUCKET_BYTES))))
+    bucket = F.pmod(F.xxhash64("tag"), F.lit(buckets)).cast("int").alias("bucket")
+    placed = place_rows(narrow, cuts, cells)
+    counts = placed.groupBy("shard", bucket).count()
+    order = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # of at most BUCKETS rows
+    firsts = stash(counts.select("shard", "bucket", F.coalesce(F.sum("count").over(order), F.lit(0)).alias("first")))
+    number = Window.partitionBy("shard", "bucket").orderBy("tag")
+    slot = (F.col("first") + F.row_number().over(number) - 1).cast("long")
+    numbered = lambda df: df.withColumn("bucket", bucket).join(F.broadcast(firsts), ["shard", "bucket"]).withColumn("slot", slot)
+    columns = ["id", "size", "text_crc32", "shard", "slot", "old_shard"]
+    same = numbered(placed.where(~F.col("shard").isin(touched))).select(*columns)
+    if not touched:
+        return same.withColumnRenamed("id", id_col)
+    names = {c: fresh_name(docs, c) for c in ("shard", "slot", "from_shard")}
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), old_shard, *facts).drop("text_crc32")
+    moving = numbered(place_rows(whole, cuts, cells).where(F.col("shard").isin(touched)))
+    moving = moving.select("row.*", *[F.col(k).alias(v) for k, v in (("old_shard", names["from_shard"]), ("slot", names["slot"]), ("shard", names["shard"]))])
+    with shuffles_let_go(docs.sparkSession):
+        moving.write.option("compression", "zstd").partitionBy(names["shard"]).parquet(path)
+    written = docs.sparkSession.read.schema(moving.schema).parquet(path)
+    back = written.select(F.col(id_col).alias("id"), *facts[:2], F.col(names["shard"]).alias("shard"), F.col(names["slot"]).alias("slot"), F.col(names["from_shard"]).alias("old_shard"))
+    return same.union(back.select(*columns)).withColumnRenamed("id", id_col)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """Documents lie in 16 old shards by a hash of their source, most of them in the hot one's."""
     docs = documents(spark, sf_dir).withColumn("old_shard", F.pmod(F.xxhash64("source"), F.lit(16)).cast("int"))

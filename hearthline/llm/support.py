@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
-import gc
 import pickle
 import tempfile
-import time
 import uuid
 
 import numpy as np
@@ -16,34 +15,55 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that ``spark.checkpoint.dir`` names; a temporary one only in local mode."""
+    """The shared folder that ``spark.checkpoint.dir`` names, with its scheme; a temporary one only in local mode."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="hearthline-")
-    spark.sparkContext.setCheckpointDir(f"file://{made}")
-    return f"file://{made}"
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = f"file://{tempfile.mkdtemp(prefix='hearthline-')}"
+        spark.sparkContext.setCheckpointDir(named)
+    if "://" not in named:  # without a scheme, or the short form that Hadoop writes for file:///
+        path = spark._jvm.org.apache.hadoop.fs.Path(named)
+        uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+        named = f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}"
+    return named.rstrip("/")
+
+
+@contextlib.contextmanager
+def shuffles_let_go(spark: SparkSession):
+    """Queries run inside give their shuffle files back as they end."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
 def stash(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to a table in the shared scratch folder and read it back.
 
-    Cuts the lineage with data that survives a lost executor, keeps costly stages from
-    running twice, and lets Spark delete the shuffle files of what led here.
-    """
+    Cuts the lineage with data that survives a lost executor, and keeps costly stages from
+    running twice; the shuffle files of what led here go at once."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/table-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    for _ in range(2):  # the listeners let go of a finished query a moment later
-        time.sleep(0.2)
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    with shuffles_let_go(spark):
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stash`` made, once nothing to come reads them."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def give_back() -> None:

@@ -12,7 +12,6 @@ repeat an id all appear, ordered by their text's hash; an empty table writes no
 
 from __future__ import annotations
 
-import pickle
 import struct
 import uuid
 import zlib
@@ -27,27 +26,43 @@ from . import range_coder
 from .support import documents, scratch_dir, stash, tidy
 from .tokens import TokenCoder, default_tokenizer
 
-MAGIC, FILE_IDS = b"HLTOKEN1", 4096 * range_coder.BLOCK
+MAGIC, FILE_IDS = b"HLTOKEN2", 4096 * range_coder.BLOCK
 MANIFEST = "part int, seq int, path string, n_ids long, n_docs long, n_bytes long"
 
 
+_HEADER = "<IIQQQ"  # sizes of the packed and of the unpacked columns, ids, blocks, documents
+
+
 def file_bytes(ids: np.ndarray, doc_ids: np.ndarray, no_id: np.ndarray, lengths: np.ndarray) -> bytes:
-    """One file: magic, header length and CRC-32, header, then the blocks."""
+    """One file: magic, CRC-32 of the header, header, then the blocks. The header has its counts, then,
+    compressed, little-endian columns: the number of distinct ids, these, their counts, sizes and
+    checksums of the blocks, document ids, which have none, and lengths."""
     present, counts, blocks, checks = range_coder.encode(ids)
-    header = zlib.compress(pickle.dumps((len(ids), present, counts, [len(b) for b in blocks], checks, doc_ids, no_id, lengths), protocol=5), 1)
-    return MAGIC + struct.pack("<II", len(header), zlib.crc32(header)) + header + b"".join(blocks)
+    columns = (np.array([len(present)], "<u8"), present.astype("<u4"), counts.astype("<u8"), np.array([len(b) for b in blocks], "<u4"), np.array(checks, "<u4"), doc_ids.astype("<i8"), no_id.astype("u1"), lengths.astype("<u8"))
+    raw = b"".join(c.tobytes() for c in columns)
+    packed = zlib.compress(raw, 1)
+    header = struct.pack(_HEADER, len(packed), len(raw), len(ids), len(blocks), len(doc_ids)) + packed
+    return MAGIC + struct.pack("<I", zlib.crc32(header)) + header + b"".join(blocks)
 
 
 def file_contents(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(ids, document ids, which have none, how many ids of each document are here)."""
-    size, check = struct.unpack_from("<II", data, 8)
-    header = data[16 : 16 + size]
-    if data[:8] != MAGIC or zlib.crc32(header) != check:
-        raise ValueError("not a token file, or its header is damaged")
-    n, present, counts, sizes, checks, doc_ids, no_id, lengths = pickle.loads(zlib.decompress(header))
-    ends = 16 + size + np.cumsum(sizes)
-    blocks = [data[e - s : e] for e, s in zip(ends.tolist(), sizes)]
-    return range_coder.decode(present, counts, blocks, checks, n), doc_ids, no_id, lengths
+    start = len(MAGIC) + 4
+    body = start + struct.calcsize(_HEADER)
+    if len(data) < body or data[: len(MAGIC)] != MAGIC:
+        raise ValueError("not a token file")
+    packed, size, n, blocks, docs = struct.unpack_from(_HEADER, data, start)
+    if zlib.crc32(data[start : body + packed]) != struct.unpack_from("<I", data, len(MAGIC))[0]:
+        raise ValueError("the header is damaged")
+    raw, at, columns = zlib.decompress(data[body : body + packed], bufsize=size), 8, []
+    distinct = int(np.frombuffer(raw, "<u8", 1)[0])
+    for kind, count in (("<u4", distinct), ("<u8", distinct), ("<u4", blocks), ("<u4", blocks), ("<i8", docs), ("u1", docs), ("<u8", docs)):
+        columns.append(np.frombuffer(raw, kind, count, at))
+        at += columns[-1].nbytes
+    present, counts, sizes, checks, doc_ids, no_id, lengths = columns
+    ends = body + packed + np.cumsum(sizes.astype(np.int64))
+    pieces = [data[e - s : e] for e, s in zip(ends.tolist(), sizes.tolist())]
+    return range_coder.decode(present, counts.astype(np.int64), pieces, checks.tolist(), n), doc_ids.astype(np.int64), no_id.astype(bool), lengths.astype(np.int64)
 
 
 def _writer(folder: str, tokenizer: str, end_id: int):

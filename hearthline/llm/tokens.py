@@ -1,14 +1,18 @@
 """Token ids of whole texts from a public tokenizer file, one call a distinct word.
 
 The tokenizer drops white space before it cuts words, so the ids of a text are the ids of its
-blank-separated words in turn (a test compares both). Each worker encodes a word once and
-keeps its ids in sorted hash arrays, at most ``_KEPT`` words; texts become ids by lookup.
-Words of plain letters skip the general normaliser: for them it only lower-cases.
+blank-separated words in turn (a test compares both). Each worker keeps the ids of the words
+it met in sorted hash arrays; texts become ids by lookup, and the bytes of words with equal
+hashes are compared. New words gather in a small array; when the large one has over ``_KEPT``
+words, those that were not met again are let go. Words of plain letters skip the general
+normaliser: for them it only lower-cases.
 """
 
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 
@@ -28,6 +32,98 @@ def _byte_letters() -> dict[int, str]:
 _BYTE_LETTERS = _byte_letters()
 
 
+@dataclass
+class _Known:
+    """Words by sorted hash: where their ids lie in the pool and their bytes in ``raw``."""
+
+    keys: np.ndarray
+    at: np.ndarray
+    size: np.ndarray
+    pool: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    raw: np.ndarray
+    met: np.ndarray
+
+    @classmethod
+    def none(cls) -> _Known:
+        return cls.of(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8), None)
+
+    @classmethod
+    def of(cls, keys, starts, ends, buffer, encode) -> _Known:
+        raw = bytes(buffer) if len(starts) else b""
+        words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        ids = [encode(w.decode()) for w in words]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        long = np.fromiter(map(len, words), np.int64, len(words))
+        pool = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+        return cls(keys, np.cumsum(size) - size, size, pool, np.cumsum(long) - long, np.cumsum(long), np.frombuffer(b"".join(words), np.uint8), np.zeros(len(ids), bool))
+
+    def find(self, keys: np.ndarray, words: bw.Words) -> tuple[np.ndarray, np.ndarray]:
+        """The slot of each word, and whether it is there, with the same bytes."""
+        slot = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        if not len(self.keys):
+            return slot, np.zeros(len(keys), bool)
+        found = (self.keys[slot] == keys) & (self.ends[slot] - self.starts[slot] == words.ends - words.starts)
+        rows = np.flatnonzero(found)
+        size = (words.ends - words.starts)[rows]
+        differ = _gather(words.buffer, words.starts[rows], size) != _gather(self.raw, self.starts[slot[rows]], size)
+        if differ.any():
+            found[rows[np.searchsorted(np.cumsum(size), np.flatnonzero(differ), "right")]] = False
+        self.met[slot[found]] = True
+        return slot, found
+
+    def joined(self, other: _Known) -> _Known:
+        if not len(other.keys) or not len(self.keys):
+            return self if len(self.keys) else other
+        order = np.argsort(np.concatenate([self.keys, other.keys]), kind="stable")
+        both = lambda a, b: np.concatenate([a, b])[order]
+        pool, raw = len(self.pool), len(self.raw)
+        return _Known(both(self.keys, other.keys), both(self.at, other.at + pool), both(self.size, other.size), np.concatenate([self.pool, other.pool]), both(self.starts, other.starts + raw), both(self.ends, other.ends + raw), np.concatenate([self.raw, other.raw]), both(self.met, other.met))
+
+    def used(self) -> _Known:
+        """The words that were met again, or none if these are too many still."""
+        rows = np.flatnonzero(self.met)
+        if len(rows) > _KEPT // 2:
+            return _Known.none()
+        size, long = self.size[rows], (self.ends - self.starts)[rows]
+        return _Known(self.keys[rows], np.cumsum(size) - size, size, _gather(self.pool, self.at[rows], size), np.cumsum(long) - long, np.cumsum(long), _gather(self.raw, self.starts[rows], long), np.zeros(len(rows), bool))
+
+
+def _gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    first = np.cumsum(sizes) - sizes
+    return values[np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))]
+
+
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK[list(b".,;:!?")] = True
+
+
+def _pieces(words: bw.Words) -> bw.Words:
+    """Words cut where a mark follows a letter, as the tokenizer cuts them too. (It lower-cases as
+    well, but looks for its special tokens first: texts with their brackets are not lowered.)"""
+    cuts = np.flatnonzero(_LETTER[words.buffer[:-1]] & _MARK[words.buffer[1:]]) + 1
+    if not len(cuts):
+        return words
+    at = np.zeros((2, len(words.buffer) + 1), bool)
+    at[0, words.starts], at[1, words.ends], at[:, cuts] = True, True, True
+    starts = np.flatnonzero(at[0])
+    return bw.Words(words.buffer, words.offsets, starts, np.flatnonzero(at[1]), np.searchsorted(starts, words.offsets))
+
+
+def _unlike(words: bw.Words, asked: bw.Words, inverse: np.ndarray) -> np.ndarray:
+    """The words whose bytes are not those of the word that stands for their hash."""
+    size = words.ends - words.starts
+    odd = size != (asked.ends - asked.starts)[inverse]
+    if odd.any():
+        size = np.where(odd, 0, size)
+    differ = _gather(words.buffer, words.starts, size) != _gather(words.buffer, asked.starts[inverse], size)
+    if differ.any():
+        odd[np.searchsorted(np.cumsum(size), np.flatnonzero(differ), "right")] = True
+    return np.flatnonzero(odd)
+
+
 class TokenCoder:
     _made: dict[str, TokenCoder] = {}
 
@@ -42,10 +138,7 @@ class TokenCoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tails: dict[str, list[int]] = {}
-        self._clear()
-
-    def _clear(self) -> None:
-        self.keys, self.at, self.size, self.pool = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.old, self.young = _Known.none(), _Known.none()
 
     def _general(self, word: str) -> list[int]:
         return self.tokenizer.encode(word, add_special_tokens=False).ids
@@ -65,30 +158,35 @@ class TokenCoder:
 
     def encode(self, words: bw.Words) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, how many ids each word has)."""
-        wanted, where, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        if not len(wanted):
+        keys, where, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        if not len(keys):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        if len(self.keys) > _KEPT:
-            self._clear()
-        slot = np.minimum(np.searchsorted(self.keys, wanted), max(len(self.keys) - 1, 0))
-        new = self.keys[slot] != wanted if len(self.keys) else np.ones(len(wanted), bool)
-        if new.any():
-            raw = bytes(words.buffer)
-            found = [self._word(raw[a:b].decode()) for a, b in zip(words.starts[where[new]].tolist(), words.ends[where[new]].tolist())]
-            size = np.array([len(x) for x in found], np.int64)
-            at = len(self.pool) + np.cumsum(size) - size
-            self.pool = np.concatenate([self.pool, np.array([i for x in found for i in x], np.uint32)])
-            keys = np.concatenate([self.keys, wanted[new]])
-            order = np.argsort(keys, kind="stable")
-            self.keys, self.at, self.size = keys[order], np.concatenate([self.at, at])[order], np.concatenate([self.size, size])[order]
-            slot = np.searchsorted(self.keys, wanted)
-        at, counts = self.at[slot][inverse], self.size[slot][inverse]
+        asked = bw.Words(words.buffer, words.offsets, words.starts[where], words.ends[where], words.first)
+        slot_old, in_old = self.old.find(keys, asked)
+        slot_young, in_young = self.young.find(keys, asked)
+        new = np.flatnonzero(~(in_old | in_young))
+        odd = _unlike(words, asked, inverse)  # words with the hash of another one: encoded on their own
+        fresh = _Known.of(keys[new], asked.starts[new], asked.ends[new], words.buffer, self._word)
+        rare = _Known.of(keys[inverse[odd]], words.starts[odd], words.ends[odd], words.buffer, self._word)
+        bases = np.cumsum([0, len(self.old.pool), len(self.young.pool), len(fresh.pool)])
+        at, size = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
+        for known, base, rows, slots in ((self.old, bases[0], np.flatnonzero(in_old), slot_old[in_old]), (self.young, bases[1], np.flatnonzero(in_young & ~in_old), slot_young[in_young & ~in_old]), (fresh, bases[2], new, np.arange(len(new)))):
+            at[rows], size[rows] = known.at[slots] + base, known.size[slots]
+        pool = np.concatenate([self.old.pool, self.young.pool, fresh.pool, rare.pool])
+        at, counts = at[inverse], size[inverse]
+        at[odd], counts[odd] = rare.at + bases[3], rare.size
         first = np.cumsum(counts) - counts
-        return self.pool[np.repeat(at - first, counts) + np.arange(int(counts.sum()))], counts
+        ids = pool[np.repeat(at - first, counts) + np.arange(int(counts.sum()))]
+        self.young = self.young.joined(fresh)
+        if len(self.young.keys) > _KEPT // 4:
+            self.old, self.young = self.old.joined(self.young), _Known.none()
+            if len(self.old.keys) > _KEPT:
+                self.old = self.old.used()
+        return ids, counts
 
     def encode_texts(self, buffer: np.ndarray, offsets: np.ndarray, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets of each text's ids), with ``end_id`` after each text."""
-        words = bw.find_words(buffer, offsets)
+        words = _pieces(bw.find_words(buffer, offsets, lower=b"<|" not in buffer.tobytes()))
         ids, counts = self.encode(words)
         total = np.zeros(len(counts) + 1, np.int64)
         np.cumsum(counts, out=total[1:])

@@ -1,5 +1,8 @@
 import itertools
+import math
+import os
 import random
+import uuid
 import zlib
 
 from pyspark.sql import functions as F
@@ -26,13 +29,15 @@ def test_flow_with_distances_beats_every_assignment():
     assert sum(cost[i][j] * v for (i, j), v in flow.items()) == min(sum(cost[i][p[i]] for i in range(3)) for p in itertools.permutations(range(3)))
 
 
-def plan_of(docs, shards):
-    rows = docs.select("doc_id", (F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("size"), F.pmod(F.hash("source"), F.lit(5)).alias("old_shard"))
-    return resharding.assign(rows, shards, cells=4)
+def reshard(spark, docs, shards, **kw):
+    path = f"{scratch_dir(spark)}/reshard-{uuid.uuid4().hex}"
+    return resharding.reshard(docs, shards, path, **kw), path
 
 
-def test_laws(docs, no_docs):
-    plan = plan_of(docs, 6).collect()
+def test_laws(spark, docs, no_docs):
+    docs = docs.withColumn("slot", F.lit("theirs")).withColumn("old_shard", F.when(F.col("source") != "src4", F.pmod(F.hash("source"), F.lit(5))))
+    out, path = reshard(spark, docs, 6, cells=4)
+    plan = out.collect()
     assert len(plan) == docs.count()
     by = {}
     for r in plan:
@@ -44,17 +49,42 @@ def test_laws(docs, no_docs):
     supply = [sum(r["size"] for r in plan if r["old_shard"] == i) for i in range(5)]
     surplus = sum(max(0, s - total / 6) for s in supply)
     assert abs(sum(r["size"] for r in plan if r["old_shard"] != r["shard"]) - surplus) <= 5 * largest
-    assert plan_of(no_docs, 6).count() == 0
+    back = spark.read.parquet(path)
+    assert set(docs.columns) <= set(back.columns) and back.where("slot = 'theirs'").count() == back.count()
+    assert reshard(spark, no_docs.withColumn("old_shard", F.lit(0)), 6)[0].count() == 0
+
+
+def brute_places(rows, cells, flow):
+    """Every row's shard: old shards' rows in order, cut by the flow."""
+    rows = sorted(rows, key=lambda r: (r["old_shard"], -math.floor(math.log2(r["size"]) * 4), r["tag"] % cells, r["tag"]))
+    out, at = [], {}
+    for r in rows:
+        i = r["old_shard"]
+        middle = at.get(i, 0) + r["size"] // 2
+        at[i] = at.get(i, 0) + r["size"]
+        own = [s for s in resharding._stretches(flow) if s[0] == i and s[2] <= middle]
+        out.append((r["tag"], own[-1][1]))
+    return sorted(out)
+
+
+def test_places_match_a_plain_walk(spark):
+    rng = random.Random(9)
+    rows = [{"old_shard": 0 if k % 3 else k % 4, "size": rng.choice([1, 2, 7, 60, 900, 3000]), "tag": rng.randrange(-(2**63), 2**63)} for k in range(500)]
+    table = spark.createDataFrame([(r["old_shard"], r["size"], r["tag"]) for r in rows], "old_shard int, size long, tag long")
+    cuts, touched = resharding.find_cuts(table, 5, cells=3)
+    got = sorted((r["tag"], r["shard"]) for r in resharding.place_rows(table, cuts, 3).collect())
+    supply = [sum(r["size"] for r in rows if r["old_shard"] == i) for i in range(4)]
+    flow = resharding.cheapest_flow(supply, resharding.even_capacities(sum(supply), 5), lambda i, j: int(i != j))
+    assert got == brute_places(rows, 3, flow) and touched == [0, 1, 2, 3, 4]
 
 
 def test_only_affected_shards_are_rewritten(spark):
-    docs = spark.createDataFrame([(k, "x" * 99, k % 3) for k in range(90)] + [(k, "x" * 99, 3) for k in range(90, 130)], "doc_id long, text string, old_shard int")
-    rows = docs.select("doc_id", (F.octet_length("text") + 1).cast("long").alias("size"), "old_shard")
-    plan = resharding.assign(rows, 5, [3000, 3000, 3000, 2000, 2000])
-    path = f"{scratch_dir(spark)}/reshard-test-{id(rows)}"
-    assert resharding.rewrite_affected(docs, plan, path) == [3, 4]
-    back = spark.read.parquet(path)
-    assert back.groupBy("shard").count().orderBy("shard").collect() == [(3, 20), (4, 20)]
+    docs = spark.createDataFrame([(k, "x" * 99, k % 3) for k in range(90)] + [(k, "x" * 99, 3) for k in range(90, 120)], "doc_id long, text string, old_shard int")
+    out, path = reshard(spark, docs.where("doc_id < 90 or doc_id >= 100"), 4)
+    assert {r["shard"] for r in spark.read.parquet(path).select("shard").distinct().collect()} == {0, 1, 2, 3}
+    out, path = reshard(spark, docs, 4)
+    assert out.where("old_shard <> shard").count() == 0 and out.count() == 120
+    assert not os.path.exists(path.removeprefix("file:"))
 
 
 def test_query_columns(spark):
