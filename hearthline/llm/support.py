@@ -111,3 +111,10 @@ def fresh_name(df: DataFrame, stem: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def refuse_clashes(df: DataFrame, names: list[str]) -> None:
+    """A column of the caller is never overwritten: one that is named as a result is an error."""
+    clash = sorted({c.lower() for c in df.columns} & set(names))
+    if clash:
+        raise ValueError(f"columns that the operator adds are there already: {', '.join(clash)}")
