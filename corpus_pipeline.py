@@ -16,7 +16,9 @@ from hearthline.llm.tokens import default_tokenizer
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.assess(docs).where("kept").select(*docs.columns)
+    own = {c: f"doc_{k}" for k, c in enumerate(docs.columns)}  # no column of the caller's can clash
+    judged = quality.assess(docs.withColumnsRenamed(own), own["lang"], own["text"], min_words=1)
+    return judged.where("kept").select(*[F.col(v).alias(c) for c, v in own.items()])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
