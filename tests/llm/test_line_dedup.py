@@ -1,6 +1,7 @@
 import random
 
 import duckdb
+import pytest
 
 from hearthline.llm import line_dedup
 
@@ -24,8 +25,8 @@ def brute(rows, least):
         kept = []
         for raw in (text or "").split("\n"):
             line = raw.strip(BLANKS)
-            if len(line) >= least:
-                if any(close(line, s) for s in seen):
+            if line:
+                if any(line == s or (min(len(line), len(s)) >= least and close(line, s)) for s in seen):
                     seen.append(line)
                     continue
                 seen.append(line)
@@ -49,7 +50,7 @@ def make(rng):
             for _ in range(rng.randrange(0, 3)):
                 line = edited(rng, line)
             lines.append(rng.choice(["", " ", "\t"]) + line + rng.choice(["", "\r"]))
-        lines += rng.choice([[], [""], ["short"], ["", "short", "short"]])
+        lines += rng.choice([[], [""], ["short"], ["", "short", "short"], ["1.", "2."]])
         rows.append((i, "\n".join(lines)))
     return rows + [(100, None), (101, ""), (None, bases[0]), (102, "ab" * 4000), (103, "ab" * 3999 + "a")]
 
@@ -58,7 +59,7 @@ def test_equals_brute_force(spark):
     for seed in (1, 2):
         rows = make(random.Random(seed))
         random.Random(seed).shuffle(rows)
-        docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, h1 string, n_lines int").repartition(3)
+        docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, h1 string, outsides int").repartition(3)
         got = {r.doc_id: r.kept_text for r in line_dedup.dedup_lines(docs).collect()}
         assert got == brute(rows, 12)
 
@@ -74,6 +75,19 @@ def test_rows_that_repeat_and_empty(spark, docs, no_docs):
     assert line_dedup.dedup_lines(no_docs).count() == 0
 
 
+def test_a_callers_column_is_never_overwritten(docs):
+    with pytest.raises(ValueError, match="n_lines"):
+        line_dedup.dedup_lines(docs.withColumn("N_lines", docs.id))
+
+
+def test_texts_meet_lines_by_shuffle_alike(spark, docs, monkeypatch):
+    small = docs.where("length(text) < 2000")
+    want = sorted(map(str, line_dedup.dedup_lines(small).collect()))
+    monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(line_dedup, "HOT", 1)
+    assert sorted(map(str, line_dedup.dedup_lines(small).collect())) == want
+
+
 def test_query_equals_plain_sql(spark):
     con = duckdb.connect()
     con.execute("create view documents as select * from '/root/testdata/sf0.001/documents.parquet'")
