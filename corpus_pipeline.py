@@ -22,9 +22,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = line_dedup.dedup_lines(docs).where("n_removed = 0 or kept_text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
-    cut = cut.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.char_length("text").cast("long"))
-    return cut.select(*docs.columns)
+    own = {c: f"doc_{k}" for k, c in enumerate(docs.columns)}
+    cut = line_dedup.dedup_lines(docs.withColumnsRenamed(own), id_col=own["doc_id"], text_col=own["text"])
+    cut = cut.where("n_removed = 0 or kept_text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
+    changed = F.col("n_removed") > 0  # texts without a removed line stay as they are, null ones too
+    new = {"text": F.when(changed, F.col("kept_text")).otherwise(F.col(own["text"])), "n_chars": F.when(changed, F.char_length("kept_text").cast("long")).otherwise(F.col(own["n_chars"]))}
+    return cut.select(*[new.get(c, F.col(v)).alias(c) for c, v in own.items()])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
