@@ -13,7 +13,9 @@ the document at the cut, which is left out.
 
 Defined results: a null source is the source ''; documents without words belong to whole
 epochs and to blocks that lie before the cut; rows that repeat count as rows and share an
-order key; sources without words have weight 0; an empty table gives no rows.
+order key; ties of key are ordered by id and length; sources without words have weight 0; long
+texts are counted whole; an empty table gives no rows; other columns are kept, and a column
+named mix raises ValueError.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .support import documents, stash
+from .support import documents, refuse_clashes, stash
 
 STEPS = 60
 
@@ -72,7 +74,7 @@ def source_weights(counts: DataFrame, budget_share: float = 1.0, entropy_share:
 def mix(docs: DataFrame, budget_share: float = 1.0, entropy_share: float | None = None, max_repeats: float | None = None, blocks: int = 256, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The chosen rows of ``docs``, once for each epoch that holds them, with struct column
     ``mix``: source, n_tokens, epoch, block_rank, order_key."""
-    docs = docs.drop(*[c for c in docs.columns if c.lower() == "mix"])
+    refuse_clashes(docs, ["mix"])
     words = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     source, ident = F.coalesce(F.col(source_col).cast("string"), F.lit("")), F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     tagged = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), words.alias("n"), source.alias("src"), ident.alias("ident")).withColumn("blk", F.pmod(_key(seed, F.col("ident")), F.lit(blocks)).cast("int"))

@@ -12,7 +12,9 @@ fingerprint; components come from alternating large and small stars on the links
 fingerprints, each round written to the shared scratch folder.
 
 Defined results: null or empty texts have fingerprint zero and link like any other; rows that
-repeat are one fingerprint; null ids take part but never name a component unless no id does.
+repeat are one fingerprint; null ids take part but never name a component unless no id does;
+bits set in just half of the shingles are not set; long texts are hashed whole; an empty table
+gives no rows; other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .support import documents, fresh_name, stash, tidy
+from .support import discard, documents, fresh_name, stash, tidy
 
 
 def _fingerprints(shingle: int, text_name: str, name: str):
@@ -93,7 +95,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b").select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y"))
-        edges = stash(small.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+        done, edges = edges, stash(small.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+        discard(done)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -108,14 +111,56 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col
     return prints.join(classes, "fp").select(F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "component_id")
 
 
-def keep_one_of_each_group(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their near-duplicate group; columns as given.
-    Of rows that repeat an id, one stays; rows without an id stay."""
-    groups = near_duplicates(docs, shingle, max_bits, id_col, text_col)
-    name = fresh_name(docs, "kept_id")
-    keep = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(name)).distinct()
-    kept = docs.join(keep, docs[id_col] == keep[name], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+def _similar(shingle: int, least: float):
+    """Of pairs (th, text, kept_text): the ``th`` whose word shingles have a Jaccard index of ``least`` or more."""
+
+    def shingles(batch, column):
+        out = []
+        for _, _, buffer, offsets in bw.chunks(batch, column):
+            w = bw.find_words(buffer, offsets, lower=True)
+            hashes = w.hashes()
+            for a, b in zip(w.first.tolist(), w.first[1:].tolist()):
+                n = min(shingle, b - a)
+                at = np.arange(a, b - n + 1) if n else np.zeros(0, np.int64)
+                out.append(set(bw.span_hash(hashes, at, at + n, "word").tolist()))
+        return out
+
+    def run(batches):
+        for batch in batches:
+            hit = [len(x & y) >= least * len(x | y) for x, y in zip(shingles(batch, "text"), shingles(batch, "kept_text"))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(hit, pa.bool_()))], ["th"])
+
+    return tidy(run)
+
+
+def keep_one_of_each_group(docs: DataFrame, shingle: int = 5, max_bits: int = 3, min_similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near copies, columns as given. In a component the text with the smallest id
+    (rows without an id last) stays; another goes if its shingles' similarity to that one is
+    ``min_similarity`` or more, so that texts that are only linked in a chain stay. Of equal texts one row
+    stays, the one with the smallest id; rows that are alike in id and text are one."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    first = F.struct(F.col("id").isNull().alias("none"), "id")  # rows without an id come last
+    prints = with_fingerprint(slim.withColumn("th", F.xxhash64(text)), shingle, name="fp").select("id", "th", "fp")
+    texts = stash(prints.groupBy("th").agg(F.first("fp").alias("fp"), F.min(first).alias("least"), F.count("*").alias("copies")))
+    roots = stash(components(links(texts.select("fp").distinct(), max_bits)))
+    texts = texts.join(roots, texts["fp"] == roots["node"], "left").select("th", "least", "copies", F.coalesce("root", "fp").alias("root"))
+    chosen = texts.groupBy("root").agg(F.min(F.struct("least", "th")).alias("best"), F.count("*").alias("members"))
+    texts = stash(texts.join(chosen, "root").select("th", F.col("least.id").alias("kept_id"), "copies", F.col("best.th").alias("kept_th"), "members"))
+    pairs = texts.where("members > 1 and th <> kept_th").select("th", "kept_th")
+    bodies = slim.select(F.xxhash64(text).alias("th"), "text")
+    needed = pairs.select("th").union(pairs.select("kept_th")).distinct()
+    bodies = stash(bodies.join(needed, "th", "left_semi").groupBy("th").agg(F.first(text).alias("text")))  # of equal texts one
+    both = pairs.join(bodies, "th").join(bodies.select(F.col("th").alias("kept_th"), F.col("text").alias("kept_text")), "kept_th")
+    gone = both.select("th", "text", "kept_text").mapInArrow(_similar(shingle, min_similarity), "th long")
+    keep = stash(texts.join(gone, "th", "left_anti").select("th", "kept_id", "copies"))
+    discard(texts, bodies, roots)
+    names = {c: fresh_name(docs, c) for c in ("th", "kept_id", "copies")}
+    keep = keep.select(*[F.col(k).alias(v) for k, v in names.items()])
+    same = (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == keep[names["th"]]) & docs[id_col].eqNullSafe(keep[names["kept_id"]])
+    kept = docs.join(keep, same)
+    alike = kept.where(F.col(names["copies"]) > 1).dropDuplicates([id_col, names["th"]])
+    return kept.where(F.col(names["copies"]) == 1).union(alike).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

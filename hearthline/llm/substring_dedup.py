@@ -14,8 +14,9 @@ runs that stand for others, and Spark finds each window's first document. This l
 repeated window, copies by the thousand cost one run each, and every count is pre-aggregated.
 
 Defined results: a null text has no words; a null id neither removes nor is removed from;
-rows that repeat an id are each cut by the same rule and never by one another; an empty
-table gives an empty result; other columns are kept.
+rows that repeat an id are each cut by the same rule and never by one another, so nothing
+ties; long texts are cut whole; an empty table gives an empty result; other columns are kept,
+and a column named as one of the results raises ValueError.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .support import fresh_name, stash, tidy
+from .support import discard, fresh_name, refuse_clashes, stash, tidy
 
 
 @dataclass
@@ -139,14 +140,13 @@ def _cut(window: int, text_name: str, at_cuts: int, added: pa.Schema):
 def remove_repeated_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with n_words, n_removed, removed_spans (word positions, end exclusive) and kept_text
     (kept words joined by one space)."""
-    clash = {"n_words", "n_removed", "removed_spans", "kept_text"} & {c.lower() for c in docs.columns}
-    if clash:
-        docs = docs.drop(*clash)
+    refuse_clashes(docs, ["n_words", "n_removed", "removed_spans", "kept_text"])
     id_type = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull())
     runs = stash(slim.mapInArrow(_emit_runs(window), f"id {id_type}, m long, g1 long, g2 long"))
     several = runs.groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m")
-    runs = stash(runs.join(several, "m", "left_semi"))
+    every, runs = runs, stash(runs.join(several, "m", "left_semi"))
+    discard(every)
     firsts = stash(runs.groupBy("m", "g1", "g2").agg(F.min("id").alias("lo")))
     differ = firsts.groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m")
     asked = firsts.join(differ, "m", "left_semi").groupBy(F.col("lo").alias("id")).agg(F.collect_set("g1").alias("asked"))
@@ -156,6 +156,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = 50, id_col: str = "do
     late_runs = runs.join(firsts, ["m", "g1", "g2"]).where("id > lo").select("id", F.col("g1").alias("cut"))
     cuts_name = fresh_name(docs, "cuts")
     cuts = stash(late_windows.union(late_runs).groupBy(F.col("id").alias(fresh_name(docs, "cut_id"))).agg(F.collect_set("cut").alias(cuts_name)))
+    discard(runs, firsts, found)
     joined = docs.join(cuts, docs[id_col] == cuts[cuts.columns[0]], "left").select(*[docs[c] for c in docs.columns], cuts[cuts_name])
     added = pa.schema([("n_words", pa.int64()), ("n_removed", pa.int64()), ("removed_spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept_text", pa.string())])
     ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + ["n_words long, n_removed long, removed_spans array<struct<start: long, end: long>>, kept_text string"])
