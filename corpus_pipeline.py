@@ -35,7 +35,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, entropy_share=0.95).select(*docs.columns)
+    own = {c: f"doc_{k}" for k, c in enumerate(docs.columns)}
+    mixed = mixing.mix(docs.withColumnsRenamed(own), entropy_share=0.95, id_col=own["doc_id"], text_col=own["text"], source_col=own["source"])
+    return mixed.select(*[F.col(v).alias(c) for c, v in own.items()])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
