@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify, values
+from ..functions.keys import event_id
 from . import history
 
+# Fixed value: the description of an added removal.
 NOTE = "ListRemoved (added by system correction), information maybe missing"
 
 
@@ -46,8 +48,9 @@ def rescan(properties: DataFrame, events: DataFrame, scanned: DataFrame) -> tupl
     """(changed properties, events after, rejects) for ``scanned``: property_id, status_text, seen_at,
     and an ``events`` array of typed events. Price and other attributes stay; a sale clears the price."""
     mine = properties.join(scanned.select("property_id", "status_text", "seen_at"), "property_id")
-    fresh = scanned.select("property_id", F.explode("events").alias("e")).select("property_id", "e.*")
-    merged = history.merge(events.drop("event_id"), fresh)
+    fresh = scanned.join(mine.select("property_id"), "property_id", "left_semi").select("property_id", F.explode("events").alias("e")).select("property_id", "e.*")
+    fresh = fresh.withColumn("event_id", event_id(F.col("property_id"))).select(*events.columns)
+    merged = history.merge(events, fresh)
     mine = mine.join(history.as_arrays(merged), "property_id", "left").withColumn("history", F.coalesce("history", F.array().cast(f"array<{_event_type(merged)}>")))
     mine = values.staged(mine, {"_s": classify.resolve_status(F.col("status_text"), F.col("history"), F.col("seen_at"))})
     bad = mine.where("_s.error is not null").select(F.col("property_id").alias("record_key"), F.lit("rescan").alias("stage"), F.col("_s.error").alias("error_code"), F.lit("no status for this banner").alias("message"), F.col("status_text").alias("payload"))
@@ -56,6 +59,7 @@ def rescan(properties: DataFrame, events: DataFrame, scanned: DataFrame) -> tupl
     rows = mine.withColumns({"price": price.cast("decimal(18,2)"), "status": F.col("_s.status"), "last_updated": F.col("seen_at")})
     withdrawn = rows.where("changed and status = 'ListRemoved'").select("property_id", "seen_at")
     added = system_events(removals_to_add(merged, withdrawn))
+    added = added.withColumn("event_id", event_id(F.col("property_id"))).select(*events.columns)
     return rows.select(*properties.columns), history.merge(merged, added), bad
 
 

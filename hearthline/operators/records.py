@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import address, classify, keys, values
-from ..schemas import SOURCE_NAME
+from ..schemas import EVENT, SOURCE_NAME
 from .history import sort_and_dedupe
 
 MESSAGES = {"VacantLandEncountered": "vacant land is skipped", "ReadyToBuildTagEncountered": "ready to build, not built"}
@@ -77,7 +77,7 @@ def parse(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     source = F.struct(F.col("data_source_id").alias("source_id"), F.col("url").alias("source_url"), F.lit(SOURCE_NAME).alias("source_name"))
     good = df.where("_error is null").select(
         "record_key",
-        F.coalesce("property_id", keys.property_id(F.col("_address.address_hash"))).alias("property_id"),
+        F.coalesce(values.blank_to_null(F.col("property_id")), keys.property_id(F.col("_address.address_hash"))).alias("property_id"),
         F.col("_address").alias("address"),
         F.col("_address.address_hash").alias("address_hash"),
         values.area(F.col("area")).alias("area"),
@@ -98,6 +98,15 @@ def parse(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, rejects(df.where("_error is not null"), "parse", F.col("_error"))
 
 
+def scans(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Raw records of stored properties to (record_key, property_id, status_text, seen_at, events; rejects).
+    Only status and history are read: withdrawn and sold pages leave most other fields out."""
+    df = records.withColumns({"_seen": values.utc_time(F.col("scraped_at")), "_typed": F.coalesce(typed_events(F.col("history")), F.array().cast(f"array<{EVENT}>"))})
+    df = df.withColumn("_error", F.when(F.col("status").isNull(), "InvalidPropertyDataType").when(F.col("_seen").isNull() | has_bad_event(F.col("_typed")), "Unexpected"))
+    good = df.where("_error is null").select("record_key", "property_id", F.col("status").alias("status_text"), F.col("_seen").alias("seen_at"), sort_and_dedupe(F.col("_typed")).alias("events"))
+    return good, rejects(df.where("_error is not null").drop("_typed"), "rescan", F.col("_error"))
+
+
 def property_rows(parsed: DataFrame) -> DataFrame:
     return parsed.drop("record_key", "events")
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.values import wall_time_to_utc
 from .history import newest_per_key
 
+# Fixed value: what the sort keys of history items begin with.
+HISTORY = "HISTORY#"
 NAIVE = r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
 
 
@@ -15,7 +17,7 @@ def time_zone_plan(items: DataFrame) -> DataFrame:
     """(pk, sk, new_sk, event_time, new_time, mismatch) of history rows whose key and attribute both
     hold naive Pacific times."""
     in_key = F.regexp_extract("sk", rf"#({NAIVE})(?:#|$)", 1)
-    naive = items.where((in_key != "") & F.col("event_time").rlike(f"^{NAIVE}$"))
+    naive = items.where(F.col("sk").startswith(HISTORY) & (in_key != "") & F.col("event_time").rlike(f"^{NAIVE}$"))
     new = F.date_format(wall_time_to_utc(F.col("event_time").try_cast("timestamp_ntz").cast("timestamp")), "yyyy-MM-dd'T'HH:mm:ssXXX")
     new = F.regexp_replace(new, "Z$", "+00:00")
     return naive.select("pk", "sk", F.replace(F.col("sk"), in_key, new).alias("new_sk"), "event_time", new.alias("new_time"), (in_key != F.col("event_time")).alias("mismatch"))
@@ -54,6 +56,9 @@ def keep_newest_metadata(rows: DataFrame, key: str = "property_id", order: list[
 
 
 def keys_with_time(items: DataFrame) -> DataFrame:
+    """Items whose sort key has a time as its third part; a table with repeated keys raises ValueError."""
+    if duplicate_groups(items, ["pk", "sk"]).limit(1).count():
+        raise ValueError("keys repeat: remove duplicates first")
     return items.where(F.size(F.split("sk", "#")) > 2)
 
 

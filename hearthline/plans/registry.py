@@ -223,7 +223,7 @@ def missing_from_scrape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return goals.missing_from_scrape(e, e.where("property_id % 2 = 0 and event_id % 4 <> 0"))
 
 
-def _raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers and their orders as raw records, some of them faulty by their key."""
     key = F.col("c_custkey")
     event = F.struct(F.date_format("o_orderdate", "MMM d, yyyy").alias("date"), F.when(F.col("o_orderkey") % 501 == 7, "Painted").when(F.col("o_orderstatus") == "F", "Sold (MLS)").when(F.col("o_orderstatus") == "P", "Pending").otherwise("Listed (Active)").alias("description"), F.col("o_totalprice").alias("price"), F.lit("MLS").alias("source"), F.col("o_orderkey").cast("string").alias("mlsNumber"))
@@ -242,7 +242,7 @@ def _raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT CASE WHEN k % 10 = 0 THEN 'ReadyToBuildTagEncountered' WHEN k % 10 = 1 THEN 'VacantLandEncountered' WHEN k % 10 = 2 THEN 'UnknownPropertyType' WHEN k % 10 = 3 THEN 'InvalidPropertyAddress' WHEN k % 10 = 4 THEN 'UnknownAreaUnit'
   WHEN k % 10 = 5 THEN 'MissingRequiredField' WHEN painted THEN 'Unexpected' WHEN k % 10 = 6 THEN 'UnknownPropertyStatus' ELSE 'parsed' END AS outcome, count(*) AS n FROM x GROUP BY 1""")
 def ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, bad = records.parse(_raw_records(spark, sf_dir))
+    good, bad = records.parse(raw_customers(spark, sf_dir))
     return good.select(F.lit("parsed").alias("outcome")).unionByName(bad.select(F.col("error_code").alias("outcome"))).groupBy("outcome").agg(F.count("*").alias("n"))
 
 
@@ -251,7 +251,7 @@ v AS (SELECT k, timezone('UTC', timezone('America/Los_Angeles', date_trunc('day'
 SELECT k::VARCHAR AS source_key, 'Active' AS status, CASE WHEN k % 2 = 0 THEN 500000.0 ELSE (SELECT arg_max(v.price, (v.event_ts, v.event_type, v.price, v.source_id)) FROM v WHERE v.k = k.k) END::DOUBLE AS price, (SELECT count(*) FROM v WHERE v.k = k.k) AS n_events FROM k""")
 def ingest_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed records upserted into an empty store, then upserted again: the second time changes nothing."""
-    good, _ = records.parse(_raw_records(spark, sf_dir))
+    good, _ = records.parse(raw_customers(spark, sf_dir))
     rows, happened = records.property_rows(good), records.event_rows(good)
     none = lambda df: df.where(F.lit(False))
     first = merge.upsert(none(rows), none(happened), rows, happened)
@@ -292,3 +292,6 @@ def active_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return active_with_history(spark, sf_dir)
+
+
+from . import listing_queries  # noqa: E402, F401  (registers its queries here)

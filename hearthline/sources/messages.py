@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.values import blank_to_null
 from ..schemas import RAW_KEYS, RAW_MESSAGE, URL_MESSAGE
 from .records import parse_lines
 
@@ -34,7 +35,7 @@ def url_messages(df: DataFrame, fields: str = "fields") -> tuple[DataFrame, Data
 
 
 def raw_messages(df: DataFrame, fields: str = "fields") -> tuple[DataFrame, DataFrame]:
-    """Six present fields (they may be empty); the payload is then read as a raw record."""
+    """Six present fields (they may be empty); the payload is then read as a raw record. An empty property id is none."""
     absent = F.lit(False)
     for name in RAW_MESSAGE:
         absent = absent | F.col(fields)[name].isNull()
@@ -42,7 +43,7 @@ def raw_messages(df: DataFrame, fields: str = "fields") -> tuple[DataFrame, Data
     other = [c for c in df.columns if c != fields]
     lines = good.select(*other, F.col(fields)["data"].alias("value"), F.col(fields)["propertyId"].alias("message_property_id"))
     records, broken = parse_lines(lines)
-    records = records.withColumn("property_id", F.coalesce("message_property_id", "property_id")).drop("message_property_id")
+    records = records.withColumn("property_id", F.coalesce(blank_to_null(F.col("message_property_id")), blank_to_null(F.col("property_id")))).drop("message_property_id")
     return records, bad.unionByName(broken)
 
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.values import utc_time
-from ..operators import merge, records
+from ..functions.values import blank_to_null, utc_time
+from ..operators import correction, merge, records
 from ..schemas import PROPERTIES, PROPERTY_EVENTS, SOURCE_NAME
 from . import tables
 from .records import file_range, parse_lines, read_lines
 
+ROUNDS = 4
+
 
 def archive_plan(records_: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records with data_source and scrape_date, the UTC day; rejects without an id or a time)."""
@@ -43,20 +45,32 @@ def backfill_store(spark: SparkSession, files: str, start: str, end: str, root:
 
 
 def store(spark: SparkSession, raw: DataFrame, root: str) -> DataFrame:
-    """Upsert raw records into the store, oldest observation of a property first; returns the rejects.
-
-    A property's observations are applied one a round, in order of time; daily scans need one round."""
-    from pyspark.sql import Window
-
-    parsed, bad = records.parse(raw)
-    order = Window.partitionBy("address_hash").orderBy("last_updated", "record_key")
-    parsed = parsed.withColumn("_round", F.row_number().over(order)).persist()
-    rounds = parsed.agg(F.max("_round")).first()[0] or 0
-    for k in range(1, rounds + 1):
-        now = parsed.where(F.col("_round") == k).drop("_round")
-        properties, events = tables.read(spark, root, "properties", PROPERTIES), tables.read(spark, root, "property_events", PROPERTY_EVENTS)
-        properties, events = merge.upsert(properties, events, records.property_rows(now), records.event_rows(now))
-        tables.write(properties, root, "properties")
-        tables.write(events, root, "property_events")
-    parsed.unpersist()
-    return bad
+    """Raw records into the store, oldest observation of a property first; returns the rejects.
+
+    A record whose property id is stored is a re-scan: it changes status, history and, on a sale, the
+    price. Others are upserted by address. A property's observations are applied one a round, in order
+    of time; daily scans need one round. Both tables are written after every ``ROUNDS`` rounds, events
+    first: ids are hashes of their content, so a run that is repeated after a crash between the two
+    writes leads to the same rows."""
+    raw = raw.withColumn("property_id", blank_to_null(F.col("property_id")))
+    read = lambda: (tables.read(spark, root, "properties", PROPERTIES), tables.read(spark, root, "property_events", PROPERTY_EVENTS))
+    properties, events = read()
+    stored = properties.select("property_id")
+    parsed, bad = records.parse(raw.join(stored, "property_id", "left_anti"))
+    scanned, unread = records.scans(raw.join(stored, "property_id", "left_semi"))
+    turn = lambda df, owner, time: df.withColumn("_round", F.row_number().over(Window.partitionBy(owner).orderBy(time, "record_key"))).persist()
+    parsed, scanned = turn(parsed, "address_hash", "last_updated"), turn(scanned, "property_id", "seen_at")
+    most = [df.agg(F.max("_round")).first()[0] or 0 for df in (parsed, scanned)]
+    rejected = bad.unionByName(unread)
+    for k in range(1, max(most) + 1):
+        if k <= most[0]:
+            now = parsed.where(F.col("_round") == k).drop("_round")
+            properties, events = merge.upsert(properties, events, records.property_rows(now), records.event_rows(now))
+        if k <= most[1]:
+            changed, events, odd = correction.rescan(properties, events, scanned.where(F.col("_round") == k))
+            properties, rejected = merge.overwrite(properties, changed), rejected.unionByName(odd)
+        if k % ROUNDS == 0 or k == max(most):
+            tables.write(events, root, "property_events")
+            tables.write(properties, root, "properties")
+            properties, events = read()
+    return rejected

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.classify import STATUS_TEXTS
 from ..functions.pages import raw_records
 from ..operators import history
 from ..schemas import PROPERTY_EVENTS
@@ -54,7 +55,7 @@ def pages_to_records(stream: DataFrame, pages: DataFrame, out: str, checkpoint:
         asked = urls.select(F.col("property_url").alias("url"), "property_id", F.col("scraped_at_utc").alias("scraped_at")).dropDuplicates(["url"])
         good, unread = raw_records(asked.join(pages.select("url", "html"), "url"))
         messages.to_raw_messages(good).write.mode("overwrite").json(f"{out}/batch={number}")
-        _log_rejects(bad.unionByName(unread), out, number)
+        _log_rejects(bad.unionByName(unread), f"{out.rstrip('/')}-log", number)  # beside the records, which stay readable as one folder
 
     return _start(stream, step, checkpoint, available_now)
 
@@ -66,7 +67,11 @@ def distinct_urls(discovered: DataFrame, rescanned: DataFrame) -> DataFrame:
 
 
 def rescan_messages(properties: DataFrame, states: list[str], statuses: list[str], now) -> DataFrame:
-    """A message for each property in scope, from its first source; properties without one are left out."""
+    """A message for each property in scope, from its first source; properties without one are left out.
+    A status that is not known raises ValueError."""
+    unknown = sorted(set(statuses) - set(STATUS_TEXTS.values()))
+    if unknown:
+        raise ValueError(f"unknown statuses: {', '.join(unknown)}")
     first = F.try_element_at("data_sources", F.lit(1))
     rows = properties.where(F.col("state").isin(states) & F.col("status").isin(statuses)).where(first.isNotNull())
     return rows.select(first["source_url"].alias("property_url"), F.lit(now).cast("string").alias("scraped_at_utc"), first["source_name"].alias("data_source"), F.lit("rescan").alias("from_page_url"), "property_id")

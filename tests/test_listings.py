@@ -182,7 +182,7 @@ def test_search_pages(spark):
 
 
 def test_repairs(spark):
-    items = spark.createDataFrame([("P#1", "H#2024-01-05T10:00:00#e1", "2024-01-05T10:00:00"), ("P#1", "H#2024-07-05T10:00:00+00:00#e2", "2024-07-05T10:00:00+00:00"), ("P#2", "H#2024-07-05T10:00:00#e3", "2024-07-06T10:00:00")], "pk string, sk string, event_time string")
+    items = spark.createDataFrame([("P#1", "HISTORY#2024-01-05T10:00:00#e1", "2024-01-05T10:00:00"), ("P#1", "HISTORY#2024-07-05T10:00:00+00:00#e2", "2024-07-05T10:00:00+00:00"), ("P#2", "HISTORY#2024-07-05T10:00:00#e3", "2024-07-06T10:00:00")], "pk string, sk string, event_time string")
     plan = repair.time_zone_plan(items)
     counts, _ = repair.dry_run(plan)
     assert tuple(counts.first()) == (2, 1)
