@@ -1,33 +1,35 @@
 """Packing by lexical retrieval: BM25 neighbours fill each seed document's window.
 
-Documents are dealt to shards of about ``shard_bytes`` of text by a hash of their row. A shard
-holds an inverted index over token ids (sharded BM25: shard statistics suffice, as scores are
-compared within a shard only). A seed opens a window; unused neighbours follow, best BM25
-score first, until the window of ``length`` ids is full; the document that runs over is cut
-there and its rest seeds the next window. So only a shard's last window can be short, and it
-alone is padded (not at a power of two). Spark deals the shards; one task holds one shard.
+Documents are dealt to shards of about ``shard_bytes`` of text in the order of an LSH forest (MinHashes
+of their words, one behind another), so that documents with common words lie in one shard whatever
+the size of the corpus. A shard holds an inverted index over token ids (sharded BM25: shard
+statistics suffice, as scores are compared within a shard only). A seed opens a window; unused
+neighbours follow, best BM25 score first, until the window of ``length`` ids is full; the document
+that runs over is cut there and its rest seeds the next window. So only a shard's last window can
+be short, and it alone is padded (not at a power of two). Spark deals the shards by range; one task
+holds one shard.
 
 Every document has at least its end id. Defined results: null texts have only the end id; rows
-that repeat are packed each; null ids are packed and come out null; an empty table gives no
-sequence. Ties of score go to the smaller row in (id, text hash) order.
+that repeat are packed each; null ids are packed and come out null; long texts are cut into as many
+windows as they need; an empty table gives no sequence; other columns take no part. Ties of score
+go to the smaller row in (id, text hash) order.
 """
 
 from __future__ import annotations
 
 import zlib
-from typing import Any
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .support import documents, give_back, text_or_empty
+from .support import documents, text_or_empty, tidy
 from .tokens import TokenCoder, default_tokenizer
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, padding long, seed_doc_id long"
-K1, B = 1.2, 0.75
+K1, B, HASHES = 1.2, 0.75, 4
 
 
 class _Index:
@@ -93,44 +95,66 @@ def _pack_shard(ids: np.ndarray, bounds: np.ndarray, length: int):
     return pieces
 
 
-def _shard(tokenizer: str, end_id: int, length: int):
-    def run(key: Any, frame: pd.DataFrame) -> pd.DataFrame:
-        import pyarrow as pa
-
-        frame = frame.sort_values(["id", "tie"], kind="stable", na_position="first")
-        coder = TokenCoder.get(tokenizer)
-        batch = pa.RecordBatch.from_arrays([pa.array(frame["text"], pa.large_string())], ["text"])
-        parts, ends, total = [], [np.zeros(1, np.int64)], 0
+def _content_keys(batches):
+    """Adds the order of an LSH forest: scrambled MinHashes of each text's distinct words, one behind another."""
+    for batch in batches:
+        keys = []
         for _, _, buffer, offsets in bw.chunks(batch):
-            ids, bounds = coder.encode_texts(buffer, offsets, end_id)
-            parts.append(ids)
-            ends.append(bounds[1:] + total)
-            total += len(ids)
+            w = bw.find_words(buffer, offsets, lower=True)
+            some, h = np.flatnonzero(w.counts), w.hashes()
+            out = np.zeros((len(w.counts), HASHES), np.uint64)
+            for k in range(HASHES):
+                if len(some):
+                    out[some, k] = bw.mix(np.minimum.reduceat(bw.mix(h ^ bw.U64(k * 0x9E3779B97F4A7C15 & (2**64 - 1))), w.first[:-1][some]))
+            keys.append(out)
+        made = np.concatenate(keys).view(np.int64) if keys else np.zeros((0, HASHES), np.int64)
+        yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(made[:, k]) for k in range(HASHES))], names=[*batch.schema.names, *(f"m{k}" for k in range(HASHES))])
+
+
+def _shard(tokenizer: str, end_id: int, length: int):
+    def run(batches):
+        from pyspark import TaskContext
+
+        table = pa.Table.from_batches(list(batches))  # one shard
+        if not table.num_rows:
+            return
+        table = table.select(["id", "text", "tie"]).sort_by([("id", "ascending"), ("tie", "ascending")])
+        coder, parts, ends, total = TokenCoder.get(tokenizer), [], [np.zeros(1, np.int64)], 0
+        for batch in table.combine_chunks().to_batches():
+            for _, _, buffer, offsets in bw.chunks(batch):
+                ids, bounds = coder.encode_texts(buffer, offsets, end_id)
+                parts.append(ids)
+                ends.append(bounds[1:] + total)
+                total += len(ids)
+        keys = table["id"].combine_chunks()
+        del table
         ids, bounds = np.concatenate(parts), np.concatenate(ends)
         pieces = np.array(_pack_shard(ids, bounds, length), np.int64)
         doc, start, size, sequence, offset, seed = pieces.T
         used = np.bincount(sequence, size).astype(np.int64)
         padded = np.where((used & (used - 1)) == 0, used, length)
         raw, at = ids.astype("<u4").tobytes(), (bounds[doc] + start) * 4
-        crc = [zlib.crc32(raw[a : a + 4 * n]) for a, n in zip(at.tolist(), size.tolist())]
-        keys = pd.array(frame["id"], dtype="Int64")
-        out = pd.DataFrame(
-            {"doc_id": keys[doc], "start": start, "length": size, "ids_crc32": crc, "doc_tokens": np.diff(bounds)[doc], "sequence_id": (int(key[0]) << 32) + sequence, "offset": offset, "sequence_length": padded[sequence], "padding": (padded - used)[sequence], "seed_doc_id": keys[seed]}
-        )
-        del ids, parts, raw, pieces, frame
-        give_back()
-        return out
+        crc = np.array([zlib.crc32(raw[a : a + 4 * n]) for a, n in zip(at.tolist(), size.tolist())], np.int64)
+        number = (TaskContext.get().partitionId() << 32) + sequence
+        columns = [keys.take(pa.array(doc)), start, size, crc, np.diff(bounds)[doc], number, offset, padded[sequence], (padded - used)[sequence], keys.take(pa.array(seed))]
+        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_length", "padding", "seed_doc_id"]
+        yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns], names)
 
-    return run
+    return tidy(run)
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 4096, shard_bytes: int = 8 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a piece; a window's pieces share sequence_id and lie gapless from offset 0."""
+def deal(docs: DataFrame, shard_bytes: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text, tie) in partitions of about ``shard_bytes`` of text, alike documents together; a hot group of copies is split."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     total = slim.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
-    slim = slim.withColumn("tie", F.xxhash64("text")).withColumn("shard", F.pmod(F.xxhash64("id", "tie"), F.lit(shards)))
-    return slim.groupBy("shard").applyInPandas(_shard(tokenizer, end_id, length), PIECES)
+    keys = [f"m{k}" for k in range(HASHES)]
+    keyed = slim.mapInArrow(tidy(_content_keys), "id long, text string, " + ", ".join(f"{k} long" for k in keys)).withColumn("tie", F.xxhash64("text", "id"))
+    return keyed.repartitionByRange(max(1, -(-total // shard_bytes)), *keys, "tie")
+
+
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 4096, shard_bytes: int = 8 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row a piece; a window's pieces share sequence_id and lie gapless from offset 0."""
+    return deal(docs, shard_bytes, id_col, text_col).mapInArrow(_shard(tokenizer, end_id, length), PIECES)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
