@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .support import documents, text_or_empty, tidy
+from .support import documents, stash, text_or_empty, tidy
 from .tokens import TokenCoder, default_tokenizer
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, padding long, seed_doc_id long"
-K1, B, HASHES = 1.2, 0.75, 4
+K1, B, HASHES, BYTES_A_TOKEN = 1.2, 0.75, 3, 3
 
 
 class _Index:
@@ -95,66 +95,70 @@ def _pack_shard(ids: np.ndarray, bounds: np.ndarray, length: int):
     return pieces
 
 
-def _content_keys(batches):
-    """Adds the order of an LSH forest: scrambled MinHashes of each text's distinct words, one behind another."""
-    for batch in batches:
-        keys = []
-        for _, _, buffer, offsets in bw.chunks(batch):
-            w = bw.find_words(buffer, offsets, lower=True)
-            some, h = np.flatnonzero(w.counts), w.hashes()
-            out = np.zeros((len(w.counts), HASHES), np.uint64)
-            for k in range(HASHES):
-                if len(some):
-                    out[some, k] = bw.mix(np.minimum.reduceat(bw.mix(h ^ bw.U64(k * 0x9E3779B97F4A7C15 & (2**64 - 1))), w.first[:-1][some]))
-            keys.append(out)
-        made = np.concatenate(keys).view(np.int64) if keys else np.zeros((0, HASHES), np.int64)
-        yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(made[:, k]) for k in range(HASHES))], names=[*batch.schema.names, *(f"m{k}" for k in range(HASHES))])
+def _tokenised(tokenizer: str, end_id: int):
+    """From (id, text, tie): ids as little-endian values of 16 or 32 bits, their number, and the keys of an LSH
+    forest: scrambled MinHashes of each text's distinct words, one behind another."""
+
+    def run(batches):
+        coder = TokenCoder.get(tokenizer)
+        for batch in batches:
+            for row, to, buffer, offsets in bw.chunks(batch):
+                ids, bounds = coder.encode_texts(buffer, offsets, end_id)
+                wide = "<u4" if int(ids.max()) >= 1 << 16 else "<u2"
+                raw, size, at = ids.astype(wide).tobytes(), int(wide[2]), bounds.tolist()
+                w = bw.find_words(buffer, offsets, lower=True)
+                some, h = np.flatnonzero(w.counts), w.hashes()
+                keys = np.zeros((HASHES, len(w.counts)), np.uint64)
+                for k in range(HASHES if len(some) else 0):
+                    keys[k, some] = bw.mix(np.minimum.reduceat(bw.mix(h ^ bw.U64(k * 0x9E3779B97F4A7C15 & (2**64 - 1))), w.first[:-1][some]))
+                part = batch.slice(row, to - row)
+                blobs = pa.array([raw[size * a : size * b] for a, b in zip(at, at[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(np.diff(bounds)), blobs, *(pa.array(x.view(np.int64)) for x in keys)], ["id", "tie", "n", "ids", *(f"m{k}" for k in range(HASHES))])
+
+    return tidy(run)
 
 
-def _shard(tokenizer: str, end_id: int, length: int):
+def _shard(length: int):
     def run(batches):
         from pyspark import TaskContext
 
-        table = pa.Table.from_batches(list(batches))  # one shard
-        if not table.num_rows:
+        held = [b for b in batches if b.num_rows]  # one shard
+        if not held:
             return
-        table = table.select(["id", "text", "tie"]).sort_by([("id", "ascending"), ("tie", "ascending")])
-        coder, parts, ends, total = TokenCoder.get(tokenizer), [], [np.zeros(1, np.int64)], 0
-        for batch in table.combine_chunks().to_batches():
-            for _, _, buffer, offsets in bw.chunks(batch):
-                ids, bounds = coder.encode_texts(buffer, offsets, end_id)
-                parts.append(ids)
-                ends.append(bounds[1:] + total)
-                total += len(ids)
-        keys = table["id"].combine_chunks()
-        del table
-        ids, bounds = np.concatenate(parts), np.concatenate(ends)
+        table = pa.Table.from_batches(held).sort_by([("id", "ascending"), ("tie", "ascending")])
+        keys, n = table["id"].combine_chunks(), table["n"].to_numpy()
+        blobs = [b.as_buffer() for c in table["ids"].chunks for b in c]
+        ids = np.concatenate([np.frombuffer(b, f"<u{len(b) // k}").astype(np.uint32) for b, k in zip(blobs, n.tolist())])
+        bounds = np.concatenate([[0], np.cumsum(n)])
+        del table, held, blobs
         pieces = np.array(_pack_shard(ids, bounds, length), np.int64)
         doc, start, size, sequence, offset, seed = pieces.T
         used = np.bincount(sequence, size).astype(np.int64)
         padded = np.where((used & (used - 1)) == 0, used, length)
         raw, at = ids.astype("<u4").tobytes(), (bounds[doc] + start) * 4
-        crc = np.array([zlib.crc32(raw[a : a + 4 * n]) for a, n in zip(at.tolist(), size.tolist())], np.int64)
+        crc = np.array([zlib.crc32(raw[a : a + 4 * k]) for a, k in zip(at.tolist(), size.tolist())], np.int64)
         number = (TaskContext.get().partitionId() << 32) + sequence
-        columns = [keys.take(pa.array(doc)), start, size, crc, np.diff(bounds)[doc], number, offset, padded[sequence], (padded - used)[sequence], keys.take(pa.array(seed))]
+        columns = [keys.take(pa.array(doc)), start, size, crc, n[doc], number, offset, padded[sequence], (padded - used)[sequence], keys.take(pa.array(seed))]
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_length", "padding", "seed_doc_id"]
         yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns], names)
 
     return tidy(run)
 
 
-def deal(docs: DataFrame, shard_bytes: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, tie) in partitions of about ``shard_bytes`` of text, alike documents together; a hot group of copies is split."""
+def deal(docs: DataFrame, tokenizer: str, end_id: int, shard_bytes: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, tie, n, ids, keys) in partitions of about ``shard_bytes`` of text, alike documents together; a hot
+    group of copies is split. The ranges are those of the keys, which alone are read to find them."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    total = slim.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    slim = slim.withColumn("tie", F.xxhash64("text", "id"))
     keys = [f"m{k}" for k in range(HASHES)]
-    keyed = slim.mapInArrow(tidy(_content_keys), "id long, text string, " + ", ".join(f"{k} long" for k in keys)).withColumn("tie", F.xxhash64("text", "id"))
-    return keyed.repartitionByRange(max(1, -(-total // shard_bytes)), *keys, "tie")
+    made = stash(slim.mapInArrow(_tokenised(tokenizer, end_id), "id long, tie long, n long, ids binary, " + ", ".join(f"{k} long" for k in keys)))
+    tokens = made.agg(F.sum("n")).first()[0] or 0
+    return made.repartitionByRange(max(1, -(-tokens * BYTES_A_TOKEN // shard_bytes)), *keys, "tie")
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 4096, shard_bytes: int = 8 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 4096, shard_bytes: int = 4 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a piece; a window's pieces share sequence_id and lie gapless from offset 0."""
-    return deal(docs, shard_bytes, id_col, text_col).mapInArrow(_shard(tokenizer, end_id, length), PIECES)
+    return deal(docs, tokenizer, end_id, shard_bytes, id_col, text_col).mapInArrow(_shard(length), PIECES)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
