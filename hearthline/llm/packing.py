@@ -103,11 +103,10 @@ def _tokenised(tokenizer: str, end_id: int):
         coder = TokenCoder.get(tokenizer)
         for batch in batches:
             for row, to, buffer, offsets in bw.chunks(batch):
-                ids, bounds = coder.encode_texts(buffer, offsets, end_id)
+                ids, bounds, w, h = coder.encode_pieces(buffer, offsets, end_id)
                 wide = "<u4" if int(ids.max()) >= 1 << 16 else "<u2"
                 raw, size, at = ids.astype(wide).tobytes(), int(wide[2]), bounds.tolist()
-                w = bw.find_words(buffer, offsets, lower=True)
-                some, h = np.flatnonzero(w.counts), w.hashes()
+                some = np.flatnonzero(w.counts)
                 keys = np.zeros((HASHES, len(w.counts)), np.uint64)
                 for k in range(HASHES if len(some) else 0):
                     keys[k, some] = bw.mix(np.minimum.reduceat(bw.mix(h ^ bw.U64(k * 0x9E3779B97F4A7C15 & (2**64 - 1))), w.first[:-1][some]))

@@ -156,9 +156,9 @@ class TokenCoder:
             ids += self.tails[tail]
         return ids
 
-    def encode(self, words: bw.Words) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, words: bw.Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, how many ids each word has)."""
-        keys, where, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        keys, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if not len(keys):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         asked = bw.Words(words.buffer, words.offsets, words.starts[where], words.ends[where], words.first)
@@ -184,16 +184,22 @@ class TokenCoder:
                 self.old = self.old.used()
         return ids, counts
 
-    def encode_texts(self, buffer: np.ndarray, offsets: np.ndarray, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, offsets of each text's ids), with ``end_id`` after each text."""
+    def encode_pieces(self, buffer: np.ndarray, offsets: np.ndarray, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray, bw.Words, np.ndarray]:
+        """(ids, offsets of each text's ids, the pieces of words that were looked up, their hashes), with
+        ``end_id`` after each text."""
         words = _pieces(bw.find_words(buffer, offsets, lower=b"<|" not in buffer.tobytes()))
-        ids, counts = self.encode(words)
+        hashes = words.hashes()
+        ids, counts = self.encode(words, hashes)
         total = np.zeros(len(counts) + 1, np.int64)
         np.cumsum(counts, out=total[1:])
         bounds = total[words.first]
         if end_id is None:
-            return ids, bounds
-        return np.insert(ids, bounds[1:], np.uint32(end_id)), bounds + np.arange(len(bounds))
+            return ids, bounds, words, hashes
+        return np.insert(ids, bounds[1:], np.uint32(end_id)), bounds + np.arange(len(bounds)), words, hashes
+
+    def encode_texts(self, buffer: np.ndarray, offsets: np.ndarray, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets of each text's ids), with ``end_id`` after each text."""
+        return self.encode_pieces(buffer, offsets, end_id)[:2]
 
 
 def default_tokenizer() -> str:
