@@ -7,7 +7,8 @@ lists those of the attempts that Spark accepted, so lost executors and repeated
 leave at most files that nothing refers to. ``read`` lists documents from the files.
 
 Defined results: null texts have only the end id; rows without an id come first; rows that
-repeat an id all appear, ordered by their text's hash; an empty table writes no file.
+repeat an id all appear, ordered by their text's hash (ties are equal texts); long texts are
+written whole; an empty table writes no file; other columns take no part.
 """
 
 from __future__ import annotations
