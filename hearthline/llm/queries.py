@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language_model, line_dedup, mixing, packing, quality, resharding, search, simhash, substring_dedup, token_files
+from . import language_model, line_dedup, mixing, packing, quality, resharding, search, simhash, spelling, substring_dedup, token_files, whitening
 
 
 def queries() -> dict:
@@ -17,6 +17,8 @@ def queries() -> dict:
         "op8_substring_dedup": substring_dedup.query,
         "op9_token_files": token_files.query,
         "op10_quality_perplexity": quality.query,
+        "op11_whitening": whitening.query,
+        "op13_spelling_variants": spelling.query,
     }
 
 
