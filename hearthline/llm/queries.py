@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language_model, line_dedup, mixing, packing, quality, resharding, search, simhash, spelling, substring_dedup, token_files, whitening
+from . import language_model, line_dedup, lsh_forest, mixing, packing, quality, resharding, search, simhash, spelling, substring_dedup, token_files, whitening
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_token_files": token_files.query,
         "op10_quality_perplexity": quality.query,
         "op11_whitening": whitening.query,
+        "op12_lsh_forest": lsh_forest.query,
         "op13_spelling_variants": spelling.query,
     }
 
