@@ -10,10 +10,12 @@ prefixes where they are dense.
 
 Spark range-partitions and sorts each tree; tasks scan their part in order, and what their edges
 hold is compared across parts in a second, small pass. A candidate is passed on if sizes and
-signatures allow the wanted similarity; among candidates that surely link, those suffice that
-connect. Whole sets then confirm each link. Half of the trees are searched first; the others look
-only for links between what is still apart, so that a crowd of copies that has been joined no
-longer takes part. Components come from alternating large and small stars.
+signatures allow the wanted similarity, and whole sets then confirm each link. The first two rounds
+search half of the trees each and ask only for the likeliest candidates that connect what a task
+sees, so that a crowd of near copies is joined by as many links as it has members. The last two
+rounds search the trees again, for all candidates between what is still apart: what a first round
+left out, because other candidates seemed to connect it, is lost nowhere. Components come from
+alternating large and small stars.
 
 At a Jaccard index of 0.8 two classes share three values at the top of one of 16 trees with a
 probability of 0.99999; signatures that estimate less than 0.65 are no candidates (0.00001 of the
@@ -41,7 +43,8 @@ from . import bytewords as bw
 from .simhash import components
 from .support import discard, documents, fresh_name, stash, tidy
 
-VALUES, TREES, ROUNDS = 128, 16, 2
+VALUES, TREES = 128, 16
+ROUNDS = [(0, True), (1, True), (0, False), (1, False)]  # even or odd trees; whether candidates that connect suffice
 TURN = VALUES // TREES
 MIN_DEPTH, WINDOW = 3, 24
 SURE = 0.9  # signatures alike in so many values: such pairs link, near enough to certain
@@ -128,8 +131,8 @@ def _allowed(similarity: float) -> float:
 class _Scan:
     """Sorted rows of one tree after another; ``add`` returns candidates among new rows and the last ones before them."""
 
-    def __init__(self, similarity: float):
-        self.similarity, self.allowed, self.held = similarity, _allowed(similarity), None
+    def __init__(self, similarity: float, connect: bool):
+        self.similarity, self.connect, self.allowed, self.held = similarity, connect, _allowed(similarity), None
 
     def add(self, rows: dict[str, np.ndarray], own_from: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """``own_from``: pairs whose later row is before that place are not wanted."""
@@ -137,33 +140,38 @@ class _Scan:
             own_from += len(self.held["rid"])
             rows = {k: np.concatenate([self.held[k], v]) for k, v in rows.items()}
         n, sig = len(rows["rid"]), rows["sig"]
-        label = np.arange(n)  # rows that sure pairs have joined
+        label = np.arange(n)  # rows that candidates connect
         top = sig[:, :MIN_DEPTH]
-        sure, open_pairs = [], []
+        found, unsure = [], []
         for step in range(1, min(WINDOW, n - 1) + 1):
             later = np.arange(max(step, own_from), n)
             a, b = later - step, later
             ok = (rows["tree"][a] == rows["tree"][b]) & (rows["component"][a] != rows["component"][b]) & (top[a] == top[b]).all(1)
             low, high = np.minimum(rows["n"][a], rows["n"][b]), np.maximum(rows["n"][a], rows["n"][b])
-            ok &= low >= self.similarity * high - 1e-9
-            ok &= label[a] != label[b]
+            ok &= (low >= self.similarity * high - 1e-9) & (label[a] != label[b])
             a, b = a[ok], b[ok]
             alike = np.concatenate([(sig[a[k : k + 4096]] == sig[b[k : k + 4096]]).mean(1) for k in range(0, len(a), 4096)]) if len(a) else np.zeros(0)
-            hit = alike >= SURE
-            if hit.any():
-                sure.append(self._join(label, a[hit], b[hit]))
-            rest = (alike >= self.allowed) & ~hit
-            open_pairs.append((a[rest], b[rest]))
-        a, b = (np.concatenate([p[k] for p in open_pairs] or [np.zeros(0, int)]) for k in (0, 1))
-        apart = label[a] != label[b]  # what sure pairs join need not be asked again
-        pairs = [*sure, (a[apart], b[apart])]
-        a, b = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
+            sure = (alike >= SURE) & self.connect
+            if sure.any():
+                took = self._join(label, a[sure], b[sure])
+                found.append((a[sure][took], b[sure][took]))
+            rest = (alike >= self.allowed) & ~sure
+            if self.connect:
+                unsure.append((a[rest], b[rest], alike[rest]))
+            else:
+                found.append((a[rest], b[rest]))
+        if unsure:  # the likeliest first
+            a, b, alike = (np.concatenate([u[k] for u in unsure]) for k in range(3))
+            order = np.argsort(-alike, kind="stable")
+            took = self._join(label, a[order], b[order])
+            found.append((a[order][took], b[order][took]))
+        a, b = (np.concatenate([p[k] for p in found] or [np.zeros(0, int)]) for k in (0, 1))
         self.held = {k: v[-WINDOW:] for k, v in rows.items()}
         return rows["rid"][a], rows["rid"][b]
 
     @staticmethod
-    def _join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Joins the rows' labels in place; the pairs that it took."""
+    def _join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[int]:
+        """Joins the rows' labels in place; which of the pairs it took."""
         root: dict[int, int] = {}
 
         def find(x: int) -> int:
@@ -180,7 +188,7 @@ class _Scan:
         if root:
             names, where = np.unique(label, return_inverse=True)
             label[:] = np.array([find(x) for x in names.tolist()])[where]
-        return a[took], b[took]
+        return took
 
 
 def _columns(batch: pa.RecordBatch | pa.Table) -> dict[str, np.ndarray]:
@@ -206,11 +214,11 @@ def _edge(table: pa.Table, part: int, late: bool) -> pa.RecordBatch:
     return _found(edge=pa.array([part] * size), late=pa.array([late] * size), place=pa.array(np.arange(size)), **columns)
 
 
-def _neighbours(similarity: float):
+def _neighbours(similarity: float, connect: bool):
     """Candidates of a sorted part, and the rows at its edges: the first ones (``late``, edge = part) and the last (edge = part + 1)."""
 
     def run(batches):
-        part, scan, head, tail = TaskContext.get().partitionId(), _Scan(similarity), None, None
+        part, scan, head, tail = TaskContext.get().partitionId(), _Scan(similarity, connect), None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -228,26 +236,27 @@ def _neighbours(similarity: float):
     return tidy(run)
 
 
-def _across(similarity: float):
+def _across(similarity: float, connect: bool):
     """Candidates between the last rows of a part and the first of the next."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("late", "ascending"), ("place", "ascending")]).combine_chunks()
         early = table.num_rows - int(np.count_nonzero(table.column("late").to_numpy(zero_copy_only=False)))
-        a, b = _Scan(similarity).add(_columns(table), early) if 0 < early < table.num_rows else (np.zeros(0, np.int64),) * 2
+        a, b = _Scan(similarity, connect).add(_columns(table), early) if 0 < early < table.num_rows else (np.zeros(0, np.int64),) * 2
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return run
 
 
-def candidates(classes: DataFrame, trees: range, similarity: float) -> DataFrame:
-    """Pairs a < b of rids whose signatures are neighbours in one of the trees. classes: (rid, n, component, signature)."""
+def candidates(classes: DataFrame, trees: range, similarity: float, connect: bool) -> DataFrame:
+    """Pairs a < b of rids whose signatures are neighbours in one of the trees, of classes (rid, n, component,
+    signature) in different components; with ``connect`` only the likeliest that connect what a task sees."""
     parts = max(1, -(-classes.count() * len(trees) // PART_ROWS))
     turned = F.transform(F.array(*map(F.lit, trees)), lambda t: F.struct(t.alias("tree"), F.concat(F.substring("signature", t * 2 * TURN + 1, F.lit(2 * VALUES)), F.substring("signature", F.lit(1), t * 2 * TURN)).alias("signature")))
     rows = classes.select("rid", "n", "component", F.explode(turned).alias("t")).select("rid", "n", "component", "t.*")
     order = ["tree", "signature", "rid"]
-    found = stash(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("tree", "rid", "n", "component", "signature").mapInArrow(_neighbours(similarity), _FOUND_DDL))
-    across = found.where("edge is not null").groupBy("edge").applyInArrow(_across(similarity), "a long, b long")
+    found = stash(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("tree", "rid", "n", "component", "signature").mapInArrow(_neighbours(similarity, connect), _FOUND_DDL))
+    across = found.where("edge is not null").groupBy("edge").applyInArrow(_across(similarity, connect), "a long, b long")
     pairs = stash(found.where("a is not null").select("a", "b").union(across).distinct())
     discard(found)
     return pairs
@@ -288,24 +297,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, similarity: float = 0.8,
     keys = rows.where("key is not null").groupBy("key").agg(F.min("rid").alias("rid"), F.min("id").alias("least"))
     keys = stash(keys)  # the first row of a class in the table is the first in its task, which holds set and signature
     classes = stash(rows.select("rid", "n", "signature").join(keys.select("rid"), "rid"))
-    links = []
-    for k in range(ROUNDS):
-        now = classes.withColumn("component", F.col("rid"))
-        if links:
-            roots = stash(components(links[0]))
-            now = classes.join(roots.withColumnRenamed("node", "rid"), "rid", "left").select("rid", "n", "signature", F.coalesce("root", "rid").alias("component"))
-        pairs = candidates(now, range(k, TREES, ROUNDS), similarity)
-        links.append(confirmed(pairs, rows, similarity))
-        discard(pairs)
-        if k:
-            discard(roots)
-    roots = stash(components(links[0].union(links[1])))
+    links, roots = None, None
+    for first, connect in ROUNDS:
+        apart = classes.withColumn("component", F.col("rid"))
+        if roots is not None:
+            apart = classes.join(roots.withColumnRenamed("node", "rid"), "rid", "left").select("rid", "n", "signature", F.coalesce("root", "rid").alias("component"))
+        pairs = candidates(apart, range(first, TREES, 2), similarity, connect)
+        new = confirmed(pairs, rows, similarity)
+        discard(pairs, *([] if roots is None else [roots]))
+        links = new if links is None else links.union(new)
+        roots = stash(components(links))
     own = keys.join(roots.withColumnRenamed("node", "rid"), "rid", "left").select("key", "rid", "least", F.coalesce("root", "rid").alias("root"))
     named = own.groupBy("root").agg(F.min("least").alias("component_id"), F.min("rid").alias("first"))
     named = own.join(named, "root").select("key", "component_id", "first")
     linked = rows.where("key is not null").select("id", "rid", "n", "key").join(named, "key").select("id", "n", "component_id", F.when(F.col("component_id").isNull(), F.col("rid") == F.col("first")).otherwise(F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))).alias("kept"))
     alone = rows.where("key is null").select("id", "n", F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    discard(classes, *links)
+    discard(classes)
     out = linked.union(alone)
     return out.select(F.col("id").alias(fresh_name(out.drop("id"), id_col)), F.col("n").alias("n_shingles"), "component_id", "kept")
 

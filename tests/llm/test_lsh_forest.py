@@ -96,7 +96,7 @@ def test_candidates_recall(spark):
     table = spark.createDataFrame(rows, "id long, text string")
     wide = table.mapInArrow(lsh_forest._describe(4), "id long, rid long, n long, key binary, signature binary, hashes binary").cache()
     classes = wide.select("rid", "n", "signature").selectExpr("*", "rid as component")
-    found = lsh_forest.candidates(classes, range(lsh_forest.TREES), 0.8)
+    found = lsh_forest.candidates(classes, range(lsh_forest.TREES), 0.8, False)
     ids = {r.rid: r.id for r in wide.select("rid", "id").collect()}
     got = {tuple(sorted((ids[r.a], ids[r.b]))) for r in found.collect()}
     sets = sets_of(rows)
