@@ -7,7 +7,7 @@ the listing if that one is about renting. "Now" is the scan's time, so that repl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import classify, values
@@ -18,25 +18,35 @@ from . import history
 NOTE = "ListRemoved (added by system correction), information maybe missing"
 
 
-def removals_to_add(events: DataFrame, withdrawn: DataFrame, owner: str = "property_id", seen: str = "seen_at") -> DataFrame:
-    """(owner, event_ts) of the removals that the histories of ``withdrawn`` (owner, seen) lack.
+def lacking_removal(h: Column, seen: Column) -> Column:
+    """When a removal is to be added to the sorted history ``h`` of a property that turned out withdrawn; null if none lacks.
 
     Searching backwards ends where both a listing and a removal were met; the oldest listing met by
     then is the one whose next event is looked at, unless it is the first event of all."""
-    w = Window.partitionBy(owner).orderBy(*[F.col(c).asc_nulls_first() for c in history.ORDER if c in events.columns])
-    rows = events.join(withdrawn.select(owner, F.col(seen).alias("_seen")), owner)
-    rows = rows.withColumns({"_no": F.row_number().over(w), "_next_type": F.lead("event_type").over(w), "_next_ts": F.lead("event_ts").over(w)})
-    listed, removed = F.col("event_type") == "Listed", F.col("event_type") == "ListRemoved"
-    per = rows.groupBy(owner).agg(F.first("_seen").alias("_seen"), F.max(F.when(listed, F.col("_no"))).alias("_l"), F.max(F.when(removed, F.col("_no"))).alias("_r"), F.max(F.when(listed, F.col("event_ts"))).alias("listed_ts"), F.max(F.when(removed, F.col("event_ts"))).alias("removed_ts"))
-    # The search stops at the later-met of the two, which is the smaller number; without a removal it runs to the start.
-    per = per.withColumn("_stop", F.when(F.col("_r").isNull(), 1).otherwise(F.least("_l", "_r")))
-    met = rows.join(per.select(owner, "_stop"), owner).where(listed & (F.col("_no") >= F.col("_stop")))
-    oldest = met.groupBy(owner).agg(F.min(F.struct("_no", "_next_type", "_next_ts")).alias("o"))
-    lacking = per.where("listed_ts is not null and (removed_ts is null or removed_ts < listed_ts)").join(oldest, owner, "left")
-    by_rent = (F.col("o._no") > 1) & F.col("o._next_type").isin("ListedForRent", "RentalRemoved")
-    when = F.when(by_rent, F.col("o._next_ts") - F.expr("interval 12 hours")).otherwise(F.col("_seen"))
-    empty = withdrawn.join(events.select(owner), owner, "left_anti").select(owner, F.col(seen).alias("event_ts"))
-    return lacking.select(owner, when.alias("event_ts")).unionByName(empty)
+    places = lambda kind: F.filter(F.transform(h, lambda e, i: F.when(e["event_type"] == kind, i)), lambda i: i.isNotNull())
+    listed, removed = places("Listed"), places("ListRemoved")
+    last_listed, last_removed = F.try_element_at(listed, F.lit(-1)), F.try_element_at(removed, F.lit(-1))
+    stop = F.when(last_removed.isNull(), 0).otherwise(F.least(last_listed, last_removed))
+    oldest = F.try_element_at(F.filter(listed, lambda i: i >= stop), F.lit(1))
+    following = F.try_element_at(h, oldest + 2)  # places count from 0, elements from 1
+    by_rent = (oldest > 0) & following["event_type"].isin("ListedForRent", "RentalRemoved")
+    at = lambda i: F.try_element_at(h, i + 1)["event_ts"]
+    lacks = last_listed.isNotNull() & (last_removed.isNull() | (at(last_removed) < at(last_listed)))
+    return F.when(F.size(h) == 0, seen).when(lacks, F.when(by_rent, following["event_ts"] - F.expr("interval 12 hours")).otherwise(seen))
+
+
+def removals_to_add(events: DataFrame, withdrawn: DataFrame, owner: str = "property_id", seen: str = "seen_at") -> DataFrame:
+    """(owner, event_ts) of the removals that the histories of ``withdrawn`` (owner, seen) lack."""
+    told = history.as_arrays(events.join(withdrawn.select(owner), owner, "left_semi"), owner, [c for c in history.ORDER if c in events.columns])
+    rows = withdrawn.select(owner, F.col(seen).alias("_seen")).join(told, owner, "left")
+    none = F.array().cast(told.schema["history"].dataType)
+    rows = rows.select(owner, lacking_removal(F.coalesce("history", none), F.col("_seen")).alias("event_ts"))
+    return rows.where("event_ts is not null")
+
+
+def system_event(at: Column) -> Column:
+    null = lambda kind: F.lit(None).cast(kind)
+    return F.struct(at.alias("event_ts"), F.lit("ListRemoved").alias("event_type"), null("decimal(18,2)").alias("price"), F.lit("system").alias("source"), null("string").alias("source_id"), F.lit(NOTE).alias("description"))
 
 
 def system_events(removals: DataFrame, owner: str = "property_id") -> DataFrame:

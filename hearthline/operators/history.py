@@ -66,12 +66,20 @@ def as_arrays(events: DataFrame, owner: str = "property_id", fields: list[str] =
     return events.groupBy(owner).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name))
 
 
+def equal(a: Column, b: Column) -> Column:
+    """Whether two events, as structs of one owner, are equal."""
+    same = F.lit(True)
+    for c in EVENT_IDENTITY:
+        same = same & a[c].eqNullSafe(b[c])
+    return same
+
+
 def sort_and_dedupe(events: Column) -> Column:
     """The same for an array column of structs (time, type, price, source, source id, description)
     in input order: the first of equals stays. For the short arrays of one record."""
 
     def repeated(e: Column, i: Column) -> Column:
         earlier = F.slice(events, F.lit(1), i)
-        return F.exists(earlier, lambda f: e["event_ts"].eqNullSafe(f["event_ts"]) & e["event_type"].eqNullSafe(f["event_type"]) & e["price"].eqNullSafe(f["price"]) & e["source"].eqNullSafe(f["source"]) & e["source_id"].eqNullSafe(f["source_id"]))
+        return F.exists(earlier, lambda f: equal(e, f))
 
     return F.array_sort(F.filter(events, lambda e, i: ~repeated(e, i)))

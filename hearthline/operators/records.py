@@ -66,17 +66,21 @@ def rejects(df: DataFrame, stage: str, code: Column) -> DataFrame:
     return df.select(F.col("record_key"), F.lit(stage).alias("stage"), code.alias("error_code"), text.alias("message"), payload.alias("payload"))
 
 
-def parse(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Raw records (with record_key) to (properties with an ``events`` array, rejects)."""
-    df = address.standardise(records, "address", "_address")
+def judged(records: DataFrame) -> DataFrame:
+    """Raw records (with record_key) as one frame: ``error_code`` and ``payload`` of those that fail, and the typed
+    columns, with an ``events`` array, of those that don't. One pass over the records; split it after a write."""
+    payload = F.col("payload") if "payload" in records.columns else F.to_json(F.struct(*records.columns))
+    df = address.standardise(records.withColumn("_payload", payload), "address", "_address")
     df = values.staged(df, {"_type": classify.property_type(F.col("property_type")), "_seen": values.utc_time(F.col("scraped_at")), "_typed": typed_events(F.col("history"))})
     df = values.staged(df, {"_events": sort_and_dedupe(F.col("_typed"))})
     df = values.staged(df, {"_status": classify.resolve_status(F.col("status"), F.col("_events"), F.col("_seen"))})
     df = values.staged(df, {"_error": first_error()})
     last_price = F.try_element_at(F.col("_events"), F.lit(-1))["price"]
     source = F.struct(F.col("data_source_id").alias("source_id"), F.col("url").alias("source_url"), F.lit(SOURCE_NAME).alias("source_name"))
-    good = df.where("_error is null").select(
+    return df.select(
         "record_key",
+        F.col("_error").alias("error_code"),
+        F.when(F.col("_error").isNotNull(), F.col("_payload")).alias("payload"),
         F.coalesce(values.blank_to_null(F.col("property_id")), keys.property_id(F.col("_address.address_hash"))).alias("property_id"),
         F.col("_address").alias("address"),
         F.col("_address.address_hash").alias("address_hash"),
@@ -95,7 +99,16 @@ def parse(records: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("_status.status").alias("status"),
         F.col("_events").alias("events"),
     )
-    return good, rejects(df.where("_error is not null"), "parse", F.col("_error"))
+
+
+def split(judged_: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(properties with an ``events`` array, rejects) of what ``judged`` gave."""
+    return judged_.where("error_code is null").drop("error_code", "payload"), rejects(judged_.where("error_code is not null"), "parse", F.col("error_code"))
+
+
+def parse(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Raw records (with record_key) to (properties with an ``events`` array, rejects)."""
+    return split(judged(records))
 
 
 def scans(records: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import blank_to_null, utc_time
-from ..operators import correction, merge, records
+from ..operators import fold, records
 from ..schemas import PROPERTIES, PROPERTY_EVENTS, SOURCE_NAME
+from ..streaming.scratch import discard, stash
 from . import tables
 from .records import file_range, parse_lines, read_lines
 
-ROUNDS = 4
+SCHEMAS = {"properties": PROPERTIES, "property_events": PROPERTY_EVENTS}
 
 
 def archive_plan(records_: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -44,33 +45,30 @@ def backfill_store(spark: SparkSession, files: str, start: str, end: str, root:
     return unread.unionByName(store(spark, raw, root))
 
 
-def store(spark: SparkSession, raw: DataFrame, root: str) -> DataFrame:
-    """Raw records into the store, oldest observation of a property first; returns the rejects.
+def store(spark: SparkSession, raw: DataFrame, root: str, done: dict[str, int] | None = None) -> DataFrame:
+    """Raw records into the store, as if one by one, oldest first; returns the rejects.
 
     A record whose property id is stored is a re-scan: it changes status, history and, on a sale, the
-    price. Others are upserted by address. A property's observations are applied one a round, in order
-    of time; daily scans need one round. Both tables are written after every ``ROUNDS`` rounds, events
-    first: ids are hashes of their content, so a run that is repeated after a crash between the two
-    writes leads to the same rows."""
+    price. Others are upserted by address. What a batch changes and adds is written as new parts of both
+    tables, and one commit makes them count together with ``done``, the batches of streams that are in it;
+    a run that is repeated after a crash starts from the state before. Records are parsed once."""
+    at = tables.snapshot(spark, root)
+    properties = tables.contents(spark, root, "properties", PROPERTIES, at).drop("bucket")
+    events = tables.contents(spark, root, "property_events", PROPERTY_EVENTS, at).drop("bucket")
     raw = raw.withColumn("property_id", blank_to_null(F.col("property_id")))
-    read = lambda: (tables.read(spark, root, "properties", PROPERTIES), tables.read(spark, root, "property_events", PROPERTY_EVENTS))
-    properties, events = read()
     stored = properties.select("property_id")
-    parsed, bad = records.parse(raw.join(stored, "property_id", "left_anti"))
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(stash(df))
+        return kept[-1]
+
+    parsed, bad = records.split(keep(records.judged(raw.join(stored, "property_id", "left_anti"))))
     scanned, unread = records.scans(raw.join(stored, "property_id", "left_semi"))
-    turn = lambda df, owner, time: df.withColumn("_round", F.row_number().over(Window.partitionBy(owner).orderBy(time, "record_key"))).persist()
-    parsed, scanned = turn(parsed, "address_hash", "last_updated"), turn(scanned, "property_id", "seen_at")
-    most = [df.agg(F.max("_round")).first()[0] or 0 for df in (parsed, scanned)]
-    rejected = bad.unionByName(unread)
-    for k in range(1, max(most) + 1):
-        if k <= most[0]:
-            now = parsed.where(F.col("_round") == k).drop("_round")
-            properties, events = merge.upsert(properties, events, records.property_rows(now), records.event_rows(now))
-        if k <= most[1]:
-            changed, events, odd = correction.rescan(properties, events, scanned.where(F.col("_round") == k))
-            properties, rejected = merge.overwrite(properties, changed), rejected.unionByName(odd)
-        if k % ROUNDS == 0 or k == max(most):
-            tables.write(events, root, "property_events")
-            tables.write(properties, root, "properties")
-            properties, events = read()
+    scanned = keep(scanned)
+    changed, new, odd = fold.apply(properties, events, parsed, scanned, keep)
+    rejected = stash(bad.unionByName(unread).unionByName(odd))
+    tables.append(spark, root, at, {"properties": changed, "property_events": new}, done)
+    discard(*kept)
+    tables.compact(spark, root, SCHEMAS)
     return rejected

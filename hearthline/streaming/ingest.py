@@ -33,14 +33,15 @@ def _log_rejects(bad: DataFrame, root: str, batch: int) -> None:
 
 
 def ingest(stream: DataFrame, root: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Raw-data messages into properties and property_events below ``root``."""
+    """Raw-data messages into properties and property_events below ``root``. The commit of a batch names it,
+    so that one that ran through before a crash is not applied again."""
 
     def step(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
+        if batch.isEmpty() or tables.snapshot(batch.sparkSession, root).done.get(checkpoint, -1) >= number:
             return
         mine = batch.where(messages.kind(F.col("fields")) == "PROPERTY_RAW_DATA").select("fields")
         raw, bad = messages.raw_messages(mine)
-        _log_rejects(bad.unionByName(sinks.store(batch.sparkSession, raw, root)), root, number)
+        _log_rejects(bad.unionByName(sinks.store(batch.sparkSession, raw, root, {checkpoint: number})), root, number)
 
     return _start(stream, step, checkpoint, available_now)
 
@@ -78,12 +79,16 @@ def rescan_messages(properties: DataFrame, states: list[str], statuses: list[str
 
 
 def merge_events(stream: DataFrame, root: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """A stream of event rows into the versioned property_events table; equal events count once."""
+    """A stream of event rows into the property_events of a store: each batch adds what is new; equal events count once."""
 
     def step(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
+        spark, at = batch.sparkSession, tables.snapshot(batch.sparkSession, root)
+        if batch.isEmpty() or at.done.get(checkpoint, -1) >= number:
             return
-        stored = tables.read(batch.sparkSession, root, "property_events", PROPERTY_EVENTS)
-        tables.write(history.merge(stored, batch), root, "property_events")
+        stored = tables.contents(spark, root, "property_events", PROPERTY_EVENTS, at).drop("bucket")
+        fresh = history.first_of_equals(batch)
+        known = stored.join(fresh.select("property_id").distinct(), "property_id", "left_semi")
+        tables.append(spark, root, at, {"property_events": history.only_new(known, fresh)}, {checkpoint: number})
+        tables.compact(spark, root, {"property_events": PROPERTY_EVENTS})
 
     return _start(stream, step, checkpoint, available_now)
