@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions import classify
 from ..functions.keys import event_id
 from ..schemas import EVENT
-from . import correction, history
+from . import correction, history, records
 from .merge import ALWAYS_NEW, KEPT_IF_NULL, merge_sources
 
 STATE = f"struct<events: array<{EVENT}>, status: string, price: decimal(18,2), last_updated: timestamp, clean: boolean, errors: array<struct<record_key: string, error_code: string, payload: string>>>"
@@ -44,7 +44,7 @@ def _says_the_same(properties: DataFrame, observed: DataFrame) -> DataFrame:
     same = F.col("_s").isNotNull()
     for c in KEPT_IF_NULL:
         same = same & (F.col(c).isNull() | F.col(c).eqNullSafe(F.col(f"_s.{c}")))
-    same = same & merge_sources(F.col("_s.data_sources"), F.col("data_sources")).eqNullSafe(merge_sources(F.col("_s.data_sources"), F.array()))
+    same = same & merge_sources(F.col("_s.data_sources"), F.col("data_sources")).eqNullSafe(F.coalesce(F.col("_s.data_sources"), F.array().cast(properties.schema["data_sources"].dataType)))
     both = observed.join(stored, "property_id", "left").withColumn("attributes_same", same)
     return both.withColumn("all_same", F.col("attributes_same") & F.col("status").eqNullSafe(F.col("_s.status")) & F.col("price").eqNullSafe(F.col("_s.price"))).drop("_s")
 
@@ -119,24 +119,32 @@ def replay(properties: DataFrame, events: DataFrame, observed: DataFrame, scanne
     return done.select("property_id", "listed", "s.status", "s.price", "s.last_updated", "s.errors", new.alias("new_events"))
 
 
+def _new_events(events: DataFrame, observed: DataFrame) -> DataFrame:
+    """Events of listings that are not stored; of equal ones the oldest listing's."""
+    rows = observed.select("property_id", "last_updated", "record_key", F.explode("events").alias("e")).select("property_id", "last_updated", "record_key", "e.*")
+    rows = history.first_of_equals(rows, prefer=["last_updated", "record_key"]).drop("last_updated", "record_key")
+    known = events.join(rows.select("property_id").distinct(), "property_id", "left_semi")
+    return history.only_new(known, rows).withColumn("event_id", event_id(F.col("property_id"))).select(*events.columns)
+
+
 def apply(properties: DataFrame, events: DataFrame, parsed: DataFrame, scanned: DataFrame, keep=lambda df: df) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(changed property rows, new event rows, rejects) after a batch. parsed: as ``records.parse`` gives it; scanned: as
     ``records.scans`` does, of stored properties. ``keep`` is given what is read more than once (write it somewhere)."""
     observed = keep(with_owner(properties, parsed))
-    scans = keep(replay(properties, events, observed, scanned))
     rows = keep(listings(properties, observed))
     columns = properties.columns
-    only_listed = rows.where("not unchanged").join(scans.select("property_id"), "property_id", "left_anti").select(*columns)
+    listed = rows.where("not unchanged").select(*columns)
+    if scanned.isEmpty():
+        return listed, _new_events(events, observed), records.rejects(scanned.withColumn("payload", F.lit("")), "rescan", F.lit(""))
+    scans = keep(replay(properties, events, observed, scanned))
+    only_listed = listed.join(scans.select("property_id"), "property_id", "left_anti").select(*columns)
     base = properties.join(rows.select("property_id"), "property_id", "left_anti").unionByName(rows.select(*columns))
     last = scans.select("property_id", *[F.col(c).alias(f"_{c}") for c in ALWAYS_NEW])
     was = properties.select("property_id", F.struct(*[c for c in columns if c != "property_id"]).alias("_was"))
     turned = base.join(last, "property_id").join(was, "property_id", "left").withColumns({c: F.col(f"_{c}") for c in ALWAYS_NEW})
     turned = turned.where(~F.struct(*[c for c in columns if c != "property_id"]).eqNullSafe(F.col("_was"))).select(*columns)
 
-    from_listings = observed.join(scans.select("property_id"), "property_id", "left_anti").select("property_id", "last_updated", "record_key", F.explode("events").alias("e")).select("property_id", "last_updated", "record_key", "e.*")
-    from_listings = history.first_of_equals(from_listings, prefer=["last_updated", "record_key"]).drop("last_updated", "record_key")
-    known = events.join(from_listings.select("property_id").distinct(), "property_id", "left_semi")
-    new = history.only_new(known, from_listings).unionByName(scans.select("property_id", F.explode("new_events").alias("e")).select("property_id", "e.*"))
-    new = new.withColumn("event_id", event_id(F.col("property_id"))).select(*events.columns)
-    bad = scans.select(F.col("property_id").alias("record_key"), F.explode("errors").alias("e")).select("record_key", F.lit("rescan").alias("stage"), "e.error_code", F.lit("no status for this banner").alias("message"), "e.payload")
+    told = scans.select("property_id", F.explode("new_events").alias("e")).select("property_id", "e.*").withColumn("event_id", event_id(F.col("property_id"))).select(*events.columns)
+    new = _new_events(events, observed.join(scans.select("property_id"), "property_id", "left_anti")).unionByName(told)
+    bad = scans.select(F.explode("errors").alias("e")).select("e.record_key", F.lit("rescan").alias("stage"), "e.error_code", F.lit("no status for this banner").alias("message"), "e.payload")
     return only_listed.unionByName(turned), new, bad

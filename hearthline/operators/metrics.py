@@ -2,9 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+COUNTERS = "stage string, outcome string, n long"
+
+
+class Counters:
+    """Counters of a job by stage and outcome. Frames are observed while they are written for other ends, so that counting reads nothing twice."""
+
+    def __init__(self):
+        self._seen: list[tuple[str, Observation]] = []
+        self._added: dict[tuple[str, str], int] = {}
+
+    def observe(self, df: DataFrame, stage: str, codes: list[str], code: str = "error_code") -> DataFrame:
+        """``df``, counted when it is next written: all rows, those without a code, and those of each code."""
+        watch = Observation()
+        self._seen.append((stage, watch))
+        other = F.col(code).isNotNull() & ~F.col(code).isin(codes)
+        return df.observe(watch, F.count("*").alias("received"), F.count_if(F.col(code).isNull()).alias("passed"), *[F.count_if(F.col(code) == c).alias(c) for c in codes], F.count_if(other).alias("other"))
+
+    def add(self, stage: str, outcome: str, n: int) -> None:
+        self._added[stage, outcome] = self._added.get((stage, outcome), 0) + n
+
+    def rows(self) -> list[tuple[str, str, int]]:
+        """Counters that are not zero, once the observed frames have been written."""
+        out = dict(self._added)
+        for stage, watch in self._seen:
+            for outcome, n in watch.get.items():
+                out[stage, outcome] = out.get((stage, outcome), 0) + n
+        return [(*k, n) for k, n in sorted(out.items()) if n]
+
+    def write(self, spark: SparkSession, path: str) -> None:
+        """One small table a batch; a batch that runs again writes over its own."""
+        spark.createDataFrame(self.rows(), COUNTERS).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def progress(query) -> DataFrame | None:
+    """(batch_id, input_rows, seconds) of the recent batches of a streaming query, as far as it keeps them."""
+    rows = [(p["batchId"], p["numInputRows"], p["durationMs"].get("triggerExecution", 0) / 1000) for p in query.recentProgress]
+    spark = SparkSession.getActiveSession()
+    return spark.createDataFrame(rows, "batch_id long, input_rows long, seconds double") if spark else None
+
 
 def outcome_counts(rows: DataFrame, *by: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.count("*").alias("n"))

@@ -13,6 +13,8 @@ from ..functions import address, classify, keys, values
 from ..schemas import EVENT, SOURCE_NAME
 from .history import sort_and_dedupe
 
+# All codes that records can be rejected with.
+ERRORS = ["ReadyToBuildTagEncountered", "UnknownPropertyType", "VacantLandEncountered", "InvalidPropertyDataType", "MissingRequiredField", "InvalidPropertyAddress", "InvalidPropertyDataFormat", "UnknownAreaUnit", "UnknownPropertyStatus", "Unexpected"]
 MESSAGES = {"VacantLandEncountered": "vacant land is skipped", "ReadyToBuildTagEncountered": "ready to build, not built"}
 
 
@@ -111,13 +113,22 @@ def parse(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split(judged(records))
 
 
-def scans(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Raw records of stored properties to (record_key, property_id, status_text, seen_at, events; rejects).
+def judged_scans(records: DataFrame) -> DataFrame:
+    """Raw records of stored properties as one frame: error_code and payload, or property_id, status_text, seen_at and events.
     Only status and history are read: withdrawn and sold pages leave most other fields out."""
-    df = records.withColumns({"_seen": values.utc_time(F.col("scraped_at")), "_typed": F.coalesce(typed_events(F.col("history")), F.array().cast(f"array<{EVENT}>"))})
-    df = df.withColumn("_error", F.when(F.col("status").isNull(), "InvalidPropertyDataType").when(F.col("_seen").isNull() | has_bad_event(F.col("_typed")), "Unexpected"))
-    good = df.where("_error is null").select("record_key", "property_id", F.col("status").alias("status_text"), F.col("_seen").alias("seen_at"), sort_and_dedupe(F.col("_typed")).alias("events"))
-    return good, rejects(df.where("_error is not null").drop("_typed"), "rescan", F.col("_error"))
+    payload = F.col("payload") if "payload" in records.columns else F.to_json(F.struct(*records.columns))
+    df = records.withColumns({"_payload": payload, "_seen": values.utc_time(F.col("scraped_at")), "_typed": F.coalesce(typed_events(F.col("history")), F.array().cast(f"array<{EVENT}>"))})
+    df = df.withColumn("error_code", F.when(F.col("status").isNull(), "InvalidPropertyDataType").when(F.col("_seen").isNull() | has_bad_event(F.col("_typed")), "Unexpected"))
+    return df.select("record_key", "error_code", F.when(F.col("error_code").isNotNull(), F.col("_payload")).alias("payload"), "property_id", F.col("status").alias("status_text"), F.col("_seen").alias("seen_at"), sort_and_dedupe(F.col("_typed")).alias("events"))
+
+
+def split_scans(judged_: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return judged_.where("error_code is null").drop("error_code", "payload"), rejects(judged_.where("error_code is not null"), "rescan", F.col("error_code"))
+
+
+def scans(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Raw records of stored properties to (record_key, property_id, status_text, seen_at, events; rejects)."""
+    return split_scans(judged_scans(records))
 
 
 def property_rows(parsed: DataFrame) -> DataFrame:

@@ -294,4 +294,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return active_with_history(spark, sf_dir)
 
 
-from . import listing_queries  # noqa: E402, F401  (registers its queries here)
+from . import listing_queries, stream_queries  # noqa: E402, F401  (they register their queries here)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import blank_to_null, utc_time
-from ..operators import fold, records
+from ..operators import fold, metrics, records
 from ..schemas import PROPERTIES, PROPERTY_EVENTS, SOURCE_NAME
 from ..streaming.scratch import discard, stash
 from . import tables
@@ -45,13 +45,16 @@ def backfill_store(spark: SparkSession, files: str, start: str, end: str, root:
     return unread.unionByName(store(spark, raw, root))
 
 
-def store(spark: SparkSession, raw: DataFrame, root: str, done: dict[str, int] | None = None) -> DataFrame:
+def store(spark: SparkSession, raw: DataFrame, root: str, done: dict[str, int] | None = None, before_commit=None, counted: metrics.Counters | None = None) -> DataFrame:
     """Raw records into the store, as if one by one, oldest first; returns the rejects.
 
     A record whose property id is stored is a re-scan: it changes status, history and, on a sale, the
     price. Others are upserted by address. What a batch changes and adds is written as new parts of both
     tables, and one commit makes them count together with ``done``, the batches of streams that are in it;
-    a run that is repeated after a crash starts from the state before. Records are parsed once."""
+    a run that is repeated after a crash starts from the state before. Records are parsed once.
+    ``before_commit`` is given the rejects when all is written and nothing counts yet; ``counted`` takes
+    the counters of what is read and written, without another pass."""
+    counted = counted or metrics.Counters()
     at = tables.snapshot(spark, root)
     properties = tables.contents(spark, root, "properties", PROPERTIES, at).drop("bucket")
     events = tables.contents(spark, root, "property_events", PROPERTY_EVENTS, at).drop("bucket")
@@ -63,12 +66,15 @@ def store(spark: SparkSession, raw: DataFrame, root: str, done: dict[str, int] |
         kept.append(stash(df))
         return kept[-1]
 
-    parsed, bad = records.split(keep(records.judged(raw.join(stored, "property_id", "left_anti"))))
-    scanned, unread = records.scans(raw.join(stored, "property_id", "left_semi"))
-    scanned = keep(scanned)
+    parsed, bad = records.split(keep(counted.observe(records.judged(raw.join(stored, "property_id", "left_anti")), "listing", records.ERRORS)))
+    scanned, unread = records.split_scans(keep(counted.observe(records.judged_scans(raw.join(stored, "property_id", "left_semi")), "rescan", records.ERRORS)))
     changed, new, odd = fold.apply(properties, events, parsed, scanned, keep)
     rejected = stash(bad.unionByName(unread).unionByName(odd))
-    tables.append(spark, root, at, {"properties": changed, "property_events": new}, done)
+    if before_commit:
+        before_commit(rejected)
+    now = tables.append(spark, root, at, {"properties": changed, "property_events": new}, done)
+    for name in SCHEMAS:
+        counted.add("written", name, sum(p["rows"] for p in now.parts[name]) - sum(p["rows"] for p in at.parts.get(name, [])))
     discard(*kept)
     tables.compact(spark, root, SCHEMAS)
     return rejected

@@ -13,9 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.classify import STATUS_TEXTS
 from ..functions.pages import raw_records
-from ..operators import history
-from ..schemas import PROPERTY_EVENTS
+from ..operators import history, metrics
+from ..schemas import PROPERTY_EVENTS, URL_MESSAGE
 from ..sources import messages, sinks, tables
+from . import letters, scratch
 
 
 def message_stream(spark: SparkSession, path: str, files_a_batch: int = 10) -> DataFrame:
@@ -32,33 +33,67 @@ def _log_rejects(bad: DataFrame, root: str, batch: int) -> None:
     bad.write.mode("overwrite").parquet(f"{root}/rejects/batch={batch}")
 
 
-def ingest(stream: DataFrame, root: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+ROUTES = [*messages.KINDS, "UNKNOWN"]
+
+
+def ingest(stream: DataFrame, root: str, checkpoint: str, available_now: bool = True, now=None) -> StreamingQuery:
     """Raw-data messages into properties and property_events below ``root``. The commit of a batch names it,
-    so that one that ran through before a crash is not applied again."""
+    so that one that ran through before a crash is not applied again. What is rejected becomes a dead
+    letter, and counters of messages by kind and of records by branch and outcome are written, before the commit."""
 
     def step(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty() or tables.snapshot(batch.sparkSession, root).done.get(checkpoint, -1) >= number:
+        spark = batch.sparkSession
+        if tables.snapshot(spark, root).done.get(checkpoint, -1) >= number:
             return
-        mine = batch.where(messages.kind(F.col("fields")) == "PROPERTY_RAW_DATA").select("fields")
+        counted = metrics.Counters()
+        kinds = counted.observe(batch.select("fields", messages.kind(F.col("fields")).alias("kind")), "message", ROUTES, "kind")
+        kept = scratch.stash(kinds)  # the one time that the source is read
+        if kept.isEmpty():
+            return scratch.discard(kept)
+        mine = kept.where("kind = 'PROPERTY_RAW_DATA'").select("fields")
         raw, bad = messages.raw_messages(mine)
-        _log_rejects(bad.unionByName(sinks.store(batch.sparkSession, raw, root, {checkpoint: number})), root, number)
+
+        def keep(rejected: DataFrame) -> None:
+            every = bad.unionByName(rejected)
+            _log_rejects(every, root, number)
+            letters.record(spark, root, letters.of_rejects(mine, every), now or _now(spark), f"{checkpoint}#{number}")
+
+        sinks.store(spark, raw, root, {checkpoint: number}, keep, counted)
+        counted.write(spark, f"{root}/counters/batch={number}")
+        scratch.discard(kept)
 
     return _start(stream, step, checkpoint, available_now)
 
 
+def _now(spark: SparkSession):
+    return spark.range(1).select(F.current_timestamp()).first()[0]
+
+
+def once_a_url(stream: DataFrame, keep: str = "7 days") -> DataFrame:
+    """The messages of a stream without those whose URL came before, in this run or one that it goes on from: the URLs
+    are state in the checkpoint, each for ``keep`` from its first arrival. Messages that are no valid URL message stay."""
+    urls = stream.withColumn("_arrived", F.current_timestamp())
+    whole = F.lit(True)
+    for name in URL_MESSAGE:
+        whole = whole & F.coalesce(F.trim(F.col("fields")[name]) != "", F.lit(False))
+    is_url = whole & (messages.kind(F.col("fields")) == "PROPERTY_URL")
+    key = F.when(is_url, F.concat(F.lit("url "), F.col("fields")["property_url"])).otherwise(F.concat_ws(" ", F.lit("id"), "stream", "id"))
+    return urls.withColumn("_key", key).withWatermark("_arrived", keep).dropDuplicatesWithinWatermark(["_key"]).drop("_key", "_arrived")
+
+
 def pages_to_records(stream: DataFrame, pages: DataFrame, out: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """URL messages joined with stored pages, extracted, and published as raw-data messages."""
+    """URL messages, each URL once over the whole run, joined with stored pages, extracted, and published as raw-data messages."""
 
     def step(batch: DataFrame, number: int) -> None:
         if batch.isEmpty():
             return
         urls, bad = messages.url_messages(batch.where(messages.kind(F.col("fields")) == "PROPERTY_URL").select("fields"))
-        asked = urls.select(F.col("property_url").alias("url"), "property_id", F.col("scraped_at_utc").alias("scraped_at")).dropDuplicates(["url"])
+        asked = urls.select(F.col("property_url").alias("url"), "property_id", F.col("scraped_at_utc").alias("scraped_at"))
         good, unread = raw_records(asked.join(pages.select("url", "html"), "url"))
         messages.to_raw_messages(good).write.mode("overwrite").json(f"{out}/batch={number}")
         _log_rejects(bad.unionByName(unread), f"{out.rstrip('/')}-log", number)  # beside the records, which stay readable as one folder
 
-    return _start(stream, step, checkpoint, available_now)
+    return _start(once_a_url(stream), step, checkpoint, available_now)
 
 
 def distinct_urls(discovered: DataFrame, rescanned: DataFrame) -> DataFrame:
