@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import line_dedup, mixing, packing, quality, simhash
+from hearthline.llm import line_dedup, lsh_forest, mixing, packing, quality, simhash
 from hearthline.llm.support import documents, stash
 from hearthline.llm.tokens import default_tokenizer
 
@@ -31,7 +31,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one_of_each_group(docs)
+    """Fingerprints first, which take copies and the nearest of near copies out of the way; texts of a similarity of
+    0.8 or more differ in more bits than their chains of segments can find, so a MinHash forest finds the others."""
+    return lsh_forest.keep_one_of_each_group(stash(simhash.keep_one_of_each_group(docs)))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .simhash import components
+from .simhash import components, one_of_each
 from .support import discard, documents, fresh_name, stash, tidy
 
 VALUES, TREES = 128, 16
@@ -317,5 +317,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, similarity: float = 0.8,
     return out.select(F.col("id").alias(fresh_name(out.drop("id"), id_col)), F.col("n").alias("n_shingles"), "component_id", "kept")
 
 
+def keep_one_of_each_group(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near copies, columns as given. In a component the text with the smallest id (rows
+    without an id last) stays, and those that are less similar to it than ``similarity``, as they are only linked in
+    a chain; of equal texts one row stays. Texts without words are no group but for their copies."""
+    slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
+    linked = near_duplicates(slim, shingle, similarity, "th").groupBy("th").agg(F.min("component_id").alias("root"))
+    texts = slim.groupBy("th").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least"), F.count("*").alias("copies"))
+    groups = stash(texts.join(linked, "th").select("th", "least", "copies", "root"))
+    kept = one_of_each(docs, groups, shingle, similarity, id_col, text_col)
+    discard(groups)
+    return kept
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))

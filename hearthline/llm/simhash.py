@@ -144,7 +144,17 @@ def keep_one_of_each_group(docs: DataFrame, shingle: int = 5, max_bits: int = 3,
     prints = with_fingerprint(slim.withColumn("th", F.xxhash64(text)), shingle, name="fp").select("id", "th", "fp")
     texts = stash(prints.groupBy("th").agg(F.first("fp").alias("fp"), F.min(first).alias("least"), F.count("*").alias("copies")))
     roots = stash(components(links(texts.select("fp").distinct(), max_bits)))
-    texts = texts.join(roots, texts["fp"] == roots["node"], "left").select("th", "least", "copies", F.coalesce("root", "fp").alias("root"))
+    groups = texts.join(roots, texts["fp"] == roots["node"], "left").select("th", "least", "copies", F.coalesce("root", "fp").alias("root"))
+    kept = one_of_each(docs, groups, shingle, min_similarity, id_col, text_col)
+    discard(texts, roots)
+    return kept
+
+
+def one_of_each(docs: DataFrame, texts: DataFrame, shingle: int, min_similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that stay, given its distinct texts by XXH64 (th) with their smallest id (least), number
+    (copies) and group (root): of each group the text with the smallest id, and those that are unlike it."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     chosen = texts.groupBy("root").agg(F.min(F.struct("least", "th")).alias("best"), F.count("*").alias("members"))
     texts = stash(texts.join(chosen, "root").select("th", F.col("least.id").alias("kept_id"), "copies", F.col("best.th").alias("kept_th"), "members"))
     pairs = texts.where("members > 1 and th <> kept_th").select("th", "kept_th")
@@ -154,7 +164,7 @@ def keep_one_of_each_group(docs: DataFrame, shingle: int = 5, max_bits: int = 3,
     both = pairs.join(bodies, "th").join(bodies.select(F.col("th").alias("kept_th"), F.col("text").alias("kept_text")), "kept_th")
     gone = both.select("th", "text", "kept_text").mapInArrow(_similar(shingle, min_similarity), "th long")
     keep = stash(texts.join(gone, "th", "left_anti").select("th", "kept_id", "copies"))
-    discard(texts, bodies, roots)
+    discard(texts, bodies)
     names = {c: fresh_name(docs, c) for c in ("th", "kept_id", "copies")}
     keep = keep.select(*[F.col(k).alias(v) for k, v in names.items()])
     same = (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == keep[names["th"]]) & docs[id_col].eqNullSafe(keep[names["kept_id"]])

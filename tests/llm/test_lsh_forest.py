@@ -8,9 +8,9 @@ def sets_of(rows, size=4):
     return [frozenset(shingles_of(t, size)) for _, t in rows]
 
 
-def brute(rows, similarity=80):
+def brute(rows, similarity=80, size=4):
     """(id, n_shingles, component_id, kept) by comparing all pairs of distinct sets that share a shingle."""
-    sets = sets_of(rows)
+    sets = sets_of(rows, size)
     classes = sorted({s for s in sets if s}, key=lambda s: sorted(s))
     number = {s: k for k, s in enumerate(classes)}
     parent = list(range(len(classes)))
