@@ -37,6 +37,25 @@ def merge(existing: DataFrame, new: DataFrame, owner: str = "property_id", ident
     return first_of_equals(both, owner, ["_origin"], identity).drop("_origin")
 
 
+def merge_guarded(owners: DataFrame, existing: DataFrame, new_owners: DataFrame, new: DataFrame, owner: str = "property_id", agree: tuple[str, ...] = ("address_hash",), time: str = "last_updated") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(owners, events, rejects): two histories made one where all rows of an owner, on both sides, say the
+    same in the ``agree`` columns (null agrees with null only). Such owners get the latest ``time``. The others
+    are rejected: their old rows and events stay, nothing new of them comes in. Owners may have several rows or
+    be on one side only; new events of an owner without rows come in, as nothing speaks against them."""
+    columns = [owner, *agree, time]
+    both = owners.select(*columns, F.lit(True).alias("_old")).unionByName(new_owners.select(*columns, F.lit(False).alias("_old")))
+    same = F.lit(True)
+    for c in agree:
+        same = same & F.min(c).eqNullSafe(F.max(c)) & F.count(c).isin(F.lit(0), F.count("*"))
+    shown = [f(F.struct(*agree)).alias(n) for f, n in ((F.min, "one"), (F.max, "other"))]
+    judged = both.groupBy(owner).agg(same.alias("_same"), *[F.min(c).alias(c) for c in agree], F.max(time).alias(time), *shown)
+    odd = judged.where("not _same").select(owner, "one", "other")
+    kept = judged.where("_same").select(*columns).unionByName(owners.select(*columns).join(odd, owner, "left_semi"))
+    key = F.sha2(F.col(owner).cast("string"), 256)
+    bad = odd.select(key.alias("record_key"), F.lit("merge").alias("stage"), F.lit("AddressMismatch").alias("error_code"), F.lit("both sides disagree about the owner").alias("message"), F.to_json(F.struct(owner, "one", "other")).alias("payload"))
+    return kept, merge(existing, new.join(odd, owner, "left_anti"), owner), bad
+
+
 def only_new(existing: DataFrame, new: DataFrame, owner: str = "property_id", identity: list[str] = EVENT_IDENTITY) -> DataFrame:
     """Events of ``new`` that ``existing`` does not hold, by null-safe equality."""
     keys = [owner, *identity]

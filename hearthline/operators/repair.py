@@ -49,17 +49,19 @@ def duplicate_groups(rows: DataFrame, key: list[str], *checked: str) -> DataFram
 
 
 def keep_newest_metadata(rows: DataFrame, key: str = "property_id", order: list[Column] | None = None) -> DataFrame:
-    """One row a key, the newest; keys whose rows disagree about the address are left as they are."""
-    odd = duplicate_groups(rows, [key], "address_hash").where("not consistent").select(key)
+    """One row a key, the newest; keys whose rows disagree about the address, or about ``pk`` where there is one, are left as they are."""
+    odd = duplicate_groups(rows, [key], *[c for c in ("pk", "address_hash") if c in rows.columns]).where("not consistent").select(key)
     newest = newest_per_key(rows.join(odd, key, "left_anti"), key, order or [F.desc("last_updated"), F.asc("sk")])
     return newest.unionByName(rows.join(odd, key, "left_semi"))
 
 
-def keys_with_time(items: DataFrame) -> DataFrame:
-    """Items whose sort key has a time as its third part; a table with repeated keys raises ValueError."""
-    if duplicate_groups(items, ["pk", "sk"]).limit(1).count():
-        raise ValueError("keys repeat: remove duplicates first")
-    return items.where(F.size(F.split("sk", "#")) > 2)
+def keys_with_time(items: DataFrame, ident: str = "pk") -> DataFrame:
+    """Metadata items whose sort key has a time as its third part. A property (``ident``) with several
+    metadata items raises ValueError; history items are passed over."""
+    metadata = items.where(~F.coalesce(F.col("sk").startswith(HISTORY), F.lit(False)))
+    if duplicate_groups(metadata, [ident]).limit(1).count():
+        raise ValueError("properties have several metadata items: remove duplicates first")
+    return metadata.where(F.size(F.split("sk", "#")) > 2)
 
 
 def strip_time_from_keys(items: DataFrame) -> DataFrame:

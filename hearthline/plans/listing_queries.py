@@ -301,3 +301,23 @@ def json_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     table(spark, sf_dir, "customer").select(line.alias("value")).write.text(path)
     good, bad = parse_lines(read_lines(spark, path).drop("file_name"))
     return good.select(F.lit(0).alias("b")).unionByName(bad.select(F.lit(1).alias("b"))).agg(F.count("*").alias("lines"), F.sum("b").alias("broken"))
+
+
+_AGREEING = "'home-' || (property_id % 97 + CASE WHEN property_id % 5 = 0 THEN 1 ELSE 0 END)"
+
+
+@registered(f"""WITH e AS ({EVENTS_SQL}), o AS (SELECT property_id, 'home-' || (property_id % 97) AS address_hash, max(event_ts) AS last_updated FROM e WHERE event_id % 3 <> 2 GROUP BY 1),
+n AS (SELECT property_id, {_AGREEING} AS address_hash, max(event_ts) AS last_updated FROM e WHERE event_id % 3 <> 1 GROUP BY 1),
+r AS (SELECT property_id FROM o JOIN n USING (property_id) WHERE o.address_hash <> n.address_hash),
+m AS (SELECT property_id, count(*) AS n_events FROM (SELECT DISTINCT property_id, event_ts, event_type, price, source, source_id FROM (SELECT * FROM e WHERE event_id % 3 <> 2 UNION ALL SELECT * FROM e WHERE event_id % 3 <> 1 AND property_id NOT IN (SELECT property_id FROM r))) GROUP BY 1)
+SELECT property_id, coalesce(o.address_hash, n.address_hash) AS address_hash, CASE WHEN r.property_id IS NOT NULL THEN o.last_updated ELSE greatest(o.last_updated, n.last_updated) END AS last_updated, r.property_id IS NOT NULL AS rejected, n_events
+FROM o FULL JOIN n USING (property_id) LEFT JOIN r USING (property_id) JOIN m USING (property_id)""")
+def guarded_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping histories of all events; owners whose sides name different addresses are rejected and keep the first side."""
+    e = events(spark, sf_dir)
+    old, new = e.where("event_id % 3 <> 2"), e.where("event_id % 3 <> 1")
+    owners = lambda side, shift: side.groupBy("property_id").agg(F.max("event_ts").alias("last_updated")).withColumn("address_hash", F.concat(F.lit("home-"), (F.col("property_id") % 97 + shift).cast("string")))
+    kept, merged, bad = history.merge_guarded(owners(old, F.lit(0)), old, owners(new, F.when(F.col("property_id") % 5 == 0, 1).otherwise(0)), new)
+    odd = bad.select(F.get_json_object("payload", "$.property_id").cast("long").alias("property_id"), F.lit(True).alias("rejected"))
+    n = merged.groupBy("property_id").agg(F.count("*").alias("n_events"))
+    return kept.join(odd, "property_id", "left").join(n, "property_id").select("property_id", "address_hash", "last_updated", F.coalesce("rejected", F.lit(False)).alias("rejected"), "n_events")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.values import blank_to_null
 from ..schemas import RAW_KEYS, RAW_MESSAGE, URL_MESSAGE
@@ -48,8 +49,9 @@ def raw_messages(df: DataFrame, fields: str = "fields") -> tuple[DataFrame, Data
 
 
 def to_url_messages(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with the message's columns to (messages, rejects)."""
-    return _split(df.withColumn("fields", F.create_map(*[x for c in [*URL_MESSAGE, "property_id"] for x in (F.lit(c), F.col(c).cast("string"))])).select("fields"), F.exists(F.array(*[F.coalesce(F.trim(F.col("fields")[c]), F.lit("")) for c in URL_MESSAGE]), lambda x: x == ""), "publish", "fields")
+    """Rows with the message's columns to (messages, rejects); a message without a property id leaves that field out."""
+    good, bad = _split(df.withColumn("fields", F.create_map(*[x for c in [*URL_MESSAGE, "property_id"] for x in (F.lit(c), F.col(c).cast("string"))])).select("fields"), F.exists(F.array(*[F.coalesce(F.trim(F.col("fields")[c]), F.lit("")) for c in URL_MESSAGE]), lambda x: x == ""), "publish", "fields")
+    return good.select(F.map_filter("fields", lambda _, v: v.isNotNull()).alias("fields")), bad
 
 
 def to_raw_messages(records: DataFrame) -> DataFrame:
@@ -63,4 +65,20 @@ def to_raw_messages(records: DataFrame) -> DataFrame:
 
 
 def publishable(df: DataFrame, fields: str = "fields") -> DataFrame:
-    return df.where(F.size(fields) > 0)
+    """Messages with at least one field and no null value; a column that is no map of plain values raises TypeError."""
+    kind_ = df.schema[fields].dataType
+    if not isinstance(kind_, T.MapType) or not isinstance(kind_.keyType, T.StringType) or isinstance(kind_.valueType, (T.StructType, T.ArrayType, T.MapType)):
+        raise TypeError(f"{fields} is no map of strings to plain values: {kind_.simpleString()}")
+    return df.where((F.size(fields) > 0) & F.forall(F.map_values(fields), lambda v: v.isNotNull()))
+
+
+def publish(rows: DataFrame, path: str, stream: str, a_file: int = 1000) -> DataFrame:
+    """Append URL messages to the folder of a stream as the entries that ``message_stream`` reads, at most
+    ``a_file`` in a file; returns the rejects. An entry's id is the hash of its stream and fields, so that
+    one which is sent again keeps its id."""
+    good, bad = to_url_messages(rows)
+    sent = publishable(good.select(F.map_concat(F.create_map(F.lit("type"), F.lit("PROPERTY_URL")), "fields").alias("fields")))
+    text = F.to_json(F.array_sort(F.map_entries("fields")))
+    entries = sent.select(F.lit(stream).alias("stream"), F.sha2(F.concat_ws(" ", F.lit(stream), text), 256).alias("id"), "fields")
+    entries.write.mode("append").option("maxRecordsPerFile", a_file).json(path)
+    return bad

@@ -34,14 +34,21 @@ def json_lines(df: DataFrame, path: str) -> None:
     df.write.json(path)
 
 
-def backfill_archive(spark: SparkSession, files: str, start: str, end: str, path: str) -> DataFrame:
-    good, bad = parse_lines(file_range(read_lines(spark, files), start, end).drop("file_name"))
+def _range(spark: SparkSession, files: str, start: str, end: str, most: int | None) -> tuple[DataFrame, DataFrame]:
+    """(records, rejects) of a range of files; with ``most`` only the first records by file and content."""
+    raw, unread = parse_lines(file_range(read_lines(spark, files), start, end))
+    first = raw if most is None else raw.orderBy("file_name", "record_key").limit(most)
+    return first.drop("file_name"), unread
+
+
+def backfill_archive(spark: SparkSession, files: str, start: str, end: str, path: str, most: int | None = None) -> DataFrame:
+    good, bad = _range(spark, files, start, end, most)
     return bad.unionByName(archive(good, path))
 
 
-def backfill_store(spark: SparkSession, files: str, start: str, end: str, root: str) -> DataFrame:
+def backfill_store(spark: SparkSession, files: str, start: str, end: str, root: str, most: int | None = None) -> DataFrame:
     """A range of files into the store, as one batch; returns the rejects."""
-    raw, unread = parse_lines(file_range(read_lines(spark, files), start, end).drop("file_name"))
+    raw, unread = _range(spark, files, start, end, most)
     return unread.unionByName(store(spark, raw, root))
 
 

@@ -103,13 +103,21 @@ def distinct_urls(discovered: DataFrame, rescanned: DataFrame) -> DataFrame:
 
 
 def rescan_messages(properties: DataFrame, states: list[str], statuses: list[str], now) -> DataFrame:
-    """A message for each property in scope, from its first source; properties without one are left out.
-    A status that is not known raises ValueError."""
-    unknown = sorted(set(statuses) - set(STATUS_TEXTS.values()))
+    """The messages of ``rescan_queries`` for each of the states with each of the statuses."""
+    return rescan_queries(properties, [(state, status) for state in states for status in statuses], now)
+
+
+def rescan_queries(properties: DataFrame, queries: list[tuple[str, str]], now) -> DataFrame:
+    """A message for each property that one of the (state, status) pairs asks for, from its first source;
+    properties without one are left out, pairs that repeat count once. A status that is not known raises ValueError."""
+    unknown = sorted({status for _, status in queries} - set(STATUS_TEXTS.values()))
     if unknown:
         raise ValueError(f"unknown statuses: {', '.join(unknown)}")
     first = F.try_element_at("data_sources", F.lit(1))
-    rows = properties.where(F.col("state").isin(states) & F.col("status").isin(statuses)).where(first.isNotNull())
+    asked = F.lit(False)
+    for state in sorted({state for state, _ in queries}):  # the tests of one column reach the scan
+        asked = asked | ((F.col("state") == state) & F.col("status").isin([status for s, status in queries if s == state]))
+    rows = properties.where(asked).where(first.isNotNull())
     return rows.select(first["source_url"].alias("property_url"), F.lit(now).cast("string").alias("scraped_at_utc"), first["source_name"].alias("data_source"), F.lit("rescan").alias("from_page_url"), "property_id")
 
 

@@ -192,7 +192,12 @@ def test_repairs(spark):
     meta = spark.createDataFrame([("1", "a", T(2024, 1, 1), "M#1"), ("1", "a", T(2024, 1, 2), "M#2"), ("2", "a", T(2024, 1, 1), "M#1"), ("2", "b", T(2024, 1, 2), "M#2"), ("3", "c", T(2024, 1, 1), "M#1")], "property_id string, address_hash string, last_updated timestamp, sk string")
     assert sorted((r.property_id, r.sk) for r in repair.keep_newest_metadata(meta).collect()) == [("1", "M#2"), ("2", "M#1"), ("2", "M#2"), ("3", "M#1")]
     keyed = spark.createDataFrame([("P#1", "M#a#2024"), ("P#2", "M#a#2024"), ("P#2", "M#a#2025"), ("P#3", "M#a")], "pk string, sk string")
-    assert repair.keys_with_time(keyed).count() == 3
+    with pytest.raises(ValueError):  # P#2 has two
+        repair.keys_with_time(keyed)
+    history = spark.createDataFrame([("P#1", "HISTORY#2024#e1"), ("P#1", "HISTORY#2024#e2")], keyed.schema)
+    assert [tuple(r) for r in repair.keys_with_time(keyed.where("pk <> 'P#2'").union(history)).collect()] == [("P#1", "M#a#2024")]
+    two_keys = spark.createDataFrame([("1", "a", T(2024, 1, 1), "M#1", "P#1"), ("1", "a", T(2024, 1, 2), "M#1", "P#2")], "property_id string, address_hash string, last_updated timestamp, sk string, pk string")
+    assert repair.keep_newest_metadata(two_keys).count() == 2
     assert sorted(map(tuple, repair.strip_time_from_keys(keyed).collect())) == [("P#1", "M#a"), ("P#2", "M#a#2024"), ("P#2", "M#a#2025"), ("P#3", "M#a")]
 
 
@@ -217,3 +222,53 @@ def test_sources(spark, tmp_path):
     both = ingest.distinct_urls(spark.createDataFrame([("u",), ("v",)], "property_url string"), spark.createDataFrame([("u", "1")], "property_url string, property_id string"))
     assert sorted(map(tuple, both.collect()), key=repr) == [("u", "1"), ("v", None)]
     assert metrics.newest_n(spark.createDataFrame([(1, 1), (2, 2), (2, 3)], "ts int, event_id int"), 2).count() == 2
+
+
+def test_a_merge_wants_one_address(spark):
+    """Owners that agree are merged and get the latest time; one that does not keeps what it had."""
+    who = "property_id string, address_hash string, last_updated timestamp"
+    old = spark.createDataFrame([("p", "a", T(2024, 1, 1)), ("q", "b", T(2024, 1, 1)), ("r", None, T(2024, 1, 3)), ("s", "d", T(2024, 1, 1))], who)
+    new = spark.createDataFrame([("p", "a", T(2024, 2, 1)), ("p", "a", T(2024, 1, 9)), ("q", "other", T(2024, 2, 1)), ("r", None, T(2024, 1, 2)), ("s", None, T(2024, 2, 1)), ("t", "e", T(2024, 2, 2)), ("u", "f", T(2024, 2, 2)), ("u", "g", T(2024, 2, 2))], who)
+    mine = events(spark, ev("p", 1, "Listed", 9), ev("q", 1, "Listed", 5), ev("s", 1, "Listed", 5))
+    theirs = events(spark, ev("p", 1, "Listed", 9), ev("p", 2, "Sold", 8), ev("q", 2, "Sold", 4), ev("s", 2, "Sold", 4), ev("t", 2, "Sold", 4), ev("u", 2, "Sold", 4), ev("x", 2, "Sold", 4))
+    owners, merged, bad = history.merge_guarded(old, mine, new, theirs)
+    assert sorted(map(tuple, owners.collect())) == [("p", "a", T(2024, 2, 1)), ("q", "b", T(2024, 1, 1)), ("r", None, T(2024, 1, 3)), ("s", "d", T(2024, 1, 1)), ("t", "e", T(2024, 2, 2))]
+    assert sorted(r.property_id for r in merged.collect()) == ["p", "p", "q", "s", "t", "x"]
+    assert sorted(json.loads(r.payload)["property_id"] for r in bad.collect()) == ["q", "s", "u"] and {r.error_code for r in bad.collect()} == {"AddressMismatch"}
+    none = history.merge_guarded(old.limit(0), mine.limit(0), new.limit(0), theirs.limit(0))
+    assert [df.count() for df in none] == [0, 0, 0]
+
+
+def test_publish_and_read_back(spark, tmp_path):
+    rows = spark.createDataFrame([("u1", "t", "d", "f", None), ("u2", "t", "d", "f", "7"), ("u3", "t", " ", "f", None)], "property_url string, scraped_at_utc string, data_source string, from_page_url string, property_id string")
+    for _ in (1, 2):
+        assert messages.publish(rows.coalesce(1), str(tmp_path / "urls"), "urls", 1).count() == 1
+    assert len(list((tmp_path / "urls").glob("*.json"))) == 4
+    back = spark.read.schema("stream string, id string, fields map<string, string>").json(str(tmp_path / "urls"))
+    assert back.select("id").distinct().count() == 2
+    good, bad = messages.url_messages(back.where(messages.kind(F.col("fields")) == "PROPERTY_URL"))
+    assert sorted((r.property_url, r.property_id) for r in good.distinct().collect()) == [("u1", None), ("u2", "7")] and bad.count() == 0
+    with pytest.raises(TypeError):
+        messages.publishable(spark.createDataFrame([([1],)], "fields array<int>"))
+    assert messages.publishable(spark.createDataFrame([({"a": None},), ({"a": "1"},)], "fields map<string, string>")).count() == 1
+
+
+def test_scan_queries_are_pairs(spark):
+    sources = "array<struct<source_id: string, source_url: string, source_name: string>>"
+    stored = spark.createDataFrame([("1", "WA", "Active", [("1", "u1", "d")]), ("2", "WA", "Pending", [("2", "u2", "d")]), ("3", "OR", "Pending", [("3", "u3", "d")]), ("4", "OR", "Active", [("4", "u4", "d")]), ("5", "WA", "Active", []), ("6", None, None, [("6", "u6", "d")])], f"property_id string, state string, status string, data_sources {sources}")
+    asked = ingest.rescan_queries(stored, [("WA", "Active"), ("OR", "Pending"), ("WA", "Active")], "2024-06-01")
+    assert sorted(r.property_id for r in asked.collect()) == ["1", "3"]
+    assert ingest.rescan_queries(stored, [], "2024-06-01").count() == 0
+    with pytest.raises(ValueError):
+        ingest.rescan_queries(stored, [("WA", "Odd")], "2024-06-01")
+
+
+def test_backfills_stop_at_a_cap(spark, tmp_path):
+    for day in (1, 2):
+        (tmp_path / f"d{day}.jsonl").write_text("\n".join(raw(redfinId=f"{day}{k}", address=f"{day}{k} Oak St, Bend, OR 97701") for k in range(3)) + "\nbroken\n")
+    bad = sinks.backfill_store(spark, str(tmp_path / "*.jsonl"), "d1.jsonl", "d2.jsonl", str(tmp_path / "store"), 4)
+    assert bad.count() == 2
+    stored = tables.read(spark, str(tmp_path / "store"), "properties", PROPERTIES).collect()
+    assert len(stored) == 4 and sum(r.address.street.startswith("1") for r in stored) == 3
+    sinks.backfill_archive(spark, str(tmp_path / "*.jsonl"), "d1.jsonl", "d2.jsonl", str(tmp_path / "archive"), 2)
+    assert {r.data_source_id for r in spark.read.schema("data_source_id string").json(str(tmp_path / "archive")).collect()} <= {"10", "11", "12"}
