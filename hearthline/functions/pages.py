@@ -1,6 +1,9 @@
-"""Fields of stored pages by pattern, as column expressions: only the markup named here is read.
+"""Fields of stored pages, as column expressions: only the markup named here is read.
 
-Class and attribute values may be in single or double quotes and in any attribute order.
+A page is cut into tags, texts, comments and scripts once. An element ends where the tags of its name
+that open and close behind its own come to one more close (an unclosed one at the end of its page), so
+inner elements of the same name, and markup in comments and scripts, do no harm. Class and attribute
+values may be in single or double quotes and in any attribute order.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from .values import money, staged
 
 # Markup of listing and search pages.
 SEARCH_CONTAINER = "DesktopBlueprintSearchPage__pageContainer"
-CARD = r"data-rf-test-name=[\"']mapHomeCard[\"']"
+CARD = "mapHomeCard"
 ADDRESS_CLASSES = ["full-address addressBannerRevamp street-address", "streetAddress addressBannerRevamp", "full-address street-address"]
 STATUS_CLASSES = ["ListingStatusBannerSection", "rental-status"]
 READY_PHRASE = "ready to build"
@@ -21,6 +24,10 @@ _ENTITIES = {"&nbsp;": " ", "&mdash;": "—", "&quot;": '"', "&#39;": "'", "&lt;
 JS_EVENT = "struct<eventDateString: string, eventDate: bigint, eventDescription: string, price: double, sourceId: string, source: string>"
 
 
+_PIECE = r"""(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|</?[a-z](?:[^>"']+|"[^"]*"|'[^']*')*+>|</?[a-z!][^>]*>|[^<]+|<"""
+_PLACES = "array<struct<lo: int, hi: int>>"
+
+
 def extract(text: Column, pattern: str, group: int = 1) -> Column:
     """A group of the first match; no match or an empty one gives null."""
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
@@ -34,9 +41,62 @@ def text_of(fragment: Column) -> Column:
     return F.nullif(F.btrim(plain, F.lit(" \t\r\n ")), F.lit(""))
 
 
+def pieces(html: Column) -> Column:
+    """The page as an array of tags, texts, comments, whole scripts and whole styles."""
+    return F.regexp_extract_all(html, F.lit(_PIECE), F.lit(0))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def tag(attribute: str, value: str, name: str = r"\w+") -> str:
+    """Pattern of an opening tag by words in a row in one of its attributes."""
+    return rf"(?is)^<{name}\b(?=[^>]*\s{attribute}=[\"'](?:[^\"']*\s)?{value}(?:\s[^\"']*)?[\"'])"
+
+
+def _class(value: str, name: str = r"\w+") -> str:
+    return tag("class", value, name)
+
+
+def _named(name: str) -> str:
+    return rf"(?i)^<{name}\b"
+
+
+def elements(parts: Column, opening: str) -> Column:
+    """Contents of the elements whose opening tag fits, in order, without those inside of another. One pass over
+    the pieces, with the place where the present element began and the depth of its name as the state."""
+
+    def step(s: Column, p: Column) -> Column:
+        i = s["i"] + 1
+        name = F.lower(F.regexp_extract(p, r"^</?([A-Za-z][\w-]*)", 1))
+        starts = (s["lo"] == 0) & p.rlike(opening)
+        own = (s["lo"] > 0) & p.startswith("<") & (name == s["name"])
+        turn = F.when(own & p.startswith("</"), -1).when(own & ~p.endswith("/>"), 1).otherwise(0)
+        ends = turn + s["depth"] < 0
+        found = F.when(ends, F.concat(s["found"], F.array(F.struct(s["lo"].alias("lo"), i.alias("hi"))))).otherwise(s["found"])
+        inside = F.struct(i.alias("i"), s["name"].alias("name"), F.when(ends, 0).otherwise(s["depth"] + turn).alias("depth"), F.when(ends, 0).otherwise(s["lo"]).alias("lo"), found.alias("found"))
+        begun = F.struct(i.alias("i"), name.alias("name"), F.lit(0).alias("depth"), F.when(p.endswith("/>"), 0).otherwise(i + 1).alias("lo"), F.when(p.endswith("/>"), F.concat(s["found"], F.array(F.struct((i + 1).alias("lo"), (i + 1).alias("hi"))))).otherwise(s["found"]).alias("found"))
+        passed = F.struct(i.alias("i"), s["name"].alias("name"), s["depth"].alias("depth"), s["lo"].alias("lo"), s["found"].alias("found"))
+        return F.when(starts, begun).when(own, inside).otherwise(passed)
+
+    zero = F.struct(F.lit(0).alias("i"), F.lit("").alias("name"), F.lit(0).alias("depth"), F.lit(0).alias("lo"), F.array().cast(_PLACES).alias("found"))
+    unclosed = lambda s: F.array(F.struct(s["lo"].alias("lo"), (s["i"] + 1).alias("hi")))
+    places = F.aggregate(parts, zero, step, lambda s: F.when(s["lo"] > 0, F.concat(s["found"], unclosed(s))).otherwise(s["found"]))
+    return F.transform(places, lambda f: F.array_join(F.slice(parts, f["lo"], f["hi"] - f["lo"]), ""))
+
+
+def select(parts: Column, *openings: str) -> Column:
+    """Content of the first element that fits the last pattern, within elements that fit the ones before; null without one."""
+    if len(openings) == 1:
+        return F.get(elements(parts, openings[0]), F.lit(0))
+    return _let(pieces(F.array_join(elements(parts, openings[0]), "")), lambda p: select(p, *openings[1:]))
+
+
 def inner(html: Column, css_class: str) -> Column:
     """The content of the first element whose class list holds ``css_class`` (words in a row)."""
-    return extract(html, rf"(?s)<(\w+)[^>]*\bclass=[\"'](?:[^\"']*\s)?{css_class}(?:\s[^\"']*)?[\"'][^>]*>(.*?)</\1>", 2)
+    return _let(pieces(html), lambda p: select(p, _class(css_class)))
 
 
 def meta(html: Column, name: str) -> Column:
@@ -52,8 +112,8 @@ def links(html: Column) -> Column:
 
 def card_links(html: Column) -> Column:
     """Distinct link targets inside the result cards of a search page."""
-    results = extract(html, rf"(?s)id=[\"']{SEARCH_CONTAINER}[\"'](.*)$")
-    cards = F.regexp_extract_all(results, F.lit(rf"(?s){CARD}.*?(?={CARD}|$)"), F.lit(0))
+    results = F.coalesce(_let(pieces(html), lambda p: select(p, tag("id", SEARCH_CONTAINER))), F.lit(""))
+    cards = _let(pieces(results), lambda p: elements(p, tag("data-rf-test-name", CARD)))
     return F.coalesce(links(F.array_join(cards, "\n")), F.array().cast("array<string>"))
 
 
@@ -103,26 +163,32 @@ def _number_and_unit(text: Column, unit: str | None) -> Column:
     return F.when(number.isNotNull(), F.concat_ws(" ", number.cast("string"), named))
 
 
-def key_detail(html: Column, label: str) -> Column:
+def key_detail(parts: Column, label: str) -> Column:
     """The value of the first key-detail row whose label contains ``label``."""
-    rows = F.regexp_extract_all(html, F.lit(r"(?s)class=[\"'][^\"']*keyDetails-row\b.*?(?=class=[\"'][^\"']*keyDetails-row\b|</section|$)"), F.lit(0))
-    mine = F.filter(rows, lambda r: F.coalesce(F.contains(text_of(inner(r, "valueType")), F.lit(label)), F.lit(False)))
-    return text_of(inner(F.try_element_at(mine, F.lit(1)), "valueText"))
+    mine = F.filter(elements(parts, _class("keyDetails-row")), lambda r: F.coalesce(F.contains(text_of(inner(r, "valueType")), F.lit(label)), F.lit(False)))
+    return text_of(inner(F.get(mine, F.lit(0)), "valueText"))
+
+
+def _second_span(html: Column) -> Column:
+    """Spans in the order of their opening tags: one inside the first, or the one behind it."""
+    spans = lambda h: _let(pieces(h), lambda p: elements(p, _named("span")))
+    return _let(spans(html), lambda s: F.coalesce(F.get(spans(F.get(s, F.lit(0))), F.lit(0)), F.get(s, F.lit(1))))
 
 
-def lot_size(html: Column) -> Column:
-    fact = text_of(extract(html, r"(?s)<li[^>]*class=[\"'][^\"']*entryItem\b[^>]*>(?:(?!</li>).)*?Lot Size:(?:(?!</li>).)*?<span[^>]*>(.*?)</span>"))
+def lot_size(parts: Column) -> Column:
+    """Of the key details, else of the first public fact that names it."""
+    facts = F.filter(elements(parts, _class("entryItem", "li")), lambda r: F.coalesce(F.contains(text_of(inner(r, "entryItemContent")), F.lit("Lot Size:")), F.lit(False)))
+    fact = text_of(_second_span(F.get(facts, F.lit(0))))
     shown = lambda v: F.when(v != "—", _number_and_unit(v, None))
-    return F.coalesce(shown(key_detail(html, "Lot Size")), shown(fact))
+    return F.coalesce(shown(key_detail(parts, "Lot Size")), shown(fact))
 
 
-def status_text(html: Column) -> Column:
-    return F.lower(F.coalesce(*[text_of(inner(html, c)) for c in STATUS_CLASSES]))
+def status_text(parts: Column) -> Column:
+    return F.lower(F.coalesce(*[text_of(select(parts, _class(c))) for c in STATUS_CLASSES]))
 
 
-def ready_to_build(html: Column, year: Column) -> Column:
-    scripts = F.regexp_extract_all(html, F.lit(r"(?s)<script[^>]*>(.*?)</script>"), F.lit(1))
-    return year.isNull() & F.exists(scripts, lambda s: F.contains(F.lower(s), F.lit(READY_PHRASE)))
+def ready_to_build(parts: Column, year: Column) -> Column:
+    return year.isNull() & F.exists(parts, lambda p: p.rlike(_named("script")) & F.contains(F.lower(p), F.lit(READY_PHRASE)))
 
 
 def embedded_events(html: Column) -> Column:
@@ -137,40 +203,41 @@ def embedded_events(html: Column) -> Column:
     return F.filter(F.transform(events, raw), lambda e: F.coalesce(e["date"], F.lit("")) != "")
 
 
-def row_events(html: Column) -> Column:
+def row_events(parts: Column) -> Column:
     """Events of the history rows; they name no source, so the record is rejected later on."""
-    rows = F.regexp_extract_all(html, F.lit(r"(?s)class=[\"'][^\"']*PropertyHistoryEventRow\b.*?(?=class=[\"'][^\"']*PropertyHistoryEventRow\b|</section|$)"), F.lit(0))
+    any_order = r"(?is)^<\w+\b(?=[^>]*\sclass=[\"'](?:[^\"']*\s)?price-col[\s\"'])(?=[^>]*\sclass=[\"'](?:[^\"']*\s)?number[\s\"'])"
 
     def raw(r: Column) -> Column:
-        date = text_of(extract(r, r"(?s)class=[\"'][^\"']*\bcol-4\b[^>]*>\s*<p[^>]*>(.*?)</p>"))
-        what = text_of(extract(r, r"(?s)description-col\b.*?\bcol-4\b[^>]*>\s*<div[^>]*>(.*?)</div>"))
-        price = money(F.nullif(text_of(extract(r, r"(?s)class=[\"'][^\"']*price-col number\b[^>]*>(.*?)</div>")), F.lit("—"))).cast("double")
-        note = text_of(extract(r, r"(?s)<p[^>]*class=[\"'][^\"']*subtext\b[^>]*>(.*?)</p>"))
+        date = text_of(select(r, _class("col-4"), _named("p")))
+        what = text_of(select(r, _class("description-col"), _class("col-4"), _named("div")))
+        price = money(F.nullif(text_of(select(r, any_order)), F.lit("—"))).cast("double")
+        note = text_of(select(r, _class("description-col"), _class("subtext", "p")))
         number = F.when(F.contains(note, F.lit("MLS")), extract(note, r"#(\d+)"))
         return F.struct(date.alias("date"), what.alias("description"), price.alias("price"), F.lit(None).cast("string").alias("source"), number.alias("mlsNumber"))
 
-    return F.filter(F.transform(rows, raw), lambda e: e["date"].isNotNull())
+    rows = F.transform(elements(parts, _class("PropertyHistoryEventRow")), lambda r: _let(pieces(r), raw))
+    return F.filter(rows, lambda e: e["date"].isNotNull())
 
 
 def raw_records(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored pages (url, html, optional zip_code, scraped_at, property_id) to (raw records, rejects)."""
     html = F.col("html")
     extra = {c: F.lit(None).cast("string") for c in ("zip_code", "scraped_at", "property_id") if c not in pages.columns}
-    df = pages.withColumns(extra)
-    candidates = [text_of(inner(html, c)) for c in ADDRESS_CLASSES] + [text_of(extract(html, r"(?s)data-rf-test-name=[\"']street-address[\"'][^>]*>(.*?)</div>"))]
+    df, parts = staged(pages.withColumns(extra), {"_parts": pieces(html)}), F.col("_parts")
+    candidates = [text_of(select(parts, _class(c))) for c in ADDRESS_CLASSES] + [text_of(select(parts, tag("data-rf-test-name", "street-address", "div")))]
     tried = []
     for k, candidate in enumerate(candidates):
         df = address.standardise(df.withColumn(f"_c{k}", candidate), f"_c{k}", f"_p{k}")
         tried.append(F.when(F.col(f"_p{k}").isNotNull(), F.col(f"_c{k}")))
-    df = staged(df.drop("address", "status", "year_built"), {"address": F.coalesce(*tried), "status": status_text(html), "year_built": key_detail(html, "Year Built").try_cast("int"), "_js": embedded_events(html)})
-    history = F.when(F.size("_js") > 0, F.col("_js")).otherwise(row_events(html))
+    df = staged(df.drop("address", "status", "year_built"), {"address": F.coalesce(*tried), "status": status_text(parts), "year_built": key_detail(parts, "Year Built").try_cast("int"), "_js": embedded_events(html)})
+    history = F.when(F.size("_js") > 0, F.col("_js")).otherwise(row_events(parts))
     code = F.when(listing_id(F.col("url")).isNull(), "InvalidListingUrl").when(F.col("address").isNull(), "AddressNotFound").when(F.col("status").isNull(), "StatusNotFound")
     df = staged(df, {"_error": code, "_history": history})
     good = df.where("_error is null").select(
         "url", listing_id(F.col("url")).alias("data_source_id"), "scraped_at", "address", page_zip(F.col("zip_code"), F.col("address")).alias("zip_code"),
-        _number_and_unit(meta(html, "twitter:text:sqft"), "sqft").alias("area"), key_detail(html, "Property Type").alias("property_type"), lot_size(html).alias("lot_area"),
+        _number_and_unit(meta(html, "twitter:text:sqft"), "sqft").alias("area"), key_detail(parts, "Property Type").alias("property_type"), lot_size(parts).alias("lot_area"),
         meta(html, "twitter:text:beds").try_cast("double").alias("bedrooms"), meta(html, "twitter:text:baths").try_cast("double").alias("bathrooms"), "year_built", "status",
-        money(meta(html, "twitter:text:price")).cast("double").alias("price"), ready_to_build(html, F.col("year_built")).alias("ready_to_build"), "property_id", F.col("_history").alias("history"), F.size("_history").alias("history_count"),
+        money(meta(html, "twitter:text:price")).cast("double").alias("price"), ready_to_build(parts, F.col("year_built")).alias("ready_to_build"), "property_id", F.col("_history").alias("history"), F.size("_history").alias("history_count"),
     )
     bad = df.where("_error is not null").select(F.sha2("url", 256).alias("record_key"), F.lit("page").alias("stage"), F.col("_error").alias("error_code"), F.lit("the page lacks a required field").alias("message"), F.col("url").alias("payload"))
     return good, bad

@@ -321,3 +321,49 @@ def guarded_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = bad.select(F.get_json_object("payload", "$.property_id").cast("long").alias("property_id"), F.lit(True).alias("rejected"))
     n = merged.groupBy("property_id").agg(F.count("*").alias("n_events"))
     return kept.join(odd, "property_id", "left").join(n, "property_id").select("property_id", "address_hash", "last_updated", F.coalesce("rejected", F.lit(False)).alias("rejected"), "n_events")
+
+
+@registered("""WITH n AS (SELECT o_custkey AS k, count(*) AS n, sum(o_orderkey) AS told FROM orders GROUP BY 1)
+SELECT c_custkey::VARCHAR AS data_source_id, c_custkey || ' Oak St, Bend, OR 97701' AS address, CASE WHEN c_custkey % 2 = 0 THEN (c_custkey % 9 + 1) || '.5 acres' END AS lot_area, 'for sale' AS status, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey % 60 + 1950 END::INT AS year_built,
+  c_custkey % 6 = 0 AS ready_to_build, coalesce(n, 0)::INT AS history_count, coalesce(told, 0)::DOUBLE AS told FROM customer LEFT JOIN n ON k = c_custkey""")
+def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages with elements in elements of the same name, markup in comments and scripts, a lot among the
+    public facts, history rows, and homes that are ready to build."""
+    k = F.col("c_custkey")
+    row = F.concat(
+        F.lit('<div class="PropertyHistoryEventRow x"><div><div class="col-4"><div>on</div><p><b>Jan</b> 5, 2024</p></div></div><div class="description-col"><div class="col-4"><div><div>Listed</div></div></div></div><div class="number price-col"><div>$'),
+        F.format_number("o_orderkey", 0), F.lit("</div></div></div>"),
+    )
+    told = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.array_join(F.collect_list(row), "").alias("rows"))
+    parts = [
+        F.lit('<!-- <div class="rental-status">Sold</div> --><script>"<div class=rental-status>"</script><div data-rf-test-name="street-address" title="a > b"><div>'), k.cast("string"),
+        F.lit(' Oak St</div>, <div>Bend</div>, OR 97701</div><p>WA 98033</p><div class="rental-status"><div>For</div> <div>sale</div></div><div class="keyDetails-row"><div class="valueText"><div>—</div></div><div><span class="valueType">Lot <span>Size</span></span></div></div>'),
+        F.when(k % 3 != 0, F.concat(F.lit('<div class="keyDetails-row"><div class="valueText"><div>'), (k % 60 + 1950).cast("string"), F.lit('</div></div><div class="valueType">Year Built</div></div>'))).otherwise(""),
+        F.when(k % 2 == 0, F.concat(F.lit('<ul><li class="entryItem"><span class="entryItemContent">Lot Size: <span><span>'), (k % 9 + 1).cast("string"), F.lit(".5</span> acres</span></span></li></ul><script>Ready to build</script>"))).otherwise(""), F.coalesce("rows", F.lit("")),
+    ]
+    made = table(spark, sf_dir, "customer").join(told, "c_custkey", "left").select(F.concat(F.lit("https://homes.example/OR/Bend/home/"), k.cast("string")).alias("url"), F.concat(*parts).alias("html"))
+    good, _ = pages.raw_records(made)
+    total = F.aggregate("history", F.lit(0.0), lambda s, e: s + F.coalesce(e["price"], F.lit(0.0)))
+    return good.select("data_source_id", "address", "lot_area", "status", "year_built", "ready_to_build", "history_count", total.alias("told"))
+
+
+@registered("""SELECT c_custkey, c_custkey || CASE c_custkey % 3 WHEN 0 THEN '-oak-st|apt-' || (c_custkey % 7) WHEN 1 THEN '-oak-st' ELSE '-oak-st|apt-' || (c_custkey % 5) END || '|bend|or|97701' AS address_hash FROM customer""")
+def bracketed_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lots in brackets become units, unless a unit is there; other notes in brackets go."""
+    k = F.col("c_custkey")
+    note = F.when(k % 3 == 0, F.concat(F.lit(" (Lot #"), (k % 7).cast("string"), F.lit(")"))).when(k % 3 == 1, " (Private Lane)").otherwise(F.concat(F.lit(" Apt "), (k % 5).cast("string"), F.lit(" (HS 9)")))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.concat(k.cast("string"), F.lit("  Oak Street"), note, F.lit(", Bend, OR 97701")).alias("text"))
+    return address.standardise(rows, "text").select("c_custkey", F.col("parsed_address.address_hash").alias("address_hash"))
+
+
+@registered("SELECT 'https://homes.example/home/' || c_custkey AS property_url, CASE WHEN c_custkey % 2 = 0 THEN c_custkey::VARCHAR END AS property_id, 2::BIGINT AS copies FROM customer WHERE c_custkey % 5 <> 0")
+def published_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URL messages sent to a stream twice, in files of 100, and read back: both copies of a message carry one id."""
+    k, path = F.col("c_custkey"), f"{_folder(spark)}/urls"
+    rows = table(spark, sf_dir, "customer").select(F.concat(F.lit("https://homes.example/home/"), k.cast("string")).alias("property_url"), F.lit("2024-01-01T00:00:00Z").alias("scraped_at_utc"), F.when(k % 5 != 0, "homes").otherwise(" ").alias("data_source"), F.lit("https://homes.example/city/1").alias("from_page_url"), F.when(k % 2 == 0, k).cast("string").alias("property_id"))
+    for _ in range(2):
+        messages.publish(rows, path, "urls", 100)
+    entries = spark.read.schema("stream string, id string, fields map<string, string>").json(path)
+    copies = entries.groupBy("id").agg(F.count("*").alias("copies"), F.any_value("fields").alias("fields"))
+    url = messages.kind(F.col("fields")) == "PROPERTY_URL"
+    return copies.where(url).select(F.col("fields")["property_url"].alias("property_url"), F.col("fields")["property_id"].alias("property_id"), "copies")

@@ -272,3 +272,33 @@ def test_backfills_stop_at_a_cap(spark, tmp_path):
     assert len(stored) == 4 and sum(r.address.street.startswith("1") for r in stored) == 3
     sinks.backfill_archive(spark, str(tmp_path / "*.jsonl"), "d1.jsonl", "d2.jsonl", str(tmp_path / "archive"), 2)
     assert {r.data_source_id for r in spark.read.schema("data_source_id string").json(str(tmp_path / "archive")).collect()} <= {"10", "11", "12"}
+
+
+NESTED = """<!-- <div class="ListingStatusBannerSection">Sold</div> --><script>var t = "<div class='ListingStatusBannerSection'>Pending</div>";</script>
+<div data-rf-test-name="street-address" title="a > b"><div>12 Oak St</div><div>, <div>Bend</div>, OR 97701</div></div><p>not the address, WA 98033</p>
+<div class="x ListingStatusBannerSection"><div><div>For</div> sale</div></div> 2 < 3 <div class="keyDetails-row"><div class="valueText"><div>7,405</div> <div>sq ft</div></div><div><span class="valueType">Lot <span>Size</span></span></div></div>
+<div class="keyDetails-row"><span class="valueType">Year Built</span></div><span class="valueText">1900</span><script type='x'>READY to build</script>
+<section><div class='PropertyHistoryEventRow a'><div><div class="col-4"><div>x</div><p>Jan <b>5</b>, 2024</p></div></div><div class="description-col col-4"><div class="col-4"><div><div>Listed</div> again</div></div><p class="subtext">NWMLS <i>#12</i></p></div><div class="number price-col"><div>$5,000</div></div></div><p>Feb 1, 2024</p>
+<div class="PropertyHistoryEventRow"><div class="col-4"></div></div></section>"""
+
+
+def test_elements_end_where_they_end(spark):
+    fact = NESTED.replace("7,405", "—").replace("<div>sq ft</div>", "").replace("<section>", """<section><li class="entryItem"><span class="entryItemContent">Size: <span>9</span></span></li><li class="a entryItem"><span class="entryItemContent">Lot Size: <span><span>1.5</span> Acres</span></span></li>""")
+    behind = fact.replace("Lot Size: <span><span>1.5</span> Acres</span></span>", "Lot Size: </span><span>2 acres</span>")
+    rows = [("https://h.example/home/1", NESTED), ("https://h.example/home/2", fact), ("https://h.example/home/3", behind), ("https://h.example/home/4", ""), ("https://h.example/home/5", None), ("https://h.example/home/6", "<div class='ListingStatusBannerSection'>For sale<h1 class='full-address street-address'>9 Oak St, Bend, OR 97701")]
+    good, bad = pages.raw_records(spark.createDataFrame(rows, "url string, html string"))
+    by = {r.data_source_id: r for r in good.collect()}
+    r = by["1"]
+    assert (r.address, r.status, r.lot_area, r.year_built, r.ready_to_build) == ("12 Oak St, Bend, OR 97701", "for sale", "7405.0 sqft", None, True)
+    assert [(e.date, e.description, e.price, e.mlsNumber) for e in r.history] == [("Jan 5, 2024", "Listed again", 5000.0, "12")]
+    assert (by["2"].lot_area, by["3"].lot_area) == ("1.5 Acres", "2.0 acres")
+    assert by["6"].address == "9 Oak St, Bend, OR 97701" and by["6"].status == "for sale9 oak st, bend, or 97701"
+    assert sorted(b.payload[-1] for b in bad.collect()) == ["4", "5"]
+
+
+def test_cards_end_with_their_container(spark):
+    html = """<div id="DesktopBlueprintSearchPage__pageContainer"><div><div class="c" data-rf-test-name="mapHomeCard"><div><a href="/home/1">1</a></div><a href="/home/2">2</a></div><a href="/home/3">between</a></div><!-- <div data-rf-test-name="mapHomeCard"><a href="/home/4">4</a></div> --></div><div data-rf-test-name="mapHomeCard"><a href="/home/5">outside</a></div>"""
+    df = spark.createDataFrame([("https://h.example/x", html), ("https://h.example/y", None), ("https://h.example/z", "<a href='/home/6'>no container</a>")], "url string, html string")
+    assert sorted(r.property_url[-1] for r in pages.property_links(df).collect()) == ["1", "2"]
+    parts = df.limit(1).select(pages.pieces(F.col("html")).alias("p")).first().p
+    assert "".join(parts) == html
