@@ -13,7 +13,7 @@ Shards whose content changes are then written anew: texts are shuffled once, to
 new shard, which number their rows. The result is read from the written files.
 
 Defined results: null texts have no bytes (size 1); rows that repeat or have no id each take a
-slot, and rows alike in id and text lie in one shard; a null old shard counts as the first;
+slot, and rows alike in id and text are placed each on its own; a null old shard counts as the first;
 long texts are documents like others; of equal tags the order is of no account; an empty table
 gives no rows; other columns, whatever their names, are rewritten as they are.
 """
@@ -103,6 +103,20 @@ def _place(cells: int):
     return F.struct((-F.floor(F.log2("size") * 4)).cast("int").alias("class"), F.pmod("tag", F.lit(cells)).cast("int").alias("cell"), F.col("tag").alias("tag"))
 
 
+def _part_twins(rows: DataFrame, twins: DataFrame) -> DataFrame:
+    """``rows`` (old_shard, tag, rid and others; stored, so that ``rid`` stays) where those alike in old shard
+    and tag, which ``twins`` names, have a tag of their own, from their number among them. The numbers of a set
+    of twins are always 0 to its size less one, so two tables of the same documents get the same tags. They are
+    counted by the partition that ``rid`` names: no task holds all twins of a set."""
+    keys = ["old_shard", "tag"]
+    mine = rows.join(twins, keys, "left_semi").withColumn("part", F.shiftright("rid", 33))
+    before = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition of the input
+    starts = mine.groupBy(*keys, "part").count().withColumn("start", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
+    number = F.col("start") + F.row_number().over(Window.partitionBy(*keys, "part").orderBy("rid"))
+    parted = mine.join(starts, [*keys, "part"]).withColumn("tag", F.xxhash64("tag", number))
+    return rows.join(twins, keys, "left_anti").unionByName(parted.select(*rows.columns))
+
+
 def find_cuts(rows: DataFrame, shards: int, capacities: list[int] | None = None, cells: int = 64) -> tuple[DataFrame, list[int]]:
     """For ``rows`` (old_shard, size, tag): a row (old_shard, shard, lo, hi) for each stretch, its ends as
     places, ``hi`` exclusive and null at the end; and the shards whose content changes."""
@@ -143,7 +157,12 @@ def reshard(docs: DataFrame, shards: int, path: str, old_col: str = "old_shard",
     from the old shards where these stay as they are."""
     facts = _facts(id_col, text_col)
     old_shard = F.coalesce(F.col(old_col), F.lit(0)).cast("int").alias("old_shard")
-    narrow = stash(docs.select(F.col(id_col).alias("id"), old_shard, *facts))
+    rid = F.monotonically_increasing_id().alias("rid")
+    narrow = stash(docs.select(F.col(id_col).alias("id"), old_shard, *facts, rid))
+    twins = stash(narrow.groupBy("old_shard", "tag").count().where("count > 1").drop("count"))
+    with_twins = not twins.isEmpty()
+    if with_twins:
+        narrow = stash(_part_twins(narrow, twins))
     cuts, touched = find_cuts(narrow, shards, cells=cells)
     total = narrow.agg(F.sum("size")).first()[0] or 0
     buckets = min(BUCKETS, max(1, -(-total // (shards * BUCKET_BYTES))))
@@ -161,6 +180,9 @@ def reshard(docs: DataFrame, shards: int, path: str, old_col: str = "old_shard",
         return same.withColumnRenamed("id", id_col)
     names = {c: fresh_name(docs, c) for c in ("shard", "slot", "from_shard")}
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), old_shard, *facts).drop("text_crc32")
+    if with_twins:  # only these are stored, as their numbers must not change between two readings
+        among = stash(whole.join(twins, ["old_shard", "tag"], "left_semi").select("*", rid))
+        whole = whole.join(twins, ["old_shard", "tag"], "left_anti").unionByName(_part_twins(among, twins).drop("rid"))
     moving = numbered(place_rows(whole, cuts, cells).where(F.col("shard").isin(touched)))
     moving = moving.select("row.*", *[F.col(k).alias(v) for k, v in (("old_shard", names["from_shard"]), ("slot", names["slot"]), ("shard", names["shard"]))])
     with shuffles_let_go(docs.sparkSession):

@@ -107,3 +107,16 @@ def test_rows_without_or_with_repeated_ids_are_rewritten_once(spark):
     assert sorted(((r.doc_id, r.text) for r in back.collect()), key=repr) == sorted(texts, key=repr)
     for k in range(3):
         assert sorted(r.slot for r in out if r.shard == k) == list(range(sum(r.shard == k for r in out)))
+
+
+def test_rows_alike_are_spread(spark):
+    """Two thousand rows without an id and with one text, of different other columns, fill all shards evenly."""
+    docs = spark.createDataFrame([(None, "the same text", 0, k) for k in range(2000)] + [(k, "x" * (k % 50), k % 3, k) for k in range(200)], "doc_id long, text string, old_shard int, rid int").repartition(5)
+    path = f"{scratch_dir(spark)}/reshard-alike-{id(docs)}"
+    out = resharding.reshard(docs, 16, path).collect()
+    sizes = [sum(r["size"] for r in out if r.shard == k) for k in range(16)]
+    assert len(out) == 2200 and max(sizes) - min(sizes) <= 50
+    for k in range(16):
+        assert sorted(r.slot for r in out if r.shard == k) == list(range(sum(r.shard == k for r in out)))
+    back = spark.read.parquet(path)
+    assert sorted(r.rid for r in back.where("text = 'the same text'").collect()) == list(range(2000))
