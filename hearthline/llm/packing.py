@@ -112,7 +112,7 @@ def _tokenised(tokenizer: str, end_id: int):
                     keys[k, some] = bw.mix(np.minimum.reduceat(bw.mix(h ^ bw.U64(k * 0x9E3779B97F4A7C15 & (2**64 - 1))), w.first[:-1][some]))
                 part = batch.slice(row, to - row)
                 blobs = pa.array([raw[size * a : size * b] for a, b in zip(at, at[1:])], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(np.diff(bounds)), blobs, *(pa.array(x.view(np.int64)) for x in keys)], ["id", "tie", "n", "ids", *(f"m{k}" for k in range(HASHES))])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), pa.array(np.diff(bounds)), blobs, *(pa.array(x.view(np.int64)) for x in keys)], ["id", "tie", "row", "n", "ids", *(f"m{k}" for k in range(HASHES))])
 
     return tidy(run)
 
@@ -145,14 +145,14 @@ def _shard(length: int):
 
 
 def deal(docs: DataFrame, tokenizer: str, end_id: int, shard_bytes: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, tie, n, ids, keys) in partitions of about ``shard_bytes`` of text, alike documents together; a hot
+    """(id, tie, row, n, ids, keys) in partitions of about ``shard_bytes`` of text, alike documents together; a hot
     group of copies is split. The ranges are those of the keys, which alone are read to find them."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    slim = slim.withColumn("tie", F.xxhash64("text", "id"))
+    slim = slim.withColumn("tie", F.xxhash64("text", "id")).withColumn("row", F.monotonically_increasing_id())  # stored, for rows alike in all else
     keys = [f"m{k}" for k in range(HASHES)]
-    made = stash(slim.mapInArrow(_tokenised(tokenizer, end_id), "id long, tie long, n long, ids binary, " + ", ".join(f"{k} long" for k in keys)))
+    made = stash(slim.mapInArrow(_tokenised(tokenizer, end_id), "id long, tie long, row long, n long, ids binary, " + ", ".join(f"{k} long" for k in keys)))
     tokens = made.agg(F.sum("n")).first()[0] or 0
-    return made.repartitionByRange(max(1, -(-tokens * BYTES_A_TOKEN // shard_bytes)), *keys, "tie")
+    return made.repartitionByRange(max(1, -(-tokens * BYTES_A_TOKEN // shard_bytes)), *keys, "tie", "row")
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 4096, shard_bytes: int = 4 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from hearthline.llm import bytewords, packing, range_coder, token_files
@@ -84,3 +85,13 @@ def test_neighbours_share_windows(spark):
     pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), default_tokenizer(), 2, 512).collect()
     same = [p.doc_id % 8 == p.seed_doc_id % 8 for p in pieces if p.doc_id != p.seed_doc_id]
     assert sum(same) > 0.5 * len(same)
+
+
+def test_rows_alike_are_dealt_to_many_shards(spark):
+    """Of 4000 rows without an id and with one text, and 400 others, no shard gets over twice the mean."""
+    rows = [(None, "one text that all of them have")] * 4000 + [(k, f"text {k} of its own") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    dealt = packing.deal(docs, default_tokenizer(), 2, 14000)
+    sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 4400 and dealt.rdd.getNumPartitions() >= 8
+    assert max(sizes) <= 2 * 4400 / dealt.rdd.getNumPartitions()
