@@ -121,3 +121,12 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = letters.read(spark, store).select(source.alias("source_key"), "state", "attempts")
     stored = tables.read(spark, store, "properties", PROPERTIES).select(F.col("data_sources")[0]["source_id"].alias("source_key"), F.lit("stored").alias("now"))
     return everyone.join(left, "source_key", "left").join(stored, "source_key", "left").select("source_key", F.coalesce("state", "now").alias("state"), "attempts")
+
+
+@registered("SELECT * FROM events WHERE ts::DATE >= (SELECT min(ts::DATE) FROM (SELECT ts FROM events ORDER BY ts DESC, event_id DESC LIMIT 1000))")
+def retention_by_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream kept by days of which whole days below the newest 1000 messages are let go."""
+    path, sent = _folder(spark), table(spark, sf_dir, "events")
+    sent.withColumn("day", F.to_date("ts")).repartition("day").write.partitionBy("day").parquet(path)
+    metrics.drop_old_files(spark.read.parquet(path), 1000)
+    return spark.read.parquet(path).select(*sent.columns)
