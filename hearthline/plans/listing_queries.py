@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import address, classify, keys, pages
 from ..operators import goals, history, merge, query, records, repair
 from ..schemas import PROPERTIES, PROPERTY_EVENTS, RAW_EVENT
-from ..sources import messages, sinks, tables
+from ..sources import lookup_index, messages, sinks, tables
 from ..sources.records import parse_lines, read_lines
 from ..streaming import ingest, scratch
 from .driver_tables import EVENTS_SQL, PROPERTIES_SQL, events, properties, table
@@ -207,6 +207,19 @@ def lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(by_id, F.col("asked") == F.col("hit"), "left").select("asked", "property_id", F.col("hit").isNotNull().alias("found_by_id"))
 
 
+@registered("""WITH f AS (SELECT min(o_orderkey) AS id, o_custkey FROM orders GROUP BY 2)
+SELECT id AS property_id, 'home-' || f.o_custkey AS address_hash, o_totalprice AS price, 'address' AS asked_by FROM f JOIN orders ON o_orderkey = id WHERE f.o_custkey % 10 = 0
+UNION ALL SELECT o_orderkey, 'home-' || o_custkey, o_totalprice, 'id' FROM orders WHERE o_orderkey % 100 = 0""")
+def indexed_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as properties of their customers' addresses, indexed, and asked for by id and by address."""
+    root = f"{scratch.folder(spark)}/index-{uuid.uuid4().hex}"
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("property_id"), F.concat(F.lit("home-"), F.col("o_custkey").cast("string")).alias("address_hash"), F.col("o_totalprice").alias("price"))
+    lookup_index.build(rows, root)
+    homes = table(spark, sf_dir, "customer").where("c_custkey % 10 = 0").select(F.concat(F.lit("home-"), F.col("c_custkey").cast("string")).alias("address_hash"))
+    found = lookup_index.by_addresses(spark, root, homes).withColumn("asked_by", F.lit("address"))
+    return found.unionByName(lookup_index.by_ids(spark, root, rows.where("property_id % 100 = 0").select("property_id")).withColumn("asked_by", F.lit("id")))
+
+
 @registered("SELECT c_custkey::VARCHAR AS property_id, CASE WHEN c_custkey % 4 = 1 THEN 'Sold' ELSE 'Active' END AS status FROM customer WHERE c_custkey % 7 <> 0")
 def table_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some rows overwritten, others deleted."""
