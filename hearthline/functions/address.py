@@ -1,6 +1,6 @@
 """Address standardisation: a fixed grammar over comma segments, as column expressions.
 
-Statistical tagging is out of reach of column expressions; the grammar covers house number and
+Statistical tagging is in ``address_tags``; the grammar covers house number and
 street with suffix and directionals, units in several notations, city, state and zip code. What it
 cannot read comes out null and is rejected downstream with code InvalidPropertyAddress.
 """

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import address, classify, keys, pages
+from ..functions import address, address_tags, classify, keys, pages
 from ..operators import goals, history, merge, query, records, repair
 from ..schemas import PROPERTIES, PROPERTY_EVENTS, RAW_EVENT
 from ..sources import lookup_index, messages, sinks, tables
@@ -153,6 +153,33 @@ def address_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return address.standardise(table(spark, sf_dir, "customer").select("c_custkey", text.alias("text")), "text").select("c_custkey", F.col("parsed_address.address_hash").alias("address_hash"))
 
 
+_NAMES = ["Oak", "Old Mill", "166th", "Lake Forest Park", "Crockett", "5th", "Saint Helens"]
+
+
+@registered(f"""WITH p AS (SELECT c_custkey AS k, [{", ".join(f"'{n.lower().replace(' ', '-')}'" for n in _NAMES)}] AS l, [{", ".join(f"'{b}'" for _, b in _FORMS)}] AS f, [{", ".join(f"'{b}'" for _, b in _WAYS)}] AS w FROM customer)
+SELECT k AS c_custkey, CASE WHEN k % 11 = 3 THEN 'intersection' ELSE 'street' END AS kind, CASE WHEN k % 11 <> 3 THEN (k + 99) || '-' ELSE '' END || l[k % 7 + 1] || '-' || f[k % 10 + 1] || w[k % 5 + 1]
+  || CASE WHEN k % 11 = 3 THEN '-&-' || l[(k + 2) % 7 + 1] || '-' || f[(k + 3) % 10 + 1] WHEN k % 3 = 1 THEN '|apt-' || (k % 50) WHEN k % 3 = 2 THEN '|ste-' || (k % 50) ELSE '' END || CASE WHEN k % 2 = 0 THEN '|bend' ELSE '|mill-creek' END || '|or|97701' AS address_hash FROM p""")
+def address_tagging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streets and intersections with and without commas, read by a model fitted on the labelled words of four customers in five."""
+    k = F.col("c_custkey")
+    pick = lambda values, by: F.element_at(F.array(*[F.lit(a) for a in values]), (by + 1).cast("int"))
+    piece = lambda text, label: F.struct(text.alias("text"), F.lit(label).alias("label"))
+    crossing, unit = k % 11 == 3, (k % 11 != 3) & (k % 3 > 0)
+    forms, ways = [a for a, _ in _FORMS], [a.strip() for a, _ in _WAYS]
+    comma = F.when(k % 4 < 3, ", ").otherwise(" ")
+    pieces = [
+        F.when(~crossing, piece((k + 99).cast("string"), "number")), piece(pick(_NAMES, k % 7), "name"), piece(pick(forms, k % 10), "suffix"), F.when(k % 5 > 0, piece(pick(ways, k % 5), "direction_after")),
+        F.when(crossing, piece(F.lit("&"), "joint")), F.when(crossing, piece(pick(_NAMES, (k + 2) % 7), "name")), F.when(crossing, piece(pick(forms, (k + 3) % 10), "suffix")),
+        F.when(unit, piece(F.when(k % 3 == 1, "Apartment").otherwise("Suite"), "unit_word")), F.when(unit, piece((k % 50).cast("string"), "unit")),
+        piece(F.concat(comma, F.when(k % 2 == 0, "Bend").otherwise("Mill Creek")), "city"), piece(F.concat(comma, F.lit("OR")), "state"), piece(F.lit("97701"), "zip_code"),
+    ]
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.filter(F.array(*pieces), lambda p: p.isNotNull()).alias("pieces"))
+    model = address_tags.fit(rows.where("c_custkey % 5 <> 0"))
+    told = rows.select("c_custkey", F.array_join(F.transform("pieces", lambda p: p["text"]), " ").alias("text"))
+    told = told.repartition(spark.sparkContext.defaultParallelism, "c_custkey")  # decoding takes milliseconds a row, and the table is one small file
+    return address_tags.tag(told, "text", model).select("c_custkey", "tagged_address.kind", "tagged_address.address_hash")
+
+
 @registered(f"""SELECT p.* FROM (SELECT *, (property_id % 6)::INT AS bedrooms, (property_id % 4)::INT AS bathrooms FROM ({PROPERTIES_SQL})) p WHERE city IN ('NATION_1', 'NATION_2', 'NATION_5') AND bedrooms >= 2 AND bathrooms BETWEEN 1 AND 2
   AND EXISTS (SELECT 1 FROM ({EVENTS_SQL}) e WHERE e.property_id = p.owner AND e.event_type IN ('Sold', 'Pending') AND e.event_ts >= TIMESTAMP '2024-01-05' AND e.event_ts <= TIMESTAMP '2024-01-20')""")
 def wide_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
