@@ -70,7 +70,7 @@ def test_held_out_addresses(spark, model):
 
 def test_known_addresses(spark, model):
     cases = [tuple(line.split(" -> ")) for line in HASHES.split("\n")]
-    got = address_tags.tag(spark.createDataFrame(cases, "text string, want string"), "text", model, least=0.3).collect()
+    got = address_tags.tag(spark.createDataFrame(cases, "text string, want string"), "text", model).collect()
     differ = [(r.text, r.tagged_address and r.tagged_address.address_hash) for r in got if not r.tagged_address or r.tagged_address.address_hash != r.want]
     assert differ == []
 

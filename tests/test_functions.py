@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from hearthline.functions import address, classify, keys, values
 
+# Addresses and their hashes.
 HASHES = """1838 Market St, Kirkland, WA 98033 -> 1838-market-st|kirkland|wa|98033
 7425 166th Ave NE c230, Redmond, WA 98052 -> 7425-166th-ave-ne|c230|redmond|wa|98052
 7301 NE 175th St,Kenmore, WA 98028 -> 7301-ne-175th-st|kenmore|wa|98028
