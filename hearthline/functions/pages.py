@@ -8,6 +8,9 @@ values may be in single or double quotes and in any attribute order.
 
 from __future__ import annotations
 
+import functools
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +28,8 @@ JS_EVENT = "struct<eventDateString: string, eventDate: bigint, eventDescription:
 
 
 _PIECE = r"""(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|</?[a-z](?:[^>"']+|"[^"]*"|'[^']*')*+>|</?[a-z!][^>]*>|[^<]+|<"""
-_PLACES = "array<struct<lo: int, hi: int>>"
+_CUT, _NAME = re.compile(_PIECE, re.A), re.compile(r"</?([A-Za-z][\w-]*)", re.A)
+_FITS: dict[str, dict[str, bool]] = {}  # short tags by opening: pages of one site repeat theirs
 
 
 def extract(text: Column, pattern: str, group: int = 1) -> Column:
@@ -46,11 +50,6 @@ def pieces(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(_PIECE), F.lit(0))
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def tag(attribute: str, value: str, name: str = r"\w+") -> str:
     """Pattern of an opening tag by words in a row in one of its attributes."""
     return rf"(?is)^<{name}\b(?=[^>]*\s{attribute}=[\"'](?:[^\"']*\s)?{value}(?:\s[^\"']*)?[\"'])"
@@ -64,39 +63,69 @@ def _named(name: str) -> str:
     return rf"(?i)^<{name}\b"
 
 
-def elements(parts: Column, opening: str) -> Column:
-    """Contents of the elements whose opening tag fits, in order, without those inside of another. One pass over
-    the pieces, with the place where the present element began and the depth of its name as the state."""
-
-    def step(s: Column, p: Column) -> Column:
-        i = s["i"] + 1
-        name = F.lower(F.regexp_extract(p, r"^</?([A-Za-z][\w-]*)", 1))
-        starts = (s["lo"] == 0) & p.rlike(opening)
-        own = (s["lo"] > 0) & p.startswith("<") & (name == s["name"])
-        turn = F.when(own & p.startswith("</"), -1).when(own & ~p.endswith("/>"), 1).otherwise(0)
-        ends = turn + s["depth"] < 0
-        found = F.when(ends, F.concat(s["found"], F.array(F.struct(s["lo"].alias("lo"), i.alias("hi"))))).otherwise(s["found"])
-        inside = F.struct(i.alias("i"), s["name"].alias("name"), F.when(ends, 0).otherwise(s["depth"] + turn).alias("depth"), F.when(ends, 0).otherwise(s["lo"]).alias("lo"), found.alias("found"))
-        begun = F.struct(i.alias("i"), name.alias("name"), F.lit(0).alias("depth"), F.when(p.endswith("/>"), 0).otherwise(i + 1).alias("lo"), F.when(p.endswith("/>"), F.concat(s["found"], F.array(F.struct((i + 1).alias("lo"), (i + 1).alias("hi"))))).otherwise(s["found"]).alias("found"))
-        passed = F.struct(i.alias("i"), s["name"].alias("name"), s["depth"].alias("depth"), s["lo"].alias("lo"), s["found"].alias("found"))
-        return F.when(starts, begun).when(own, inside).otherwise(passed)
-
-    zero = F.struct(F.lit(0).alias("i"), F.lit("").alias("name"), F.lit(0).alias("depth"), F.lit(0).alias("lo"), F.array().cast(_PLACES).alias("found"))
-    unclosed = lambda s: F.array(F.struct(s["lo"].alias("lo"), (s["i"] + 1).alias("hi")))
-    places = F.aggregate(parts, zero, step, lambda s: F.when(s["lo"] > 0, F.concat(s["found"], unclosed(s))).otherwise(s["found"]))
-    return F.transform(places, lambda f: F.array_join(F.slice(parts, f["lo"], f["hi"] - f["lo"]), ""))
-
-
-def select(parts: Column, *openings: str) -> Column:
-    """Content of the first element that fits the last pattern, within elements that fit the ones before; null without one."""
-    if len(openings) == 1:
-        return F.get(elements(parts, openings[0]), F.lit(0))
-    return _let(pieces(F.array_join(elements(parts, openings[0]), "")), lambda p: select(p, *openings[1:]))
-
-
-def inner(html: Column, css_class: str) -> Column:
-    """The content of the first element whose class list holds ``css_class`` (words in a row)."""
-    return _let(pieces(html), lambda p: select(p, _class(css_class)))
+def _elements(parts: list[str], opening: str) -> list[str]:
+    """Contents of the elements whose opening tag fits, in order, without those inside of another, in one pass."""
+    found, lo, name, depth = [], 0, "", 0
+    fits, known = re.compile(opening, re.A).match, _FITS.setdefault(opening, {})
+    for i, p in enumerate(parts, 1):
+        if p[0] != "<":
+            continue
+        if not lo:
+            if (opens := known.get(p)) is None:
+                opens = bool(fits(p))
+                if len(p) < 200 and len(known) < 20_000:
+                    known[p] = opens
+            if opens:
+                if p.endswith("/>"):
+                    found.append("")
+                else:
+                    lo, name, depth = i, _name(p), 0
+        elif (_name(p) if len(p) < 200 else _name.__wrapped__(p)) == name:
+            if p[1] != "/":
+                depth += not p.endswith("/>")
+            elif depth:
+                depth -= 1
+            else:
+                found.append("".join(parts[lo : i - 1]))
+                lo = 0
+    return [*found, "".join(parts[lo:])] if lo else found
+
+
+@functools.lru_cache(20_000)
+def _name(piece: str) -> str:
+    named = _NAME.match(piece)
+    return named[1].lower() if named else ""
+
+
+def _along(parts: list[str], path: list) -> list[str]:
+    """Elements that fit the last pattern, within all elements that fit the ones before (of ``(pattern,)`` the first)."""
+    for opening in path[:-1]:
+        only = isinstance(opening, tuple)
+        outer = _elements(parts, opening[0] if only else opening)
+        parts = _CUT.findall("".join(outer[:1] if only else outer))
+    return _elements(parts, path[-1])
+
+
+def elements(html: Column, paths: dict[str, list], rows: dict[str, tuple[list, dict[str, list]]] | None = None) -> Column:
+    """Struct of the contents of elements by their paths, cut once a page: arrays for ``paths``, and for each of ``rows``
+    (a path and further paths by name) an array of structs with the arrays found within each of its elements.
+    A path is a list of patterns of opening tags, each within the elements of the one before."""
+    rows = rows or {}
+
+    def read(page: str | None):
+        if page is None:
+            return None
+        parts = _CUT.findall(page)
+        inside = [[{n: _along(own, p) for n, p in fields.items()} for own in map(_CUT.findall, _along(parts, path))] for path, fields in rows.values()]
+        return (*[_along(parts, path) for path in paths.values()], *inside)
+
+    many = "array<string>"
+    kinds = [f"{n}: {many}" for n in paths] + [f"{n}: array<struct<{', '.join(f'{c}: {many}' for c in fields)}>>" for n, (_, fields) in rows.items()]
+    return F.udf(read, f"struct<{', '.join(kinds)}>", useArrow=False)(html)
+
+
+def _first(found: Column) -> Column:
+    return F.get(found, F.lit(0))
 
 
 def meta(html: Column, name: str) -> Column:
@@ -112,8 +141,7 @@ def links(html: Column) -> Column:
 
 def card_links(html: Column) -> Column:
     """Distinct link targets inside the result cards of a search page."""
-    results = F.coalesce(_let(pieces(html), lambda p: select(p, tag("id", SEARCH_CONTAINER))), F.lit(""))
-    cards = _let(pieces(results), lambda p: elements(p, tag("data-rf-test-name", CARD)))
+    cards = elements(html, {"cards": [(tag("id", SEARCH_CONTAINER),), tag("data-rf-test-name", CARD)]})["cards"]
     return F.coalesce(links(F.array_join(cards, "\n")), F.array().cast("array<string>"))
 
 
@@ -163,32 +191,46 @@ def _number_and_unit(text: Column, unit: str | None) -> Column:
     return F.when(number.isNotNull(), F.concat_ws(" ", number.cast("string"), named))
 
 
-def key_detail(parts: Column, label: str) -> Column:
+def _texts(html: Column) -> Column:
+    """Texts of a listing page, one struct: candidates for the address, the banner, the rows of key details, the lot of
+    the public facts, and the history rows."""
+    span, any_order = _named("span"), r"(?is)^<\w+\b(?=[^>]*\sclass=[\"'](?:[^\"']*\s)?price-col[\s\"'])(?=[^>]*\sclass=[\"'](?:[^\"']*\s)?number[\s\"'])"
+    paths = {f"address{k}": [_class(c)] for k, c in enumerate(ADDRESS_CLASSES)} | {"address_div": [tag("data-rf-test-name", "street-address", "div")]}
+    paths |= {f"status{k}": [_class(c)] for k, c in enumerate(STATUS_CLASSES)}
+    rows = {
+        "details": ([_class("keyDetails-row")], {"label": [_class("valueType")], "value": [_class("valueText")]}),
+        "facts": ([_class("entryItem", "li")], {"label": [_class("entryItemContent")], "spans": [span], "inner": [(span,), span]}),
+        "history": ([_class("PropertyHistoryEventRow")], {"date": [_class("col-4"), _named("p")], "what": [_class("description-col"), _class("col-4"), _named("div")], "price": [any_order], "note": [_class("description-col"), _class("subtext", "p")]}),
+    }
+    return elements(html, paths, rows)
+
+
+def key_detail(found: Column, label: str) -> Column:
     """The value of the first key-detail row whose label contains ``label``."""
-    mine = F.filter(elements(parts, _class("keyDetails-row")), lambda r: F.coalesce(F.contains(text_of(inner(r, "valueType")), F.lit(label)), F.lit(False)))
-    return text_of(inner(F.get(mine, F.lit(0)), "valueText"))
+    mine = F.filter(found["details"], lambda r: F.coalesce(F.contains(text_of(_first(r["label"])), F.lit(label)), F.lit(False)))
+    return text_of(_first(_first(mine)["value"]))
 
 
-def _second_span(html: Column) -> Column:
-    """Spans in the order of their opening tags: one inside the first, or the one behind it."""
-    spans = lambda h: _let(pieces(h), lambda p: elements(p, _named("span")))
-    return _let(spans(html), lambda s: F.coalesce(F.get(spans(F.get(s, F.lit(0))), F.lit(0)), F.get(s, F.lit(1))))
+def public_lot(found: Column) -> Column:
+    """Of the first public fact that names the lot: its second span in the order of the opening tags, one inside the
+    first or the one behind it."""
+    fact = _first(F.filter(found["facts"], lambda r: F.coalesce(F.contains(text_of(_first(r["label"])), F.lit("Lot Size:")), F.lit(False))))
+    return text_of(F.coalesce(_first(fact["inner"]), F.get(fact["spans"], F.lit(1))))
 
 
-def lot_size(parts: Column) -> Column:
-    """Of the key details, else of the first public fact that names it."""
-    facts = F.filter(elements(parts, _class("entryItem", "li")), lambda r: F.coalesce(F.contains(text_of(inner(r, "entryItemContent")), F.lit("Lot Size:")), F.lit(False)))
-    fact = text_of(_second_span(F.get(facts, F.lit(0))))
+def lot_size(detail: Column, fact: Column) -> Column:
+    """Of the key details, else of the public facts."""
     shown = lambda v: F.when(v != "—", _number_and_unit(v, None))
-    return F.coalesce(shown(key_detail(parts, "Lot Size")), shown(fact))
+    return F.coalesce(shown(detail), shown(fact))
 
 
-def status_text(parts: Column) -> Column:
-    return F.lower(F.coalesce(*[text_of(select(parts, _class(c))) for c in STATUS_CLASSES]))
+def status_text(found: Column) -> Column:
+    return F.lower(F.coalesce(*[text_of(_first(found[f"status{k}"])) for k in range(len(STATUS_CLASSES))]))
 
 
-def ready_to_build(parts: Column, year: Column) -> Column:
-    return year.isNull() & F.exists(parts, lambda p: p.rlike(_named("script")) & F.contains(F.lower(p), F.lit(READY_PHRASE)))
+def ready_to_build(html: Column, year: Column) -> Column:
+    told = F.contains(F.lower(html), F.lit(READY_PHRASE))  # most pages need no cutting
+    return F.when(year.isNull() & told, F.exists(pieces(html), lambda p: p.rlike(_named("script")) & F.contains(F.lower(p), F.lit(READY_PHRASE)))).otherwise(False)
 
 
 def embedded_events(html: Column) -> Column:
@@ -203,41 +245,37 @@ def embedded_events(html: Column) -> Column:
     return F.filter(F.transform(events, raw), lambda e: F.coalesce(e["date"], F.lit("")) != "")
 
 
-def row_events(parts: Column) -> Column:
+def row_events(found: Column) -> Column:
     """Events of the history rows; they name no source, so the record is rejected later on."""
-    any_order = r"(?is)^<\w+\b(?=[^>]*\sclass=[\"'](?:[^\"']*\s)?price-col[\s\"'])(?=[^>]*\sclass=[\"'](?:[^\"']*\s)?number[\s\"'])"
 
     def raw(r: Column) -> Column:
-        date = text_of(select(r, _class("col-4"), _named("p")))
-        what = text_of(select(r, _class("description-col"), _class("col-4"), _named("div")))
-        price = money(F.nullif(text_of(select(r, any_order)), F.lit("—"))).cast("double")
-        note = text_of(select(r, _class("description-col"), _class("subtext", "p")))
+        price = money(F.nullif(text_of(_first(r["price"])), F.lit("—"))).cast("double")
+        note = text_of(_first(r["note"]))
         number = F.when(F.contains(note, F.lit("MLS")), extract(note, r"#(\d+)"))
-        return F.struct(date.alias("date"), what.alias("description"), price.alias("price"), F.lit(None).cast("string").alias("source"), number.alias("mlsNumber"))
+        return F.struct(text_of(_first(r["date"])).alias("date"), text_of(_first(r["what"])).alias("description"), price.alias("price"), F.lit(None).cast("string").alias("source"), number.alias("mlsNumber"))
 
-    rows = F.transform(elements(parts, _class("PropertyHistoryEventRow")), lambda r: _let(pieces(r), raw))
-    return F.filter(rows, lambda e: e["date"].isNotNull())
+    return F.filter(F.transform(found["history"], raw), lambda e: e["date"].isNotNull())
 
 
 def raw_records(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored pages (url, html, optional zip_code, scraped_at, property_id) to (raw records, rejects)."""
     html = F.col("html")
     extra = {c: F.lit(None).cast("string") for c in ("zip_code", "scraped_at", "property_id") if c not in pages.columns}
-    df, parts = staged(pages.withColumns(extra), {"_parts": pieces(html)}), F.col("_parts")
-    candidates = [text_of(select(parts, _class(c))) for c in ADDRESS_CLASSES] + [text_of(select(parts, tag("data-rf-test-name", "street-address", "div")))]
+    df, found = pages.withColumns(extra | {"_found": _texts(html)}), F.col("_found")
+    candidates = [text_of(_first(found[c])) for c in [f"address{k}" for k in range(len(ADDRESS_CLASSES))] + ["address_div"]]
     tried = []
     for k, candidate in enumerate(candidates):
         df = address.standardise(df.withColumn(f"_c{k}", candidate), f"_c{k}", f"_p{k}")
         tried.append(F.when(F.col(f"_p{k}").isNotNull(), F.col(f"_c{k}")))
-    df = staged(df.drop("address", "status", "year_built"), {"address": F.coalesce(*tried), "status": status_text(parts), "year_built": key_detail(parts, "Year Built").try_cast("int"), "_js": embedded_events(html)})
-    history = F.when(F.size("_js") > 0, F.col("_js")).otherwise(row_events(parts))
+    df = staged(df.drop("address", "status", "year_built"), {"address": F.coalesce(*tried), "status": status_text(found), "year_built": key_detail(found, "Year Built").try_cast("int"), "_lot": key_detail(found, "Lot Size"), "_fact": public_lot(found), "_js": embedded_events(html)})
+    history = F.when(F.size("_js") > 0, F.col("_js")).otherwise(row_events(found))
     code = F.when(listing_id(F.col("url")).isNull(), "InvalidListingUrl").when(F.col("address").isNull(), "AddressNotFound").when(F.col("status").isNull(), "StatusNotFound")
     df = staged(df, {"_error": code, "_history": history})
     good = df.where("_error is null").select(
         "url", listing_id(F.col("url")).alias("data_source_id"), "scraped_at", "address", page_zip(F.col("zip_code"), F.col("address")).alias("zip_code"),
-        _number_and_unit(meta(html, "twitter:text:sqft"), "sqft").alias("area"), key_detail(parts, "Property Type").alias("property_type"), lot_size(parts).alias("lot_area"),
+        _number_and_unit(meta(html, "twitter:text:sqft"), "sqft").alias("area"), key_detail(found, "Property Type").alias("property_type"), lot_size(F.col("_lot"), F.col("_fact")).alias("lot_area"),
         meta(html, "twitter:text:beds").try_cast("double").alias("bedrooms"), meta(html, "twitter:text:baths").try_cast("double").alias("bathrooms"), "year_built", "status",
-        money(meta(html, "twitter:text:price")).cast("double").alias("price"), ready_to_build(parts, F.col("year_built")).alias("ready_to_build"), "property_id", F.col("_history").alias("history"), F.size("_history").alias("history_count"),
+        money(meta(html, "twitter:text:price")).cast("double").alias("price"), ready_to_build(html, F.col("year_built")).alias("ready_to_build"), "property_id", F.col("_history").alias("history"), F.size("_history").alias("history_count"),
     )
     bad = df.where("_error is not null").select(F.sha2("url", 256).alias("record_key"), F.lit("page").alias("stage"), F.col("_error").alias("error_code"), F.lit("the page lacks a required field").alias("message"), F.col("url").alias("payload"))
     return good, bad

@@ -100,7 +100,7 @@ def _home_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         detail("Property Type", F.lit("Condo")), detail("Year Built", text(k % 60 + 1950)), detail("Lot Size", F.when(k % 2 == 0, "7,405 sq ft").otherwise("—")), F.lit("</section><script>propertyHistoryInfo = "),
         F.to_json(F.struct(F.col("e").alias("events"))), F.lit(";</script>"),
     ]
-    return rows.select(F.concat(F.lit("https://homes.example/OR/Bend/x/home/"), text(k), F.lit("?y")).alias("url"), F.concat(*parts).alias("html"))
+    return rows.select(F.concat(F.lit("https://homes.example/OR/Bend/x/home/"), text(k), F.lit("?y")).alias("url"), F.concat(*parts).alias("html")).repartition("url")
 
 
 @registered("""WITH n AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1)
@@ -382,7 +382,7 @@ def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 2 == 0, F.concat(F.lit('<ul><li class="entryItem"><span class="entryItemContent">Lot Size: <span><span>'), (k % 9 + 1).cast("string"), F.lit(".5</span> acres</span></span></li></ul><script>Ready to build</script>"))).otherwise(""), F.coalesce("rows", F.lit("")),
     ]
     made = table(spark, sf_dir, "customer").join(told, "c_custkey", "left").select(F.concat(F.lit("https://homes.example/OR/Bend/home/"), k.cast("string")).alias("url"), F.concat(*parts).alias("html"))
-    good, _ = pages.raw_records(made)
+    good, _ = pages.raw_records(made.repartition("url"))  # small rows grow to pages here: dealt anew to all cores
     total = F.aggregate("history", F.lit(0.0), lambda s, e: s + F.coalesce(e["price"], F.lit(0.0)))
     return good.select("data_source_id", "address", "lot_area", "status", "year_built", "ready_to_build", "history_count", total.alias("told"))
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 from decimal import Decimal
 
 import pytest
@@ -302,3 +303,16 @@ def test_cards_end_with_their_container(spark):
     assert sorted(r.property_url[-1] for r in pages.property_links(df).collect()) == ["1", "2"]
     parts = df.limit(1).select(pages.pieces(F.col("html")).alias("p")).first().p
     assert "".join(parts) == html
+
+
+def test_cutting_a_page_grows_with_the_page(spark):
+    """Thousands of cards and history rows on one page; a pass that copied what it had found took minutes."""
+    card = '<div data-rf-test-name="mapHomeCard"><a href="/home/%d">x</a></div>'
+    html = '<div id="DesktopBlueprintSearchPage__pageContainer">' + "".join(card % k for k in range(40_000)) + "</div>"
+    row = '<div class="PropertyHistoryEventRow"><div class="col-4"><p>Jan 5, 2024</p></div><div class="description-col"><div class="col-4"><div>Listed</div></div></div><div class="price-col number">$%d</div></div>'
+    listing = "<h1 class='full-address street-address'>9 Oak St, Bend, OR 97701</h1><div class='rental-status'>for sale</div>" + "".join(row % k for k in range(5_000))
+    start = time.monotonic()
+    assert pages.property_links(spark.createDataFrame([("https://h.example/x", html)], "url string, html string")).count() == 40_000
+    good, _ = pages.raw_records(spark.createDataFrame([("https://h.example/home/1", listing)], "url string, html string"))
+    r = good.select("history_count", F.aggregate("history", F.lit(0.0), lambda s, e: s + e["price"]).alias("told")).first()
+    assert (r.history_count, r.told) == (5_000, sum(range(5_000))) and time.monotonic() - start < 60
