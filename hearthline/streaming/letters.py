@@ -7,7 +7,7 @@ has been stored. A batch that runs again after a crash does not count twice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import messages, sinks, tables
@@ -21,10 +21,14 @@ def read(spark: SparkSession, root: str) -> DataFrame:
     return tables.read(spark, root, "dead_letters", LETTERS)
 
 
+def _names(fields: Column) -> Column:
+    """What a reject of this message may be named by."""
+    return F.array_distinct(F.array(F.sha2(fields["data"], 256), F.sha2(F.to_json(fields), 256)))
+
+
 def of_rejects(sent: DataFrame, rejected: DataFrame) -> DataFrame:
     """(letter_key, fields, error_code) of the messages (fields) that the rejects come from; equal messages are one letter."""
-    keys = F.array_distinct(F.array(F.sha2(F.col("fields")["data"], 256), F.sha2(F.to_json("fields"), 256)))
-    named = sent.select("fields", F.explode(keys).alias("letter_key")).where("letter_key is not null")
+    named = sent.select("fields", F.explode(_names(F.col("fields"))).alias("letter_key")).where("letter_key is not null")
     failed = rejected.groupBy(F.col("record_key").alias("letter_key")).agg(F.min("error_code").alias("error_code"))
     return named.join(failed, "letter_key").groupBy("letter_key", "error_code").agg(F.any_value("fields").alias("fields")).select("letter_key", "fields", "error_code")
 
@@ -58,14 +62,15 @@ def mend(spark: SparkSession, root: str, fixes: DataFrame) -> None:
 
 def retry(spark: SparkSession, root: str, now, delivery: str) -> int:
     """Deliver the letters that are due; how many. Those that pass are gone, the others wait longer or rest."""
-    due = stash(read(spark, root).where((F.col("state") == "waiting") & (F.col("next_try") <= F.lit(now).cast("timestamp"))).select("letter_key", "fields"))
-    n = due.count()
+    due = stash(read(spark, root).where((F.col("state") == "waiting") & (F.col("next_try") <= F.lit(now).cast("timestamp"))).select("letter_key", "fields").repartition("letter_key"))
+    n = due.count()  # few bytes, much work: dealt to all cores
     if n:
         raw, bad = messages.raw_messages(due.select("fields"))
         rejected = bad.unionByName(sinks.store(spark, raw, root))
         failed = of_rejects(due.select("fields"), rejected).withColumnRenamed("letter_key", "_key")
-        told = lambda f: F.array(F.sha2(f["data"], 256), F.sha2(F.to_json(f), 256))
-        failed = stash(due.join(failed.drop("fields"), F.array_contains(told(F.col("fields")), F.col("_key")), "inner").select("letter_key", "fields", "error_code").dropDuplicates(["letter_key"]))
+        told = due.select("letter_key", "fields", F.explode(_names(F.col("fields"))).alias("_key"))
+        failed = told.join(failed.drop("fields"), "_key").groupBy("letter_key").agg(F.any_value("fields").alias("fields"), F.min("error_code").alias("error_code"))
+        failed = stash(failed)
         gone = due.select("letter_key").join(failed, "letter_key", "left_anti")
         tables.write(read(spark, root).join(gone, "letter_key", "left_anti"), root, "dead_letters")
         record(spark, root, failed, now, delivery)

@@ -73,3 +73,16 @@ def test_counters_by_the_way(spark, tmp_path):
     rows = {(r.stage, r.outcome): r.n for r in spark.read.schema(metrics.COUNTERS).parquet(f"{root}/counters/*").groupBy("stage", "outcome").agg(F.sum("n").alias("n")).collect()}
     assert rows == {("message", "received"): 6, ("message", "PROPERTY_RAW_DATA"): 4, ("message", "TEST"): 1, ("message", "UNKNOWN"): 1, ("listing", "received"): 3, ("listing", "passed"): 1, ("listing", "UnknownPropertyStatus"): 1, ("listing", "MissingRequiredField"): 1, ("rescan", "received"): 1, ("rescan", "passed"): 1, ("written", "properties"): 2, ("written", "property_events"): 2}
     assert [r.input_rows for r in metrics.progress(query).collect() if r.input_rows] == [5]
+
+
+def test_a_retry_pairs_letters_with_their_rejects_by_key(spark, tmp_path, monkeypatch):
+    """Every letter was compared with every reject before, which ended for some hundreds of them only."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.json").write_text("\n".join(message(raw(status="odd", redfinId=str(k)), k) for k in range(50)))
+    root, plans = str(tmp_path / "store"), []
+    ingest.ingest(ingest.message_stream(spark, str(tmp_path / "in")), root, str(tmp_path / "check"), now=NOW).awaitTermination()
+    stash = letters.stash
+    monkeypatch.setattr(letters, "stash", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), stash(df))[1])
+    assert letters.retry(spark, root, NOW + timedelta(days=1), "second") == 50
+    assert len(plans) == 2 and not [p for p in plans if "NestedLoop" in p or "Cartesian" in p]
+    assert {(r.attempts, r.error_code) for r in letters.read(spark, root).collect()} == {(2, "UnknownPropertyStatus")}
