@@ -16,6 +16,7 @@ from .driver_tables import table
 from .registry import raw_customers, registered
 
 _NOW = datetime(2024, 6, 1)
+_FILES = 200  # a batch: a run's messages came in two files before and were one batch
 
 
 def _folder(spark: SparkSession) -> str:
@@ -23,11 +24,12 @@ def _folder(spark: SparkSession) -> str:
 
 
 def _send(records: DataFrame, path: str) -> None:
-    """Raw records as messages of a stream, in one more folder of its files."""
+    """Raw records as messages of a stream, in more files of its folder, as many as their size asks for; those of one
+    listing share a file, so that no batch boundary falls between them."""
     sent = messages.to_raw_messages(records).drop("warnings")
     fields = F.create_map(*[x for c in sent.columns for x in (F.lit(c), F.col(c).cast("string"))])
     entries = sent.select(F.lit("raw").alias("stream"), F.sha2("data", 256).alias("id"), fields.alias("fields"))
-    entries.repartition(2, "id").write.mode("append").json(path)
+    entries.repartition(F.col("fields")["redfinId"]).write.mode("append").json(path)
 
 
 def _observed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +40,7 @@ def _observed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, root: str) -> None:
-    ingest.ingest(ingest.message_stream(spark, f"{root}/in"), f"{root}/store", f"{root}/checkpoint", now=_NOW).awaitTermination()
+    ingest.ingest(ingest.message_stream(spark, f"{root}/in", _FILES), f"{root}/store", f"{root}/checkpoint", now=_NOW).awaitTermination()
 
 
 _FINE = "SELECT c_custkey AS k FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey HAVING c_custkey % 10 > 6 AND NOT coalesce(bool_or(o_orderkey % 501 = 7), false)"
@@ -78,7 +80,7 @@ def ingest_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _folder(spark)
     sent = _observed_twice(spark, sf_dir)
     _send(sent, f"{root}/in")
-    ingest.ingest(ingest.message_stream(spark, f"{root}/in"), f"{root}/store", f"{root}/checkpoint", now=_NOW).awaitTermination()
+    ingest.ingest(ingest.message_stream(spark, f"{root}/in", _FILES), f"{root}/store", f"{root}/checkpoint", now=_NOW).awaitTermination()
     return spark.read.schema(metrics.COUNTERS).parquet(f"{root}/store/counters/*").groupBy("stage", "outcome").agg(F.sum("n").alias("n"))
 
 
@@ -94,8 +96,8 @@ def urls_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         batch.select(F.col("fields")["property_url"].alias("url")).write.mode("overwrite").parquet(f"{root}/out/batch={number}")
 
     for half in (0, 1):  # the second run goes on from the checkpoint of the first
-        entries.where(F.col("half") == half).drop("half").repartition(2, "id").write.mode("append").json(f"{root}/in")
-        once = ingest.once_a_url(ingest.message_stream(spark, f"{root}/in", 1))
+        entries.where(F.col("half") == half).drop("half").repartition("id").write.mode("append").json(f"{root}/in")
+        once = ingest.once_a_url(ingest.message_stream(spark, f"{root}/in", _FILES))
         once.writeStream.foreachBatch(publish).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     came = spark.read.schema("url string").parquet(f"{root}/out/*")
     return came.groupBy(F.regexp_extract("url", r"(\d+)$", 1).cast("long").alias("k")).agg(F.count("*").alias("n"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hearthline.operators import metrics
 from hearthline.schemas import PROPERTIES
-from hearthline.sources import tables
+from hearthline.sources import sinks, tables
 from hearthline.streaming import ingest, letters
 from tests.test_listings import PAGE, raw
 
@@ -86,3 +86,19 @@ def test_a_retry_pairs_letters_with_their_rejects_by_key(spark, tmp_path, monkey
     assert letters.retry(spark, root, NOW + timedelta(days=1), "second") == 50
     assert len(plans) == 2 and not [p for p in plans if "NestedLoop" in p or "Cartesian" in p]
     assert {(r.attempts, r.error_code) for r in letters.read(spark, root).collect()} == {(2, "UnknownPropertyStatus")}
+
+
+def test_records_without_an_id_do_not_meet_in_one_task(spark):
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sent = spark.range(1000).select(F.col("id").cast("string").alias("record_key"), F.when(F.col("id") < 3, F.concat(F.lit("p"), "id")).alias("property_id"))
+        stored = spark.createDataFrame([("p1",), ("none 7",)], "property_id string")
+        left = sinks.unstored(sent, stored).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(int(r.record_key) for r in left) == [k for k in range(1000) if k != 1]
+    assert len({r.task for r in left}) > 1
