@@ -4,20 +4,25 @@ Restaurants: each context (the word before) has one; all share the root, whose b
 over the known words and one unknown. A word's probability in context u is
   (c - d t) / (theta + C) + (theta + d T) / (theta + C) * P_root(word)
 with its customers c and tables t, the restaurant's C and T; the root is alike, its customers
-being the tables of the contexts. Table counts are sampled by Gibbs. With S the generalised
-Stirling numbers, x a word's base and G(theta / d + T) a Gamma variable of the restaurant,
+being the tables of the contexts. Table counts are sampled by Gibbs, the contexts' and the root's in
+turn. With S the generalised Stirling numbers and G(theta / d + T) a Gamma variable of the restaurant,
 given which its words are independent, t has probabilities in proportion to S(c, t) (d x G)^t;
-S is taken from a table up to ``TABLE`` customers and from an integral beyond. What is
-averaged over the samples are t and T, in which the predictive probabilities are linear.
+S is taken from a table up to ``TABLE`` customers and from an integral beyond. For a context x is the
+word's probability in the root's measure, which is drawn whole, so that contexts are independent given it: a word's weight
+is a Gamma(c - d t) variable plus an inverse Gaussian one, the share of the tables to come (this is what tilted
+stable variables are at the root's discount of 1/2). The root's G is drawn given the weights: its square
+is a Gamma variable. Scores average the predictive probabilities above over the samples, each with its own
+seating of contexts and root.
 
 On Spark: (1) documents become blocks of about ``BLOCK_WORDS`` tokens (word hashes, counted as
 indices into the block's vocabulary) in a table; (2) blocks send their vocabularies, packed, to
-vocabulary shards, which count words, seat the root and answer; a block's distinct (context,
-word) pairs are the root's customers, that is, the seating from which Gibbs starts; (3) blocks
+vocabulary shards, which count words and answer; (3) blocks send their pairs of words to
+context shards, each of which stores the customers of its restaurants; (4) in each sweep context shards draw their tables
+and send them, by word, to the vocabulary shards, which seat the root and answer with its weights; (5) blocks
 send their tokens, packed, to context shards, those of every ``PASSES``-th shard in one pass, which
-seat the contexts and answer with sums of log probabilities by document; (4) blocks add these up. Nothing is capped or sampled away, all
+answer with sums of log probabilities by document; (6) blocks add these up. Nothing is capped or sampled away, all
 messages grow with the corpus and none meets another's documents. The tokens of a context with
-more than ``HOT`` customers are dealt over several shards by word, and T is scaled up there.
+more than ``HOT`` customers are dealt over several shards by word; its T is added up with the root, its G the same in all of them.
 
 A sweep draws the table count of each pair over the seatings of all of its customers, however
 many these are. Words are told apart by 64-bit hashes.
@@ -47,6 +52,7 @@ THETA, DISCOUNT, ROOT_THETA, ROOT_DISCOUNT = 1.0, 0.85, 1.0, 0.5
 BURN_IN, SAMPLES = 4, 2
 TABLE, NODES, ALONE, POINTS = 1024, 17, 30, 50
 END = bw.mix(np.array([20240301], np.uint64))[0]
+MESSAGE = "shard int, kind string, part long, data binary"
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -168,7 +174,7 @@ def draw_tables(customers: np.ndarray, heat: np.ndarray, discount: float, rng) -
 
 
 def seat(customers: np.ndarray, restaurant: np.ndarray, base: np.ndarray, theta: float, discount: float, scale: np.ndarray, rng, burn_in: int = BURN_IN, samples: int = SAMPLES) -> tuple[np.ndarray, np.ndarray]:
-    """Gibbs sampling of table counts; the mean tables of each dish and of each restaurant.
+    """Gibbs sampling of table counts at one level, its base held; the mean tables of each dish and of each restaurant.
 
     A dish is (restaurant, word) with ``customers`` > 0 and the parent's probability ``base``.
     Given a Gamma variable of each restaurant the dishes are independent, and a sweep draws every
@@ -241,108 +247,243 @@ def _vocabularies(shards: int):
     def run(batches):
         for batch in batches:
             for block, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                _, _, _, _, vocabulary, tokens, before, train = _open(blob)
+                _, _, _, _, vocabulary, tokens, _, train = _open(blob)
                 count = np.bincount(tokens[train], minlength=len(vocabulary))
-                pairs = np.sort(before[train] * len(vocabulary) + tokens[train])
-                pairs = pairs[np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))] % len(vocabulary) if len(pairs) else pairs
-                tables = np.bincount(pairs, minlength=len(vocabulary))
                 edges = _shard_edges(vocabulary, shards)
-                blobs = [pack(vocabulary[a:b], _small(count[a:b]), _small(tables[a:b])) for a, b in zip(edges, edges[1:])]
+                blobs = [pack(vocabulary[a:b], _small(count[a:b])) for a, b in zip(edges, edges[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(range(shards), pa.int32()), pa.array([block] * shards, pa.int64()), pa.array(blobs, pa.binary())], ["shard", "block", "data"])
 
     return tidy(run)
 
 
-def _root(shards: int):
-    """Counts and root seats of a shard's words; an answer to each block, totals on the first row."""
+def _counts(key: Any, frame: pd.DataFrame) -> pd.DataFrame:
+    """Counts of a shard's words; an answer to each block, totals on the first row."""
+    frame = frame.sort_values("block")
+    parts = [unpack(b) for b in frame["data"]]
+    words, index = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    count = np.bincount(index, np.concatenate([p[1] for p in parts]).astype(float), len(words)).astype(np.int64)
+    ends = np.cumsum([len(p[0]) for p in parts])
+    blobs = [pack(_small(count[index[e - len(p[0]) : e]])) for p, e in zip(parts, ends)]
+    first = np.arange(len(frame)) == 0
+    return pd.DataFrame({"block": frame["block"].to_numpy(), "shard": int(key[0]), "data": blobs, "n": np.where(first, count.sum(), 0), "v": np.where(first, np.count_nonzero(count), 0)})
+
+
+def _counted(key: Any, blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    """A block and the counts of its vocabulary."""
+    count = np.concatenate([unpack(b)[0].astype(np.int64) for b in answers.sort_values("shard")["data"]])
+    return pd.DataFrame({"block": [int(key[0])], "data": [blocks["data"].iloc[0]], "counts": [pack(_small(count))]})
+
+
+def _gaps(words: np.ndarray) -> np.ndarray:
+    return np.diff(words, prepend=np.zeros(1, np.uint64))
+
+
+def _places(gaps: np.ndarray) -> np.ndarray:
+    return np.cumsum(gaps, dtype=np.uint64)
+
+
+def _dealt(vocabulary: np.ndarray, count: np.ndarray, tokens: np.ndarray, before: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The context shard of each token, and over how many shards each context is dealt by word."""
+    cuts = 1 + count // HOT
+    shard = (bw.mix(vocabulary) % bw.U64(shards)).astype(np.int64)[before]
+    hot = np.flatnonzero((cuts > 1)[before])
+    part = vocabulary[tokens[hot]] % cuts[before[hot]].astype(np.uint64)
+    shard[hot] = bw.mix(vocabulary[before[hot]] + part * bw.U64(0x9E3779B97F4A7C15)) % bw.U64(shards)
+    return shard, cuts
+
+
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """Where the runs of sorted keys begin."""
+    return np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+
+
+def _runs(keys: np.ndarray, size: int):
+    """From sorted keys (shard * size + context) * size + word, of each shard: its part of the keys, where each pair
+    begins there, the contexts, their pairs, the words, and the word of each pair."""
+    begins = _starts(keys)
+    pairs, word = np.divmod(keys[begins], size)
+    shard, context = np.divmod(pairs, size)
+    edges = np.append(_starts(shard), len(shard))
+    ends = np.append(begins, len(keys))
+    for a, b in zip(edges, edges[1:]):
+        at = _starts(context[a:b])
+        words, w = np.unique(word[a:b], return_inverse=True)
+        yield int(shard[a]), slice(ends[a], ends[b]), begins[a:b] - ends[a], context[a:b][at], np.diff(np.append(at, b - a)), words, w
+
+
+def _pairs(shards: int):
+    """The pairs of each block, with their training customers, to the shards of their contexts."""
+
+    def run(batches):
+        for batch in batches:
+            for block, blob, counts in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                _, _, _, _, vocabulary, tokens, before, train = _open(blob)
+                count = unpack(counts)[0].astype(np.int64)
+                shard, cuts = _dealt(vocabulary, count, tokens, before, shards)
+                size, to, blobs = len(vocabulary), [], []
+                keys = np.sort(((shard * size + before) * size + tokens) * 2 + train)
+                for s, own, first, contexts, pairs, words, w in _runs(keys >> 1, size):
+                    to.append(s)
+                    customers = np.add.reduceat(keys[own] & 1, first)
+                    blobs.append(pack(vocabulary[contexts], count[contexts], cuts[contexts], _small(pairs), _gaps(vocabulary[words]), _small(w), _small(customers)))
+                yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array([block] * len(to), pa.int64()), pa.array(blobs, pa.binary())], ["shard", "block", "data"])
+
+    return tidy(run)
+
+
+def _restaurants(key: Any, frame: pd.DataFrame) -> pd.DataFrame:
+    """The contexts of a shard, its words, and the customers of each dish, in order of context and word."""
+    own = [unpack(d) for d in frame.sort_values("block")["data"]]
+    contexts, at_u, u = np.unique(np.concatenate([m[0] for m in own]), return_index=True, return_inverse=True)
+    size, cuts = (np.concatenate([m[k] for m in own])[at_u] for k in (1, 2))
+    words, w = np.unique(np.concatenate([_places(m[4]) for m in own]), return_inverse=True)
+    pairs, from_u, from_w = [], 0, 0
+    for m in own:
+        pairs.append(np.repeat(u[from_u : from_u + len(m[0])], m[3]) * len(words) + w[from_w : from_w + len(m[4])][m[5]])
+        from_u, from_w = from_u + len(m[0]), from_w + len(m[4])
+    dishes, index = np.unique(np.concatenate(pairs), return_inverse=True)
+    customers = np.bincount(index, np.concatenate([m[6] for m in own]).astype(float)).astype(np.int64)
+    held = np.bincount(dishes // len(words), minlength=len(contexts))
+    blob = pack(contexts, _small(size), _small(cuts), _small(held), _gaps(words), _small(dishes % len(words)), _small(customers))
+    give_back()
+    return pd.DataFrame({"shard": [int(key[0])], "kind": ["state"], "part": [0], "data": [blob]})
+
+
+def _of_kind(frame: pd.DataFrame, kind: str) -> list[tuple[np.ndarray, ...]]:
+    return [unpack(d) for d in frame[frame["kind"] == kind].sort_values("part")["data"]]
+
+
+def _laid(frame: pd.DataFrame):
+    """Contexts, their sizes, the hot ones, words; of each dish its context, word and customers."""
+    ((contexts, size, cuts, held, gaps, w, customers),) = _of_kind(frame, "state")
+    return contexts, size.astype(np.int64), np.flatnonzero(cuts > 1), _places(gaps), np.repeat(np.arange(len(contexts)), held), w.astype(np.int64), customers.astype(np.int64)
+
+
+def _sweep(shards: int, sweep: int, weight: float, sampled: bool):
+    """Seat the contexts of a shard again, given the root (first: one table a dish), and send the root its customers."""
 
     def run(key: Any, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("block")
-        parts = [unpack(b) for b in frame["data"]]
-        words, index = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        count = np.bincount(index, np.concatenate([p[1] for p in parts]).astype(float), len(words)).astype(np.int64)
-        customers = np.bincount(index, np.concatenate([p[2] for p in parts]).astype(float), len(words)).astype(np.int64)
-        known = np.flatnonzero(count)
-        tables = np.zeros(len(words))
-        if len(known):
-            base = np.full(len(known), 1.0 / (len(known) * shards + 1))
-            tables[known] = seat(customers[known], np.zeros(len(known), np.int64), base, ROOT_THETA, ROOT_DISCOUNT, np.array([float(shards)]), np.random.default_rng(int(key[0])))[0]
-        blobs, at = [], 0
-        for p in parts:
-            own = index[at : at + len(p[0])]
-            at += len(p[0])
-            blobs.append(pack(_small(count[own]), (customers[own] - ROOT_DISCOUNT * tables[own]).astype(np.float32)))
-        first = np.arange(len(frame)) == 0
-        totals = {"n": int(count.sum()), "v": len(known), "k": float(customers.sum()), "t": float(tables.sum())}
-        return pd.DataFrame({"block": frame["block"].to_numpy(), "shard": int(key[0]), "data": blobs} | {c: np.where(first, x, 0) for c, x in totals.items()})
+        contexts, _, hot, words, home, w, customers = _laid(frame)
+        tables = (customers > 0).astype(np.int64)
+        if sweep:
+            answers, ((house, *_),) = _of_kind(frame, "answer"), _of_kind(frame, "own")
+            base, house = np.concatenate([a[0] for a in answers]) / weight, house.astype(float)
+            house[hot] = np.concatenate([a[1] for a in answers])
+            rng = np.random.default_rng([int(key[0]), sweep])
+            heat = rng.standard_gamma(THETA / DISCOUNT + house)
+            for k in hot:  # the same in each of its shards
+                heat[k] = np.random.default_rng([int(contexts[k]), sweep]).standard_gamma(THETA / DISCOUNT + house[k])
+            many = np.flatnonzero(customers > 1)
+            tables[many] = draw_tables(customers[many], heat[home[many]] * base[w[many]], DISCOUNT, rng)
+        house = np.bincount(home, tables, len(contexts)).astype(np.int64)
+        seats = np.bincount(w, tables, len(words)).astype(np.int64)
+        at, at_hot = _shard_edges(words, shards), _shard_edges(contexts[hot], shards)
+        rows = [(int(key[0]), "own", 0, pack(_small(house), _small(tables if sampled else tables[:0])))]
+        for s, (a, b, c, d) in enumerate(zip(at, at[1:], at_hot, at_hot[1:])):
+            if b > a or d > c:
+                rows.append((s, "root", int(key[0]), pack(_gaps(words[a:b]), _small(seats[a:b]), contexts[hot[c:d]], house[hot[c:d]])))
+        give_back()
+        return pd.DataFrame(rows, columns=["shard", "kind", "part", "data"])
 
     return run
 
 
-def _messages(shards: int, totals: dict, part_of: int):
-    n, v, k, t = (totals[c] for c in "nvkt")
-
-    def run(key: Any, blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        ids, missing, held, sizes, vocabulary, tokens, before, train = _open(blocks["data"].iloc[0])
-        parts = [unpack(b) for b in answers.sort_values("shard")["data"]]
-        count = np.concatenate([p[0].astype(np.int64) for p in parts])
-        root = (np.concatenate([p[1] for p in parts]) + (ROOT_THETA + ROOT_DISCOUNT * t) / (v + 1)) / (ROOT_THETA + k)
-        ends = np.cumsum(sizes)
-        total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[np.concatenate([[0], ends])])
-        base = total(np.log10((count[tokens] + 1) / (n + v + 1)))
-        home = int(key[0]) % shards
-        rows = [] if home % PASSES != part_of else [(home, int(key[0]), "documents", pack(ids, missing, held, sizes, total(count[tokens] > 0), base))]
-        cuts = 1 + count // HOT
-        part = vocabulary[tokens] % cuts[before].astype(np.uint64)
-        shard = (bw.mix(vocabulary[before] + part * bw.U64(0x9E3779B97F4A7C15)) % bw.U64(shards)).astype(np.int64)
-        doc = np.repeat(np.arange(len(ids)), sizes)
-        order = np.lexsort((tokens, before, shard))
-        edges = np.searchsorted(shard[order], np.arange(shards + 1))
-        for s in range(part_of, shards, PASSES):
-            own = order[edges[s] : edges[s + 1]]
-            if len(own):
-                first = np.flatnonzero(np.append(True, (np.diff(before[own]) != 0) | (np.diff(tokens[own]) != 0)))
-                contexts, pairs = np.unique(before[own[first]], return_counts=True)
-                words, w = np.unique(tokens[own[first]], return_inverse=True)
-                gaps = np.diff(vocabulary[words], prepend=np.zeros(1, np.uint64))
-                repeats = _small(np.diff(np.append(first, len(own))))
-                rows.append((s, int(key[0]), "tokens", pack(vocabulary[contexts], count[contexts], cuts[contexts], _small(pairs), gaps, root[words].astype(np.float32), _small(w), repeats, _small(doc[own]), held)))
+def draw_root(customers: np.ndarray, mass: float, words: int, rng) -> tuple[np.ndarray, np.ndarray]:
+    """Tables of the root's dishes, all with customers, and their weights: unnormalised probabilities of its measure."""
+    share = mass / (words + 1)
+    tables = draw_tables(customers, np.full(len(customers), share), ROOT_DISCOUNT, rng)
+    return tables, rng.standard_gamma(customers - ROOT_DISCOUNT * tables) + rng.wald(share / 2, share * share / 2, len(customers))
+
+
+def draw_mass(mass: float, words: int, weight: float, inverse: float, rng) -> tuple[float, float]:
+    """The whole weight of the root, the unknown word's drawn and added, and its next mass; ``inverse``: the sum of 1 / weight."""
+    share = mass / (words + 1)
+    unknown = rng.wald(share / 2, share * share / 2)
+    rate = (inverse + 1 / unknown) / (2 * (words + 1)) ** 2
+    return weight + unknown, float(np.sqrt(rng.standard_gamma((words + 1 + ROOT_THETA / ROOT_DISCOUNT) / 2) / rate))
+
+
+def _root(sweep: int, mass: float, words_known: int, sampled: bool):
+    """Seat a shard of the root with the tables of all contexts; an answer to each context shard, totals on the first row."""
+
+    def run(key: Any, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("part")
+        parts = [unpack(b) for b in frame["data"]]
+        words, index = np.unique(np.concatenate([_places(p[0]) for p in parts]), return_inverse=True)
+        customers = np.bincount(index, np.concatenate([p[1] for p in parts]).astype(float), len(words)).astype(np.int64)
+        hot, at_hot = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+        house = np.bincount(at_hot, np.concatenate([p[3] for p in parts]).astype(float), len(hot))
+        known = np.flatnonzero(customers)
+        tables, weights = np.zeros(len(words)), np.zeros(len(words))
+        tables[known], weights[known] = draw_root(customers[known], mass, words_known, np.random.default_rng([int(key[0]), sweep, 1]))
+        rows, at, to = [], 0, 0
+        for part, p in zip(frame["part"], parts):
+            own, own_hot = index[at : at + len(p[0])], at_hot[to : to + len(p[2])]
+            at, to = at + len(p[0]), to + len(p[2])
+            rows.append((part, "answer", int(key[0]), pack(weights[own].astype(np.float32), house[own_hot])))
+            if sampled:
+                rows.append((part, "seated", int(key[0]), pack(_small(customers[own]), _small(tables[own].astype(np.int64)), house[own_hot])))
+        first = np.arange(len(rows)) == 0
+        totals = {"k": float(customers.sum()), "t": float(tables.sum()), "weight": float(weights.sum()), "inverse": float((1 / weights[known]).sum())}
         give_back()
-        return pd.DataFrame(rows, columns=["shard", "block", "kind", "data"])
+        return pd.DataFrame(rows, columns=["shard", "kind", "part", "data"]).assign(**{c: np.where(first, x, 0) for c, x in totals.items()})
 
     return run
 
 
-def _contexts(key: Any, frame: pd.DataFrame) -> pd.DataFrame:
-    """Seat the restaurants of a shard; sums of log10 probabilities by block and document."""
-    frame = frame.sort_values(["kind", "block"])
-    rows = [(b, "documents", d) for b, k, d in zip(frame["block"], frame["kind"], frame["data"]) if k == "documents"]
-    own = [(b, unpack(d)) for b, k, d in zip(frame["block"], frame["kind"], frame["data"]) if k == "tokens"]
-    if own:
-        contexts, at_u, u = np.unique(np.concatenate([m[0] for _, m in own]), return_index=True, return_inverse=True)
-        size, cuts = (np.concatenate([m[k] for _, m in own])[at_u].astype(float) for k in (1, 2))
-        words, at_w, w = np.unique(np.concatenate([np.cumsum(m[4], dtype=np.uint64) for _, m in own]), return_index=True, return_inverse=True)
-        root = np.concatenate([m[5] for _, m in own])[at_w].astype(float)
-        pairs, from_u, from_w = [], 0, 0
-        for _, m in own:
-            pairs.append(np.repeat(u[from_u : from_u + len(m[0])], m[3]) * len(words) + w[from_w : from_w + len(m[4])][m[6]])
-            from_u, from_w = from_u + len(m[0]), from_w + len(m[4])
-        dishes, index = np.unique(np.concatenate(pairs), return_inverse=True)
-        index = np.repeat(index, np.concatenate([m[7] for _, m in own]))
-        customers = np.bincount(index[~np.concatenate([m[9][m[8]] for _, m in own])], minlength=len(dishes))
-        home, base = dishes // len(words), root[dishes % len(words)]
-        some = np.flatnonzero(customers)
-        tables, house = np.zeros(len(dishes)), np.zeros(len(contexts))
-        if len(some):
-            tables[some], house = seat(customers[some], home[some], base[some], THETA, DISCOUNT, cuts, np.random.default_rng(int(key[0]) + 1))
-        p = (customers - DISCOUNT * tables + (THETA + DISCOUNT * cuts[home] * house[home]) * base) / (THETA + size[home])
-        logs, at = np.log10(p)[index], 0
-        for b, m in own:
-            docs = m[8].astype(np.int64)
-            rows.append((b, "scores", pack(np.bincount(docs, logs[at : at + len(docs)]))))
-            at += len(docs)
-    give_back()
-    return pd.DataFrame(rows, columns=["block", "kind", "data"])
+def _messages(shards: int, n: int, v: int, part_of: int):
+    """The tokens of each block, by document, to the shards of their contexts."""
+
+    def run(batches):
+        for batch in batches:
+            for block, blob, counts in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                ids, missing, held, sizes, vocabulary, tokens, before, _ = _open(blob)
+                count = unpack(counts)[0].astype(np.int64)
+                ends = np.cumsum(sizes)
+                total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[np.concatenate([[0], ends])])
+                rows = []
+                if block % shards % PASSES == part_of:
+                    base = total(np.log10((count[tokens] + 1) / (n + v + 1)))
+                    rows.append((block % shards, "documents", pack(ids, missing, held, sizes, total(count[tokens] > 0), base)))
+                shard = _dealt(vocabulary, count, tokens, before, shards)[0]
+                some = np.flatnonzero(shard % PASSES == part_of)
+                keys, size = (shard[some] * len(vocabulary) + before[some]) * len(vocabulary) + tokens[some], len(vocabulary)
+                order = np.argsort(keys, kind="stable")
+                doc = np.repeat(np.arange(len(ids)), sizes)[some[order]]
+                for s, own, first, contexts, pairs, words, w in _runs(keys[order], size):
+                    repeats = np.diff(np.append(first, own.stop - own.start))
+                    rows.append((s, "tokens", pack(vocabulary[contexts], _small(pairs), _gaps(vocabulary[words]), _small(w), _small(repeats), _small(doc[own]))))
+                to, kinds, blobs = zip(*rows) if rows else ((), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(kinds, pa.string()), pa.array([block] * len(to), pa.int64()), pa.array(blobs, pa.binary())], ["shard", "kind", "part", "data"])
+
+    return tidy(run)
+
+
+def _scores(totals: list[dict], v: int):
+    """Sums of log10 probabilities by block and document, from the sampled seatings of a shard and of the root."""
+
+    def run(key: Any, frame: pd.DataFrame) -> pd.DataFrame:
+        facts = frame[frame["kind"] == "documents"]
+        rows = list(zip(facts["part"], facts["kind"], facts["data"]))
+        if (frame["kind"] == "tokens").any():
+            contexts, size, hot, words, home, w, customers = _laid(frame)
+            p = np.zeros(len(customers))
+            for s, total in enumerate(totals):
+                answers, ((house, tables),) = _of_kind(frame, f"seated{s}"), _of_kind(frame, f"own{s}")
+                seated, house = np.concatenate([a[0] - ROOT_DISCOUNT * a[1] for a in answers]), house.astype(float)
+                house[hot] = np.concatenate([a[2] for a in answers])
+                root = (seated + (ROOT_THETA + ROOT_DISCOUNT * total["t"]) / (v + 1)) / (ROOT_THETA + total["k"])
+                p += customers - DISCOUNT * tables + (THETA + DISCOUNT * house[home]) * root[w]
+            logs, dishes = np.log10(p / len(totals) / (THETA + size[home])), home * len(words) + w
+            sent = frame[frame["kind"] == "tokens"].sort_values("part")
+            for block, blob in zip(sent["part"], sent["data"]):
+                own, pairs, gaps, at, repeats, doc = unpack(blob)
+                keys = np.repeat(np.searchsorted(contexts, own), pairs) * len(words) + np.searchsorted(words, _places(gaps))[at]
+                rows.append((block, "scores", pack(np.bincount(doc.astype(np.int64), np.repeat(logs[np.searchsorted(dishes, keys)], repeats)))))
+        give_back()
+        return pd.DataFrame(rows, columns=["block", "kind", "data"])
+
+    return run
 
 
 def _sums(n: int):
@@ -360,6 +501,29 @@ def _sums(n: int):
     return run
 
 
+def _sample(state: DataFrame, root_shards: int, v: int) -> tuple[list[DataFrame], list[dict]]:
+    """Sweeps of all contexts and of the root in turn: the sampled seatings, and the root's totals in each sample."""
+    rng = np.random.default_rng(0)
+    mass, weight, before, kept, totals = float(rng.standard_gamma(ROOT_THETA / ROOT_DISCOUNT + v)), 1.0, [], [], []
+    sums = ["k", "t", "weight", "inverse"]
+    for sweep in range(BURN_IN + SAMPLES + 1):  # the first only seats the root
+        sampled = sweep > BURN_IN
+        known = functools.reduce(DataFrame.union, [state, *(t.select(*state.columns).where("kind in ('own', 'answer')") for t in before)])
+        seats = stash(known.groupBy("shard").applyInPandas(_sweep(root_shards, sweep, weight, sampled), MESSAGE))
+        root = seats.where("kind = 'root'").groupBy("shard").applyInPandas(_root(sweep, mass, v, sampled), f"{MESSAGE}, {', '.join(f'{c} double' for c in sums)}")
+        root = stash(root)
+        total = root.agg(*[F.sum(c).alias(c) for c in sums]).first().asDict()
+        weight, mass = draw_mass(mass, v, total["weight"], total["inverse"], rng)
+        discard(*before)
+        before = [seats, root]
+        if sampled:  # kept without the messages beside them
+            for table, kind in ((seats, "own"), (root, "seated")):
+                kept.append(stash(table.where(F.col("kind") == kind).select("shard", F.lit(f"{kind}{len(totals)}").alias("kind"), "part", "data")))
+            totals.append(total)
+    discard(*before)
+    return kept, totals
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """Train on the documents that are not held out and score all of them."""
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -367,18 +531,22 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words, vocabulary = blocks.agg(F.sum("words"), F.sum("vocabulary")).first()
     if not words:
         return docs.sparkSession.createDataFrame([], RESULT)
-    shards = max(1, -(-vocabulary // 300_000))
-    sent = blocks.select("block", "data").mapInArrow(_vocabularies(shards), "shard int, block long, data binary")
-    answers = stash(sent.groupBy("shard").applyInPandas(_root(shards), "block long, shard int, data binary, n long, v long, k double, t double"))
-    totals = answers.agg(*[F.sum(c).alias(c) for c in "nvkt"]).first().asDict()
-    shards = max(1, -(-words // shard_words))
-    pairs = blocks.select("block", "data").groupBy("block").cogroup(answers.select("block", "shard", "data").groupBy("block"))
-    sums = []
-    for part_of in range(PASSES):  # the messages of half of the shards at a time, so that less lies on disk at once
-        sent = pairs.applyInPandas(_messages(shards, totals, part_of), "shard int, block long, kind string, data binary")
-        sums.append(stash(sent.groupBy("shard").applyInPandas(_contexts, "block long, kind string, data binary")))
+    root_shards, shards = max(1, -(-vocabulary // 300_000)), max(1, -(-words // shard_words))
+    sent = blocks.select("block", "data").mapInArrow(_vocabularies(root_shards), "shard int, block long, data binary")
+    answers = stash(sent.groupBy("shard").applyInPandas(_counts, "block long, shard int, data binary, n long, v long"))
+    n, v = answers.agg(F.sum("n"), F.sum("v")).first()
+    counted = blocks.select("block", "data").groupBy("block").cogroup(answers.select("block", "shard", "data").groupBy("block"))
+    counted = stash(counted.applyInPandas(_counted, "block long, data binary, counts binary"))
     discard(blocks, answers)
-    return functools.reduce(DataFrame.union, sums).groupBy("block").applyInPandas(_sums(int(totals["n"])), RESULT)
+    state = stash(counted.mapInArrow(_pairs(shards), "shard int, block long, data binary").groupBy("shard").applyInPandas(_restaurants, MESSAGE))
+    kept, totals = _sample(state, root_shards, v)
+    sums = []
+    for part_of in range(PASSES):  # the messages of a part of the shards at a time, so that less lies on disk at once
+        sent = counted.mapInArrow(_messages(shards, n, v, part_of), MESSAGE)
+        known = functools.reduce(DataFrame.union, [state, *kept]).where(F.col("shard") % PASSES == part_of)
+        sums.append(stash(sent.union(known).groupBy("shard").applyInPandas(_scores(totals, v), "block long, kind string, data binary")))
+    discard(counted, state, *kept)
+    return functools.reduce(DataFrame.union, sums).groupBy("block").applyInPandas(_sums(n), RESULT)
 
 
 def perplexity(scored: DataFrame) -> DataFrame:

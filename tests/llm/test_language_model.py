@@ -125,3 +125,52 @@ def test_large_table_counts_follow_the_stirling_numbers():
             weight = np.exp(logs - logs.max()) / np.exp(logs - logs.max()).sum()
             mean, drawn = (weight * t).sum(), lm.draw_tables(np.full(150, 1500), np.full(150, heat), d, np.random.default_rng(2))
             assert abs(drawn.mean() - mean) < 0.05 + 5 * math.sqrt((weight * (t - mean) ** 2).sum() / 150)
+
+
+def exact_root(pairs, words):
+    """Mean customers of the root, in all and of the first word, and their tables, by enumerating all table counts of both levels."""
+    theta, d, theta0, d0 = lm.THETA, lm.DISCOUNT, lm.ROOT_THETA, lm.ROOT_DISCOUNT
+    contexts, root = log_stirling(max(pairs.values()), d), log_stirling(sum(pairs.values()), d0)
+    keys, total, out = list(pairs), 0.0, np.zeros(3)
+    for ts in itertools.product(*[range(1, pairs[k] + 1) for k in keys]):
+        logs = sum(contexts[pairs[k] - 1][t - 1] for k, t in zip(keys, ts))
+        for u in {u for u, _ in keys}:
+            logs += sum(math.log(theta + d * k) for k in range(1, sum(t for (v, _), t in zip(keys, ts) if u == v)))
+        c = [sum(t for (_, x), t in zip(keys, ts) if x == w) for w in range(words)]
+        logs -= sum(math.log(theta0 + k) for k in range(1, sum(c)))
+        for t0 in itertools.product(*[range(1, k + 1) for k in c]):
+            more = sum(root[k - 1][t - 1] - t * math.log(words + 1) for k, t in zip(c, t0)) + sum(math.log(theta0 + d0 * k) for k in range(1, sum(t0)))
+            weight = math.exp(logs + more)
+            total += weight
+            out += weight * np.array([sum(c), c[0], sum(t0)])
+    return out / total
+
+
+def test_both_levels_match_enumeration():
+    pairs = {(0, 0): 6, (0, 1): 1, (1, 0): 3, (1, 2): 4, (2, 1): 2}
+    want = exact_root(pairs, 3)
+    home, w, c = (np.array(x) for x in ([u for u, _ in pairs], [w for _, w in pairs], list(pairs.values())))
+    rng, tables, mass, seen, sweeps = np.random.default_rng(3), np.ones(len(pairs), np.int64), 5.0, np.zeros(3), 30_000
+    for sweep in range(sweeps):
+        customers = np.bincount(w, tables).astype(np.int64)
+        root, weights = lm.draw_root(customers, mass, 3, rng)
+        seen += [customers.sum(), customers[0], root.sum()]
+        weight, mass = lm.draw_mass(mass, 3, weights.sum(), (1 / weights).sum(), rng)
+        heat = rng.standard_gamma(lm.THETA / lm.DISCOUNT + np.bincount(home, tables))
+        tables = lm.draw_tables(c, heat[home] * weights[w] / weight, lm.DISCOUNT, rng)
+    assert np.allclose(seen / sweeps, want, rtol=0.02), (seen / sweeps, want)
+
+
+def test_scores_do_not_depend_on_blocks(spark):
+    """The root's customers are the tables of whole contexts, however the documents are cut."""
+    docs = spark.createDataFrame([(i, " ".join(["x"] * 40 + [f"w{i % 7}", "x", "y"] * 5)) for i in range(60)], "doc_id long, text string")
+    scores = [{r.doc_id: r.score for r in lm.score_documents(docs.coalesce(1), block_words=size).collect()} for size in (10**6, 300)]
+    assert all(abs(scores[0][i] - scores[1][i]) < 1e-3 for i in scores[0])
+
+
+def test_contexts_over_several_shards(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(f"a{i % 5} the b{(i * k) % 11} the c{k}" for k in range(20))) for i in range(60)], "doc_id long, text string").coalesce(1)
+    whole = sum(r.score for r in lm.score_documents(docs, shard_words=400).collect())
+    monkeypatch.setattr(lm, "HOT", 200)
+    dealt = sum(r.score for r in lm.score_documents(docs, shard_words=400).collect())
+    assert abs(dealt - whole) < 0.03 * abs(whole)
