@@ -31,6 +31,7 @@ table gives no rows; other columns, whatever their names, take no part.
 from __future__ import annotations
 
 import contextlib
+import functools
 import hashlib
 
 import numpy as np
@@ -279,40 +280,64 @@ def _confirm(similarity: float):
     return tidy(run)
 
 
-def confirmed(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose whole sets are alike enough. rows: (rid, hashes)."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-    few = needed.count() <= FEW  # else both sides are shuffled
-    sets = rows.select("rid", "hashes").join(F.broadcast(needed) if few else needed, "rid", "left_semi")
-    a, b = (sets.select(F.col("rid").alias(s), F.col("hashes").alias(f"hashes_{s}")) for s in "ab")
+def _sets(shingle: int):
+    """The key and the set of each text, once a task."""
+
+    def run(batches):
+        seen = set()
+        for batch in batches:
+            for _, _, buffer, offsets in bw.chunks(batch, "text"):
+                hashes, first = _shingle_sets(buffer, offsets, shingle)
+                sets = [hashes[x:y].tobytes() for x, y in zip(first.tolist(), first[1:].tolist())]
+                new = {k: own for own in sets if own and (k := hashlib.blake2b(own, digest_size=16).digest()) not in seen}
+                seen |= new.keys()
+                yield pa.RecordBatch.from_arrays([pa.array(new.keys(), pa.binary()), pa.array(new.values(), pa.binary())], ["key", "hashes"])
+
+    return tidy(run)
+
+
+def confirmed(pairs: DataFrame, rows: DataFrame, slim: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs whose whole sets are alike enough. rows: (rid, key, th), th being the XXH64 of the text in ``slim``; the
+    sets are larger than the texts, so they are made again for the texts of candidates rather than kept for all."""
+    needed = stash(pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct().join(rows.select("rid", "key", "th"), "rid"))
+    hashed = needed.select("th").distinct()
+    hashed = F.broadcast(hashed) if needed.count() <= FEW else hashed  # else both sides are shuffled
     with _batches_of(pairs.sparkSession, SETS_A_BATCH):
-        return stash(pairs.join(a, "a").join(b, "b").select("a", "b", "hashes_a", "hashes_b").mapInArrow(_confirm(similarity), "a long, b long"))
+        texts = slim.withColumn("th", F.xxhash64("text")).join(hashed, "th", "left_semi").select("text")
+        made = texts.mapInArrow(_sets(shingle), "key binary, hashes binary").groupBy("key").agg(F.first("hashes").alias("hashes"))
+        sets = stash(made.join(needed.select("rid", "key"), "key").select("rid", "hashes"))
+        a, b = (sets.select(F.col("rid").alias(s), F.col("hashes").alias(f"hashes_{s}")) for s in "ab")
+        out = stash(pairs.join(a, "a").join(b, "b").select("a", "b", "hashes_a", "hashes_b").mapInArrow(_confirm(similarity), "a long, b long"))
+    discard(needed, sets)
+    return out
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id (the smallest id reachable by links) and kept."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = slim.schema["id"].dataType.simpleString()
-    rows = stash(slim.mapInArrow(_describe(shingle), f"id {kind}, rid long, n long, key binary, signature binary, hashes binary"))
+    made = slim.select(F.struct("id", F.xxhash64("text").alias("th")).alias("id"), "text")
+    made = made.mapInArrow(_describe(shingle), f"id struct<id: {kind}, th: bigint>, rid long, n long, key binary, signature binary, hashes binary")
+    rows = stash(made.select("id.id", "id.th", "rid", "n", "key", "signature"))
     keys = rows.where("key is not null").groupBy("key").agg(F.min("rid").alias("rid"), F.min("id").alias("least"))
-    keys = stash(keys)  # the first row of a class in the table is the first in its task, which holds set and signature
+    keys = stash(keys)  # the first row of a class in the table is the first in its task, which holds the signature
     classes = stash(rows.select("rid", "n", "signature").join(keys.select("rid"), "rid"))
-    links, roots = None, None
+    links, roots = [], None
     for first, connect in ROUNDS:
         apart = classes.withColumn("component", F.col("rid"))
         if roots is not None:
             apart = classes.join(roots.withColumnRenamed("node", "rid"), "rid", "left").select("rid", "n", "signature", F.coalesce("root", "rid").alias("component"))
         pairs = candidates(apart, range(first, TREES, 2), similarity, connect)
-        new = confirmed(pairs, rows, similarity)
+        links.append(confirmed(pairs, rows, slim, shingle, similarity))
         discard(pairs, *([] if roots is None else [roots]))
-        links = new if links is None else links.union(new)
-        roots = stash(components(links))
+        roots = stash(components(functools.reduce(DataFrame.union, links)))
+    whole, rows = rows, stash(rows.select("id", "rid", "n", "key"))  # what follows needs no signatures
+    discard(whole, classes, *links)
     own = keys.join(roots.withColumnRenamed("node", "rid"), "rid", "left").select("key", "rid", "least", F.coalesce("root", "rid").alias("root"))
     named = own.groupBy("root").agg(F.min("least").alias("component_id"), F.min("rid").alias("first"))
     named = own.join(named, "root").select("key", "component_id", "first")
     linked = rows.where("key is not null").select("id", "rid", "n", "key").join(named, "key").select("id", "n", "component_id", F.when(F.col("component_id").isNull(), F.col("rid") == F.col("first")).otherwise(F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))).alias("kept"))
     alone = rows.where("key is null").select("id", "n", F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    discard(classes)
     out = linked.union(alone)
     return out.select(F.col("id").alias(fresh_name(out.drop("id"), id_col)), F.col("n").alias("n_shingles"), "component_id", "kept")
 

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .support import discard, documents, refuse_clashes, stash, tidy
+from .support import discard, documents, give_back, refuse_clashes, stash, tidy
 
 ORDER, BITS, PART = 4, 16, 4_000_000
 STEP = 0.001  # width of a histogram cell of log perplexity
@@ -259,6 +259,8 @@ def assess(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", min_
         else:
             before = stash(scored if with_text or model.count() > PART else scored.drop(text_col))
         shared.destroy()
+    part = shared = None
+    give_back()  # the driver's own copies of the model
     discard(model)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     perplexity = F.when(F.col("n_letters") > 0, -F.col("log_sum") / F.col("n_letters")).otherwise(0.0)

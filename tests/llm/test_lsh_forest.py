@@ -1,6 +1,8 @@
 import random
+from pathlib import Path
 
 from hearthline.llm import lsh_forest
+from hearthline.llm.support import scratch_dir
 from tests.llm.test_simhash import shingles_of
 
 
@@ -119,3 +121,12 @@ def test_long_text_and_columns_of_any_type(spark):
     table = spark.createDataFrame([("b", long), ("a", long + " end"), ("c", "x y"), ("d", None)], "name string, body string")
     got = {r.name: (r.n_shingles, r.component_id, r.kept) for r in lsh_forest.near_duplicates(table, id_col="name", text_col="body").collect()}
     assert got == {"b": (199_997, "a", False), "a": (199_998, "a", True), "c": (1, "c", True), "d": (0, "d", True)}
+
+
+def test_sets_are_not_left_behind(spark, docs):
+    """Shingle sets are larger than the texts: no scratch table holds them in the end, nor the signatures."""
+    folder = Path(scratch_dir(spark).removeprefix("file://"))
+    before = set(folder.glob("table-*"))
+    assert lsh_forest.near_duplicates(docs).count() == docs.count()
+    left = [spark.read.parquet(f"file://{t}").columns for t in set(folder.glob("table-*")) - before]
+    assert left and not [c for c in left if {"hashes", "signature"} & set(c)]
