@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import bytewords as bw
 from . import range_coder
-from .support import documents, scratch_dir, stash, tidy
+from .support import documents, hold_buffers, scratch_dir, stash, tidy
 from .tokens import TokenCoder, default_tokenizer
 
 MAGIC, FILE_IDS = b"HLTOKEN2", 4096 * range_coder.BLOCK
@@ -71,6 +71,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         from pyarrow import fs
         from pyspark import TaskContext
 
+        hold_buffers()
         store, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
         coder, part, name, seq = TokenCoder.get(tokenizer), TaskContext.get().partitionId(), uuid.uuid4().hex, 0
         ids, docs, held = [], [], 0
@@ -119,6 +120,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str
 
 @tidy
 def _reader(batches):
+    hold_buffers()
     for batch in batches:
         for content, start in zip(batch.column(0), batch.column(1).to_pylist()):
             ids, docs, no_id, lengths = file_contents(content.as_buffer().to_pybytes())

@@ -3,9 +3,10 @@
 The tokenizer drops white space before it cuts words, so the ids of a text are the ids of its
 blank-separated words in turn (a test compares both). Each worker keeps the ids of the words
 it met in sorted hash arrays; texts become ids by lookup, and the bytes of words with equal
-hashes are compared. New words gather in a small array; when the large one has over ``_KEPT``
+hashes are compared, the first sixteen as two numbers. New words gather in a small array; when the large one has over ``_KEPT``
 words, those that were not met again are let go. Words of plain letters skip the general
-normaliser: for them it only lower-cases.
+normaliser: for them it only lower-cases; those of ASCII and Latin-1 letters are lower-cased and spelt in the model's
+letters all at once.
 """
 
 from __future__ import annotations
@@ -30,11 +31,38 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTE_LETTERS = _byte_letters()
+_BYTE_POINTS = np.array([ord(_BYTE_LETTERS[b]) for b in range(256)], "<u4")
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_HEAD = 16  # bytes of a word that are compared as numbers
+U = np.uint64
+
+
+def _heads(buffer: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the next eight bytes of each word as numbers, with zeros behind its end."""
+    padded = np.concatenate([buffer, np.zeros(16, np.uint8)])
+    eight = np.ndarray(len(buffer) + 9, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    return eight[starts] & _MASKS[np.minimum(sizes, 8)], eight[starts + 8] & _MASKS[np.clip(sizes - 8, 0, 8)]
+
+
+def _hashes(words: bw.Words, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    sizes = words.ends - words.starts
+    out = bw.mix(bw.mix(one) + two * U(0x9E3779B97F4A7C15) + sizes.astype(np.uint64) * U(0xC2B2AE3D27D4EB4F))
+    long = np.flatnonzero(sizes > _HEAD)
+    out[long] ^= bw.hash_bytes(words.buffer, words.starts[long], words.ends[long])
+    return out
+
+
+def _rest_differs(a: np.ndarray, starts_a: np.ndarray, b: np.ndarray, starts_b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Numbers of the pairs of equally long words whose bytes behind the head differ."""
+    long = np.flatnonzero(sizes > _HEAD)
+    left = sizes[long] - _HEAD
+    differ = _gather(a, starts_a[long] + _HEAD, left) != _gather(b, starts_b[long] + _HEAD, left)
+    return long[np.unique(np.searchsorted(np.cumsum(left), np.flatnonzero(differ), "right"))]
 
 
 @dataclass
 class _Known:
-    """Words by sorted hash: where their ids lie in the pool and their bytes in ``raw``."""
+    """Words by sorted hash: where their ids lie in the pool and their bytes in ``raw``; the heads of these as numbers."""
 
     keys: np.ndarray
     at: np.ndarray
@@ -44,32 +72,30 @@ class _Known:
     ends: np.ndarray
     raw: np.ndarray
     met: np.ndarray
+    one: np.ndarray
+    two: np.ndarray
 
     @classmethod
     def none(cls) -> _Known:
-        return cls.of(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8), None)
+        return cls.of(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8), lambda *_: [])
 
     @classmethod
     def of(cls, keys, starts, ends, buffer, encode) -> _Known:
-        raw = bytes(buffer) if len(starts) else b""
-        words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-        ids = [encode(w.decode()) for w in words]
+        long = ends - starts
+        raw, ends = _gather(buffer, starts, long), np.cumsum(long)
+        ids = encode(raw, ends - long, ends)
         size = np.fromiter(map(len, ids), np.int64, len(ids))
-        long = np.fromiter(map(len, words), np.int64, len(words))
         pool = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
-        return cls(keys, np.cumsum(size) - size, size, pool, np.cumsum(long) - long, np.cumsum(long), np.frombuffer(b"".join(words), np.uint8), np.zeros(len(ids), bool))
+        return cls(keys, np.cumsum(size) - size, size, pool, ends - long, ends, raw, np.zeros(len(ids), bool), *_heads(raw, ends - long, long))
 
-    def find(self, keys: np.ndarray, words: bw.Words) -> tuple[np.ndarray, np.ndarray]:
+    def find(self, keys: np.ndarray, words: bw.Words, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The slot of each word, and whether it is there, with the same bytes."""
         slot = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
         if not len(self.keys):
             return slot, np.zeros(len(keys), bool)
-        found = (self.keys[slot] == keys) & (self.ends[slot] - self.starts[slot] == words.ends - words.starts)
+        found = (self.keys[slot] == keys) & (self.ends[slot] - self.starts[slot] == words.ends - words.starts) & (self.one[slot] == one) & (self.two[slot] == two)
         rows = np.flatnonzero(found)
-        size = (words.ends - words.starts)[rows]
-        differ = _gather(words.buffer, words.starts[rows], size) != _gather(self.raw, self.starts[slot[rows]], size)
-        if differ.any():
-            found[rows[np.searchsorted(np.cumsum(size), np.flatnonzero(differ), "right")]] = False
+        found[rows[_rest_differs(words.buffer, words.starts[rows], self.raw, self.starts[slot[rows]], (words.ends - words.starts)[rows])]] = False
         self.met[slot[found]] = True
         return slot, found
 
@@ -79,7 +105,7 @@ class _Known:
         order = np.argsort(np.concatenate([self.keys, other.keys]), kind="stable")
         both = lambda a, b: np.concatenate([a, b])[order]
         pool, raw = len(self.pool), len(self.raw)
-        return _Known(both(self.keys, other.keys), both(self.at, other.at + pool), both(self.size, other.size), np.concatenate([self.pool, other.pool]), both(self.starts, other.starts + raw), both(self.ends, other.ends + raw), np.concatenate([self.raw, other.raw]), both(self.met, other.met))
+        return _Known(both(self.keys, other.keys), both(self.at, other.at + pool), both(self.size, other.size), np.concatenate([self.pool, other.pool]), both(self.starts, other.starts + raw), both(self.ends, other.ends + raw), np.concatenate([self.raw, other.raw]), both(self.met, other.met), both(self.one, other.one), both(self.two, other.two))
 
     def used(self) -> _Known:
         """The words that were met again, or none if these are too many still."""
@@ -87,7 +113,7 @@ class _Known:
         if len(rows) > _KEPT // 2:
             return _Known.none()
         size, long = self.size[rows], (self.ends - self.starts)[rows]
-        return _Known(self.keys[rows], np.cumsum(size) - size, size, _gather(self.pool, self.at[rows], size), np.cumsum(long) - long, np.cumsum(long), _gather(self.raw, self.starts[rows], long), np.zeros(len(rows), bool))
+        return _Known(self.keys[rows], np.cumsum(size) - size, size, _gather(self.pool, self.at[rows], size), np.cumsum(long) - long, np.cumsum(long), _gather(self.raw, self.starts[rows], long), np.zeros(len(rows), bool), self.one[rows], self.two[rows])
 
 
 def _gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -95,9 +121,12 @@ def _gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nda
     return values[np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))]
 
 
-_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER, _MARK, _LATIN = (np.zeros(256, bool) for _ in range(3))
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
-_MARK[list(b".,;:!?")] = True
+_MARK[list(b'.,;:!?"#$%&()*+-/<=>@[\\]^_`{}~')] = True  # an apostrophe may begin a piece with the letters behind it, and special tokens hold bars
+_LATIN[[b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)]] = True  # behind 0xC3: the letters from U+00C0 to U+00FF
+_LATIN_LOWER = np.arange(256, dtype=np.uint8)
+_LATIN_LOWER[0x80:0x9F] += 32
 
 
 def _pieces(words: bw.Words) -> bw.Words:
@@ -112,15 +141,11 @@ def _pieces(words: bw.Words) -> bw.Words:
     return bw.Words(words.buffer, words.offsets, starts, np.flatnonzero(at[1]), np.searchsorted(starts, words.offsets))
 
 
-def _unlike(words: bw.Words, asked: bw.Words, inverse: np.ndarray) -> np.ndarray:
-    """The words whose bytes are not those of the word that stands for their hash."""
+def _unlike(words: bw.Words, one: np.ndarray, two: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """The words whose bytes are not those of the word at ``where``, which stands for their hash."""
     size = words.ends - words.starts
-    odd = size != (asked.ends - asked.starts)[inverse]
-    if odd.any():
-        size = np.where(odd, 0, size)
-    differ = _gather(words.buffer, words.starts, size) != _gather(words.buffer, asked.starts[inverse], size)
-    if differ.any():
-        odd[np.searchsorted(np.cumsum(size), np.flatnonzero(differ), "right")] = True
+    odd = (size != size[where]) | (one != one[where]) | (two != two[where])
+    odd[_rest_differs(words.buffer, words.starts, words.buffer, words.starts[where], np.where(odd, 0, size))] = True
     return np.flatnonzero(odd)
 
 
@@ -156,18 +181,36 @@ class TokenCoder:
             ids += self.tails[tail]
         return ids
 
-    def encode(self, words: bw.Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words, how many ids each word has)."""
-        keys, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if not len(keys):
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    def _words(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
+        """The ids of each word of ``raw``, where they lie one behind the other."""
+        if not len(starts):
+            return []
+        second = np.zeros(len(raw), bool)  # of the two bytes of a Latin-1 letter
+        second[1:] = raw[:-1] == 0xC3
+        letter = np.where(second, _LATIN[raw], _LETTER[raw] | (raw == 0xC3))
+        plain = np.logical_and.reduceat(letter, starts)
+        spelt = _BYTE_POINTS[np.where(second, _LATIN_LOWER[raw], bw._LOWER[raw])].tobytes().decode("utf-32-le")
+        whole, tokenize = raw.tobytes(), self.tokenizer.model.tokenize
+        return [[t.id for t in tokenize(spelt[a:b])] if p else self._word(whole[a:b].decode()) for p, a, b in zip(plain.tolist(), starts.tolist(), ends.tolist())]
+
+    def encode(self, words: bw.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all words, how many ids each word has, their hashes)."""
+        if not len(words.starts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        one, two = _heads(words.buffer, words.starts, words.ends - words.starts)
+        hashes = _hashes(words, one, two)
+        order = np.argsort(hashes)
+        ranked = hashes[order]
+        first = np.append(True, ranked[1:] != ranked[:-1])
+        keys, where, inverse = ranked[first], order[first], np.empty(len(order), np.int64)
+        inverse[order] = np.cumsum(first) - 1
         asked = bw.Words(words.buffer, words.offsets, words.starts[where], words.ends[where], words.first)
-        slot_old, in_old = self.old.find(keys, asked)
-        slot_young, in_young = self.young.find(keys, asked)
+        slot_old, in_old = self.old.find(keys, asked, one[where], two[where])
+        slot_young, in_young = self.young.find(keys, asked, one[where], two[where])
         new = np.flatnonzero(~(in_old | in_young))
-        odd = _unlike(words, asked, inverse)  # words with the hash of another one: encoded on their own
-        fresh = _Known.of(keys[new], asked.starts[new], asked.ends[new], words.buffer, self._word)
-        rare = _Known.of(keys[inverse[odd]], words.starts[odd], words.ends[odd], words.buffer, self._word)
+        odd = _unlike(words, one, two, where[inverse])  # words with the hash of another one: encoded on their own
+        fresh = _Known.of(keys[new], asked.starts[new], asked.ends[new], words.buffer, self._words)
+        rare = _Known.of(keys[inverse[odd]], words.starts[odd], words.ends[odd], words.buffer, self._words)
         bases = np.cumsum([0, len(self.old.pool), len(self.young.pool), len(fresh.pool)])
         at, size = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
         for known, base, rows, slots in ((self.old, bases[0], np.flatnonzero(in_old), slot_old[in_old]), (self.young, bases[1], np.flatnonzero(in_young & ~in_old), slot_young[in_young & ~in_old]), (fresh, bases[2], new, np.arange(len(new)))):
@@ -182,14 +225,13 @@ class TokenCoder:
             self.old, self.young = self.old.joined(self.young), _Known.none()
             if len(self.old.keys) > _KEPT:
                 self.old = self.old.used()
-        return ids, counts
+        return ids, counts, hashes
 
     def encode_pieces(self, buffer: np.ndarray, offsets: np.ndarray, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray, bw.Words, np.ndarray]:
         """(ids, offsets of each text's ids, the pieces of words that were looked up, their hashes), with
         ``end_id`` after each text."""
         words = _pieces(bw.find_words(buffer, offsets, lower=b"<|" not in buffer.tobytes()))
-        hashes = words.hashes()
-        ids, counts = self.encode(words, hashes)
+        ids, counts, hashes = self.encode(words)
         total = np.zeros(len(counts) + 1, np.int64)
         np.cumsum(counts, out=total[1:])
         bounds = total[words.first]

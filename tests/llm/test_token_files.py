@@ -28,6 +28,24 @@ def test_ids_equal_the_library(texts):
             row += 1
 
 
+def test_words_are_cut_at_marks_and_known_by_their_bytes():
+    """Words with marks behind them are their letters and the marks, each known once; ids are the library's for words of
+    all lengths around those of the compared numbers, and where marks stand by special tokens and contractions."""
+    stems = [f"{'abcdefghijklmnopqrstuvwxyz'[k % 26] * (1 + k // 26)}q" for k in range(260)]
+    texts = [" ".join(s + m for s in stems) for m in ("", "$$$", "***", "&&", "--")]
+    texts += ["don't$'s dog's( x'-re cats'&s a<|endoftext|>b= c<|startoftext|> <|end", "É×È Àß÷ ÀÉÿ ñ$ ÉCOLE$ ÷ × Ĳ", "aaaaaaaaaaaaaaaab aaaaaaaaaaaaaaaac aaaaaaaab aaaaaaaac " * 3]
+    texts += [f"ab{chr(c)}cd EF{chr(c)}{chr(c)}'s {chr(c)}g" for c in range(33, 127)]
+    coder, at = TokenCoder(default_tokenizer()), 0
+    for a, b, buffer, offsets in bytewords.chunks(pa.RecordBatch.from_pydict({"text": texts[:5]})):
+        coder.encode_texts(buffer, offsets, 1)
+    assert len(coder.young.keys) == len(stems) + 4
+    for a, b, buffer, offsets in bytewords.chunks(pa.RecordBatch.from_pydict({"text": texts}), limit=300):
+        ids, bounds = coder.encode_texts(buffer, offsets, 1)
+        for k in range(b - a):
+            assert ids[bounds[k] : bounds[k + 1]].tolist() == plain_ids(texts[at], 1), texts[at]
+            at += 1
+
+
 @pytest.mark.parametrize("n", [0, 1, 4096, 4097, 9000])
 def test_coder_round_trip_and_damage(n):
     rng = np.random.default_rng(n)
