@@ -14,6 +14,9 @@ alone; nulls never overwrite attributes; equal events count once and what is sto
 older observation; an address met for the first time gets the id that its oldest observation names; a
 scan without a status for its banner leaves only its events and a reject; properties that nothing
 changes for are not returned.
+
+Both sides of each join grow with the store or the batch, so all ask for a merge join: Spark would take a column of a
+compressed file for small, and collect it on the driver to broadcast many times that size.
 """
 
 from __future__ import annotations
@@ -34,8 +37,8 @@ def with_owner(properties: DataFrame, observed: DataFrame) -> DataFrame:
     """``observed`` with the id of the property that each observation is of, in place of its own."""
     stored = properties.groupBy("address_hash").agg(F.min("property_id").alias("_stored"))
     first = observed.groupBy("address_hash").agg(F.min_by("property_id", F.struct("last_updated", "record_key")).alias("_first"))
-    owner = first.join(stored, "address_hash", "left").select("address_hash", F.coalesce("_stored", "_first").alias("_owner"))
-    return observed.join(owner, "address_hash").drop("property_id").withColumnRenamed("_owner", "property_id")
+    owner = first.join(stored.hint("merge"), "address_hash", "left").select("address_hash", F.coalesce("_stored", "_first").alias("_owner"))
+    return observed.join(owner.hint("merge"), "address_hash").drop("property_id").withColumnRenamed("_owner", "property_id")
 
 
 def _says_the_same(properties: DataFrame, observed: DataFrame) -> DataFrame:
@@ -45,7 +48,7 @@ def _says_the_same(properties: DataFrame, observed: DataFrame) -> DataFrame:
     for c in KEPT_IF_NULL:
         same = same & (F.col(c).isNull() | F.col(c).eqNullSafe(F.col(f"_s.{c}")))
     same = same & merge_sources(F.col("_s.data_sources"), F.col("data_sources")).eqNullSafe(F.coalesce(F.col("_s.data_sources"), F.array().cast(properties.schema["data_sources"].dataType)))
-    both = observed.join(stored, "property_id", "left").withColumn("attributes_same", same)
+    both = observed.join(stored.hint("merge"), "property_id", "left").withColumn("attributes_same", same)
     return both.withColumn("all_same", F.col("attributes_same") & F.col("status").eqNullSafe(F.col("_s.status")) & F.col("price").eqNullSafe(F.col("_s.price"))).drop("_s")
 
 
@@ -61,8 +64,8 @@ def listings(properties: DataFrame, observed: DataFrame) -> DataFrame:
     sources = seen.groupBy("property_id", F.col("s.source_id").alias("source_id")).agg(F.min(place).alias("first"), F.max_by("s.source_url", F.when(F.col("s.source_url").isNotNull(), place)).alias("source_url"), F.min_by("s.source_name", place).alias("source_name"))
     listed = F.transform(F.array_sort(F.collect_list(F.struct("first", "source_id", "source_url", "source_name"))), lambda x: F.struct(x["source_id"].alias("source_id"), x["source_url"].alias("source_url"), x["source_name"].alias("source_name")))
     sources = sources.groupBy("property_id").agg(listed.alias("data_sources"))
-    new, old = per.join(sources, "property_id", "left").alias("n"), properties.alias("o")
-    both = new.join(old, "property_id", "left")
+    new, old = per.join(sources.hint("merge"), "property_id", "left").alias("n"), properties.alias("o")
+    both = new.join(old.hint("merge"), "property_id", "left")
     newer = F.coalesce(F.col("n.last.last_updated") > F.col("o.last_updated"), F.lit(False))
     unchanged = F.col("n.all_same") & ~newer
     columns = {c: F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")) for c in KEPT_IF_NULL} | {c: F.col(f"n.last.{c}") for c in ALWAYS_NEW}
@@ -102,17 +105,17 @@ def _step(state: Column, x: Column) -> Column:
 def replay(properties: DataFrame, events: DataFrame, observed: DataFrame, scanned: DataFrame) -> DataFrame:
     """One row for each stored property of ``scanned``: property_id, status, price, last_updated, the events that are
     new (in order of their coming), errors, and whether a listing was among the steps."""
-    observed = _says_the_same(properties, observed.join(scanned.select("property_id").distinct(), "property_id", "left_semi"))
+    observed = _says_the_same(properties, observed.join(scanned.select("property_id").distinct().hint("merge"), "property_id", "left_semi"))
     step = lambda at, scan, text, status, price, same: F.struct(at.alias("at"), F.lit(scan).alias("scan"), "record_key", text.alias("text"), status.alias("status"), price.alias("price"), same.alias("attributes_same"), F.col("events").cast(f"array<{EVENT}>").alias("events"))
     null = lambda kind: F.lit(None).cast(kind)
     rows = observed.select("property_id", step(F.col("last_updated"), False, null("string"), F.col("status"), F.col("price"), F.coalesce("attributes_same", F.lit(False))).alias("x"))
     rows = rows.union(scanned.select("property_id", step(F.col("seen_at"), True, F.col("status_text"), null("string"), null("decimal(18,2)"), F.lit(True)).alias("x")))
     # the first fields of a step are its order: time, listings first, record key
     steps = rows.groupBy("property_id").agg(F.array_sort(F.collect_list("x")).alias("steps"))
-    mine = properties.join(steps, "property_id").select("property_id", "status", "price", "last_updated", "steps")
-    told = history.as_arrays(events.join(steps.select("property_id"), "property_id", "left_semi"))
+    mine = properties.join(steps.hint("merge"), "property_id").select("property_id", "status", "price", "last_updated", "steps")
+    told = history.as_arrays(events.join(steps.select("property_id").hint("merge"), "property_id", "left_semi"))
     none = F.array().cast(f"array<{EVENT}>")
-    mine = mine.join(told, "property_id", "left").withColumn("history", F.coalesce(F.col("history").cast(f"array<{EVENT}>"), none))
+    mine = mine.join(told.hint("merge"), "property_id", "left").withColumn("history", F.coalesce(F.col("history").cast(f"array<{EVENT}>"), none))
     start = F.struct(F.col("history").alias("events"), "status", "price", "last_updated", F.lit(True).alias("clean"), F.array().cast("array<struct<record_key: string, error_code: string, payload: string>>").alias("errors")).cast(STATE)
     done = mine.select("property_id", "history", F.exists("steps", lambda x: ~x["scan"]).alias("listed"), F.aggregate("steps", start, _step).alias("s"))
     new = F.filter("s.events", lambda e: ~F.exists("history", lambda o: history.equal(o, e)))
@@ -123,8 +126,8 @@ def _new_events(events: DataFrame, observed: DataFrame) -> DataFrame:
     """Events of listings that are not stored; of equal ones the oldest listing's."""
     rows = observed.select("property_id", "last_updated", "record_key", F.explode("events").alias("e")).select("property_id", "last_updated", "record_key", "e.*")
     rows = history.first_of_equals(rows, prefer=["last_updated", "record_key"]).drop("last_updated", "record_key")
-    known = events.join(rows.select("property_id").distinct(), "property_id", "left_semi")
-    return history.only_new(known, rows).withColumn("event_id", event_id(F.col("property_id"))).select(*events.columns)
+    known = events.join(rows.select("property_id").distinct().hint("merge"), "property_id", "left_semi")
+    return history.only_new(known.hint("merge"), rows).withColumn("event_id", event_id(F.col("property_id"))).select(*events.columns)
 
 
 def apply(properties: DataFrame, events: DataFrame, parsed: DataFrame, scanned: DataFrame, keep=lambda df: df) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -137,14 +140,14 @@ def apply(properties: DataFrame, events: DataFrame, parsed: DataFrame, scanned:
     if scanned.isEmpty():
         return listed, _new_events(events, observed), records.rejects(scanned.withColumn("payload", F.lit("")), "rescan", F.lit(""))
     scans = keep(replay(properties, events, observed, scanned))
-    only_listed = listed.join(scans.select("property_id"), "property_id", "left_anti").select(*columns)
-    base = properties.join(rows.select("property_id"), "property_id", "left_anti").unionByName(rows.select(*columns))
+    only_listed = listed.join(scans.select("property_id").hint("merge"), "property_id", "left_anti").select(*columns)
+    base = properties.join(rows.select("property_id").hint("merge"), "property_id", "left_anti").unionByName(rows.select(*columns))
     last = scans.select("property_id", *[F.col(c).alias(f"_{c}") for c in ALWAYS_NEW])
     was = properties.select("property_id", F.struct(*[c for c in columns if c != "property_id"]).alias("_was"))
-    turned = base.join(last, "property_id").join(was, "property_id", "left").withColumns({c: F.col(f"_{c}") for c in ALWAYS_NEW})
+    turned = base.join(last.hint("merge"), "property_id").join(was.hint("merge"), "property_id", "left").withColumns({c: F.col(f"_{c}") for c in ALWAYS_NEW})
     turned = turned.where(~F.struct(*[c for c in columns if c != "property_id"]).eqNullSafe(F.col("_was"))).select(*columns)
 
     told = scans.select("property_id", F.explode("new_events").alias("e")).select("property_id", "e.*").withColumn("event_id", event_id(F.col("property_id"))).select(*events.columns)
-    new = _new_events(events, observed.join(scans.select("property_id"), "property_id", "left_anti")).unionByName(told)
+    new = _new_events(events, observed.join(scans.select("property_id").hint("merge"), "property_id", "left_anti")).unionByName(told)
     bad = scans.select(F.explode("errors").alias("e")).select("e.record_key", F.lit("rescan").alias("stage"), "e.error_code", F.lit("no status for this banner").alias("message"), "e.payload")
     return only_listed.unionByName(turned), new, bad

@@ -55,7 +55,7 @@ def rescan_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         sinks.store(spark, scan.select(*raw.columns), root)
     told = tables.read(spark, root, "property_events", PROPERTY_EVENTS).groupBy("property_id").agg(F.count("*").alias("n"), F.count_if(F.col("source") == "system").alias("s"))
-    now = tables.read(spark, root, "properties", PROPERTIES).join(told, "property_id", "left")
+    now = tables.read(spark, root, "properties", PROPERTIES).join(told.hint("merge"), "property_id", "left")
     return now.select(F.col("data_sources")[0]["source_id"].alias("source_key"), "status", F.col("price").cast("double").alias("price"), F.coalesce("n", F.lit(0)).alias("n_events"), F.coalesce("s", F.lit(0)).alias("n_system"))
 
 

@@ -228,7 +228,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     event = F.struct(F.date_format("o_orderdate", "MMM d, yyyy").alias("date"), F.when(F.col("o_orderkey") % 501 == 7, "Painted").when(F.col("o_orderstatus") == "F", "Sold (MLS)").when(F.col("o_orderstatus") == "P", "Pending").otherwise("Listed (Active)").alias("description"), F.col("o_totalprice").alias("price"), F.lit("MLS").alias("source"), F.col("o_orderkey").cast("string").alias("mlsNumber"))
     sales = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.array_sort(F.collect_list(event)).alias("history"))
-    rows = table(spark, sf_dir, "customer").join(sales, "c_custkey", "left")
+    rows = table(spark, sf_dir, "customer").join(sales.hint("merge"), "c_custkey", "left")
     kind = F.when(key % 10 == 1, "Vacant land").when(key % 10 == 2, "Castle").otherwise("Single-family")
     return rows.select(
         key.cast("string").alias("record_key"), F.concat(F.lit("https://homes.example/home/"), key.cast("string")).alias("url"), F.lit(records.SOURCE_NAME).alias("data_source_name"), key.cast("string").alias("data_source_id"),

@@ -177,6 +177,26 @@ def test_a_thousand_observations_take_as_many_jobs_as_one(spark, tmp_path):
     assert jobs[1] <= jobs[0] + 4  # adaptive plans differ by a job or so
 
 
+def test_no_join_of_the_store_goes_through_the_driver(spark, tmp_path, monkeypatch):
+    """Listings and re-scans, in the plans of all that a batch writes: sides are shuffled, however small they look."""
+    root, plans = str(tmp_path / "store"), []
+
+    def planned(step):
+        def run(df, *rest):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return step(df, *rest)
+
+        return run
+
+    monkeypatch.setattr(sinks, "stash", planned(sinks.stash))
+    monkeypatch.setattr(tables, "add_part", planned(tables.add_part))
+    sinks.store(spark, lines_of(spark, [raw(address=address(k)) for k in range(6)]), root)
+    sinks.store(spark, lines_of(spark, [raw(address=address(k), propertyId=property_id(k) if k < 3 else None, scrapedAt="2024-06-02T00:00:00Z", status="sold") for k in range(8)]), root)
+    joins = [line for p in plans for line in p.splitlines() if "Join" in line]
+    assert sum("SortMergeJoin" in j for j in joins) >= 20 and not [j for j in joins if "Broadcast" in j]
+    assert sorted(r["status"] for r in state(spark, root)[0].values()) == ["Sold"] * 8
+
+
 def test_writes_grow_with_the_batch_and_parts_stay_few(spark, tmp_path):
     root = str(tmp_path / "store")
     sinks.store(spark, lines_of(spark, [raw(address=address(k)) for k in range(60)]), root)
