@@ -18,44 +18,55 @@ BLOCK = 1024
 _TOTAL, _ZERO = 28, 24  # bits of the mixed and of the order-0 distribution
 _SLOTS1, _SLOTS2, _LEVELS, _FULL = 256, 512, 8, 1 << _TOTAL
 _LOW48 = np.uint64((1 << 48) - 1)
+_MOVES = np.array([(k >> 1) - k for k in range(_LEVELS)] + [1] * (_LEVELS - 1) + [0], np.int32)  # of a confidence, by misses and by hits
 U = np.uint64
 
 
 class _Mixer:
-    """The models of all lanes. A table cell holds a predicted id times 8 plus its confidence."""
+    """The models of all lanes, those of order 2 and of order 1 as two rows of each array. A table cell holds a predicted
+    id times 8 plus its confidence. Numbers of 32 bits do: only the low bits of hashes count, and shares end at 2**_TOTAL."""
 
     def __init__(self, lanes: int):
-        self.cells1, self.cells2 = np.zeros(lanes * _SLOTS1, np.int32), np.zeros(lanes * _SLOTS2, np.int32)
+        lane, tables = np.arange(lanes), np.arange(2)[:, None]
+        self.cells = np.zeros(lanes * (_SLOTS1 + _SLOTS2), np.int32)
         start = (np.arange(_LEVELS) * 6000 + 2000).astype(np.int32)
         start[0] = 0
-        self.rates1, self.rates2 = np.tile(start, lanes), np.tile(start, lanes)
-        self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        lane = np.arange(lanes)
-        self.base1, self.base2, self.base_rate = lane * _SLOTS1, lane * _SLOTS2, lane * _LEVELS
+        self.rates = np.tile(start, 2 * lanes)
+        self.one, self.two = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+        self.base, self.base_rate = np.stack([lane * _SLOTS2, lanes * _SLOTS2 + lane * _SLOTS1]), (tables * lanes + lane) * _LEVELS
 
     def predict(self, n: int):
         """Predictions and the ends of their intervals, for the first ``n`` lanes."""
-        one, two = self.one[:n] * 40503, self.two[:n]
-        self.at1 = (one & (_SLOTS1 - 1)) + self.base1[:n]
-        self.at2 = ((one + two * 60493 + (two >> 5)) & (_SLOTS2 - 1)) + self.base2[:n]
-        self.v1, self.v2 = self.cells1.take(self.at1, mode="clip"), self.cells2.take(self.at2, mode="clip")
-        self.k1, self.k2, self.p1, self.p2 = self.v1 & 7, self.v2 & 7, self.v1 >> 3, self.v2 >> 3
-        self.r1, self.r2 = self.base_rate[:n] + self.k1, self.base_rate[:n] + self.k2
-        self.q1, self.q2 = self.rates1.take(self.r1, mode="clip"), self.rates2.take(self.r2, mode="clip")
-        a = self.q2.astype(np.int64) << (_TOTAL - 16)
-        w = self.q1 * ((self.p1 != self.p2) | (self.k2 == 0))
+        one, two, slot = self.one[:n] * 40503, self.two[:n], np.empty((2, n), np.int32)
+        np.bitwise_and(one + two * 60493 + (two >> 5), _SLOTS2 - 1, out=slot[0])
+        np.bitwise_and(one, _SLOTS1 - 1, out=slot[1])
+        self.at = self.base[:, :n] + slot
+        self.v = self.cells.take(self.at, mode="clip")
+        self.k, self.p = self.v & 7, self.v >> 3
+        self.r = self.base_rate[:, :n] + self.k
+        self.q = self.rates.take(self.r, mode="clip")
+        self.known = self.k > 0
+        a = self.q[0] << (_TOTAL - 16)
+        w = self.q[1] * ((self.p[1] != self.p[0]) | ~self.known[0])
         b = a + ((_FULL - a >> 16) * w)
         np.minimum(b, (15 << _TOTAL) // 16, out=b)
         np.minimum(a, b, out=a)
         return a, b
 
-    def learn(self, n: int, ids: np.ndarray) -> None:
-        fresh = (ids * 8 + 1).astype(np.int32)
-        for cells, rates, at, v, k, p, r, q in ((self.cells2, self.rates2, self.at2, self.v2, self.k2, self.p2, self.r2, self.q2), (self.cells1, self.rates1, self.at1, self.v1, self.k1, self.p1, self.r1, self.q1)):
-            hit = p == ids
-            rates[r] = (q + ((hit * 63000 - q) >> 4)) * (k > 0)
-            cells[at] = np.where(hit, v + (k < _LEVELS - 1), np.where(k <= 1, fresh, v - k + (k >> 1)))
-        self.two[:n], self.one[:n] = self.one[:n], ids
+    def learn(self, n: int, ids: np.ndarray, hit: np.ndarray) -> None:
+        """``hit``: where the predictions are the ids."""
+        rates = hit * np.int32(63000)
+        rates -= self.q
+        rates >>= 4
+        rates += self.q
+        rates *= self.known
+        self.rates[self.r] = rates
+        moved = _MOVES.take(self.k + hit * np.int32(_LEVELS))
+        moved += self.v
+        np.copyto(moved, ids * 8 + 1, where=~hit & (self.k <= 1))
+        self.cells[self.at] = moved
+        self.two[:n] = self.one[:n]
+        self.one[:n] = ids
 
 
 def _order_zero(counts: np.ndarray) -> np.ndarray:
@@ -118,46 +129,64 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes], list[i
     grid = np.ascontiguousarray(padded.reshape(lanes, BLOCK).T)
     mixer = _Mixer(lanes)
     low, span = np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
-    out, used = np.zeros((lanes, 2 * BLOCK + 8), np.uint16), np.zeros(lanes, np.int64)
+    out = np.zeros((lanes, 2 * BLOCK + 8), np.uint16)
+    flat, first = out.reshape(-1), np.arange(lanes) * out.shape[1]
+    at = first.copy()
+
+    def put(who, words):
+        place = at[who]
+        flat[place] = words
+        at[who] = place + 1
 
     for t in range(int(sizes[0])):
         n = lanes if t < sizes[-1] else lanes - 1
-        s = grid[t, :n].astype(np.int64)
+        s = grid[t, :n]
         a, b = mixer.predict(n)
-        hit2, hit1 = (mixer.p2 == s) & (mixer.k2 > 0) & (a > 0), (mixer.p1 == s) & (mixer.k1 > 0) & (b > a)
-        tail = _FULL - b
-        start, end = b + (cum[s] * tail >> _ZERO), b + (cum[s + 1] * tail >> _ZERO)
-        start, end = np.where(hit1, a, start), np.where(hit1, b, end)
-        start, end = np.where(hit2, 0, start), np.where(hit2, a, end)
-        r = span[:n] >> U(_TOTAL)
-        low[:n] += r * start.astype(U)
-        span[:n] = r * (end - start).astype(U)
-        _settle(low, span, n, lambda who, words: _put(out, used, who, words))
-        mixer.learn(n, s)
+        hit = mixer.p == s
+        hit2, hit1 = hit[0] & mixer.known[0] & (a > 0), hit[1] & mixer.known[1] & (b > a)
+        start, end = _interval(cum, s, a, b, hit2, hit1)
+        _narrow(low[:n], span[:n], span[:n] >> U(_TOTAL), start, end)
+        _settle(low, span, n, put)
+        mixer.learn(n, s, hit)
     for _ in range(4):
-        _put(out, used, np.arange(lanes), (low >> U(48)).astype(np.uint16))
+        put(np.arange(lanes), (low >> U(48)).astype(np.uint16))
         low = low << U(16)
+    used = at - first
     edges = [ids[k * BLOCK : (k + 1) * BLOCK] for k in range(lanes)]
     return present, counts, [out[k, : used[k]].astype("<u2").tobytes() for k in range(lanes)], [zlib.crc32(e.astype("<u4").tobytes()) for e in edges]
 
 
-def _put(out, used, who, words) -> None:
-    out[who, used[who]] = words
-    used[who] += 1
+def _interval(cum: np.ndarray, ids: np.ndarray, a: np.ndarray, b: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the interval of each id starts and ends: up to ``a`` for hits of order 2, from there to ``b`` for those of order
+    1, behind them by order 0."""
+    tail = (_FULL - b).astype(np.int64)
+    start, end = ((cum.take(i, mode="clip") * tail >> _ZERO).astype(np.int32) + b for i in (ids, ids + 1))
+    for here, first, last in ((hit1, a, b), (hit2, 0, a)):
+        np.copyto(start, first, where=here)
+        np.copyto(end, last, where=here)
+    return start, end
+
+
+def _narrow(low: np.ndarray, span: np.ndarray, r: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+    low += r * start.astype(U)
+    np.multiply(r, (end - start).astype(U), out=span)
 
 
 def _settle(low, span, n, moved) -> None:
     """Move out the top 16 bits wherever they are settled or the range gets too narrow."""
     lo, sp = low[:n], span[:n]
-    who = np.flatnonzero((((lo ^ (lo + sp)) >> U(48)) == 0) | (sp <= _LOW48))
+    same = (lo ^ (lo + sp)) <= _LOW48
+    who = np.flatnonzero(same | (sp <= _LOW48))
+    same, lo, sp = same[who], lo[who], sp[who]
     while len(who):
-        lo, sp = low[who], span[who]
-        same = ((lo ^ (lo + sp)) >> U(48)) == 0
-        sp = np.where(same, sp, (U(0) - lo) & _LOW48)
+        if not same.all():
+            sp = np.where(same, sp, (U(0) - lo) & _LOW48)
         moved(who, (lo >> U(48)).astype(np.uint16))
         lo, sp = lo << U(16), sp << U(16)
         low[who], span[who] = lo, sp
-        who = who[(((lo ^ (lo + sp)) >> U(48)) == 0) | (sp <= _LOW48)]
+        same = (lo ^ (lo + sp)) <= _LOW48
+        again = np.flatnonzero(same | (sp <= _LOW48))
+        who, same, lo, sp = who[again], same[again], lo[again], sp[again]
 
 
 def decode(present: np.ndarray, counts: np.ndarray, blocks: list[bytes], checks: list[int], n_ids: int) -> np.ndarray:
@@ -167,36 +196,38 @@ def decode(present: np.ndarray, counts: np.ndarray, blocks: list[bytes], checks:
         return np.zeros(0, np.uint32)
     cum = _order_zero(counts)
     find = _Finder(cum)
-    words = np.zeros((lanes, max(len(b) for b in blocks) // 2 + 4), U)
+    words = np.zeros((lanes, max(len(b) for b in blocks) // 2 + 4), np.uint16)
     for k, block in enumerate(blocks):
         words[k, : len(block) // 2] = np.frombuffer(block, "<u2")
-    code = (words[:, 0] << U(48)) | (words[:, 1] << U(32)) | (words[:, 2] << U(16)) | words[:, 3]
-    used = np.full(lanes, 4)
+    code = np.zeros(lanes, U)
+    for k in range(4):
+        code = (code << U(16)) | words[:, k]
+    flat, at = words.reshape(-1), np.arange(lanes) * words.shape[1] + 4
     mixer = _Mixer(lanes)
     low, span = np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
     grid = np.zeros((BLOCK, lanes), np.int32)
 
     def take(who, _):
-        code[who] = (code[who] << U(16)) | words[who, np.minimum(used[who], words.shape[1] - 1)]
-        used[who] += 1
+        place = at[who]
+        code[who] = (code[who] << U(16)) | flat.take(place, mode="clip")  # a damaged block may run into the next
+        at[who] = place + 1
 
     for t in range(int(sizes[0])):
         n = lanes if t < sizes[-1] else lanes - 1
         a, b = mixer.predict(n)
         r = span[:n] >> U(_TOTAL)
-        v = np.minimum((code[:n] - low[:n]) // r, U((1 << _TOTAL) - 1)).astype(np.int64)
-        tail = _FULL - b
-        s = find(np.minimum((((np.maximum(v - b, 0) + 1) << _ZERO) - 1) // tail, (1 << _ZERO) - 1))
-        start, end = b + (cum[s] * tail >> _ZERO), b + (cum[s + 1] * tail >> _ZERO)
-        hit2, hit1 = v < a, (v >= a) & (v < b)
-        s = np.where(hit2, mixer.p2, np.where(hit1, mixer.p1, s))
-        start, end = np.where(hit1, a, start), np.where(hit1, b, end)
-        start, end = np.where(hit2, 0, start), np.where(hit2, a, end)
-        low[:n] += r * start.astype(U)
-        span[:n] = r * (end - start).astype(U)
+        v = np.minimum((code[:n] - low[:n]) // r, U(_FULL - 1)).astype(np.int32)
+        share = ((np.maximum(v - b, 0) + 1).astype(np.int64) << _ZERO) - 1
+        s = find(np.minimum(share // (_FULL - b).astype(np.int64), (1 << _ZERO) - 1)).astype(np.int32)
+        hit2 = v < a
+        hit1 = (v < b) & ~hit2
+        for here, p in ((hit1, mixer.p[1]), (hit2, mixer.p[0])):
+            np.copyto(s, p, where=here)
+        start, end = _interval(cum, s, a, b, hit2, hit1)
+        _narrow(low[:n], span[:n], r, start, end)
         _settle(low, span, n, take)
         grid[t, :n] = s
-        mixer.learn(n, s)
+        mixer.learn(n, s, mixer.p == s)
     ids = present[grid.T.reshape(-1)[:n_ids]].astype(np.uint32)
     for k, check in enumerate(checks):
         if zlib.crc32(ids[k * BLOCK : (k + 1) * BLOCK].astype("<u4").tobytes()) != check:

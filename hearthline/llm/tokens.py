@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 
@@ -77,16 +76,15 @@ class _Known:
 
     @classmethod
     def none(cls) -> _Known:
-        return cls.of(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8), lambda *_: [])
+        return cls.of(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8), lambda *_: ([], []))
 
     @classmethod
     def of(cls, keys, starts, ends, buffer, encode) -> _Known:
         long = ends - starts
         raw, ends = _gather(buffer, starts, long), np.cumsum(long)
-        ids = encode(raw, ends - long, ends)
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        pool = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
-        return cls(keys, np.cumsum(size) - size, size, pool, ends - long, ends, raw, np.zeros(len(ids), bool), *_heads(raw, ends - long, long))
+        ids, sizes = encode(raw, ends - long, ends)
+        size, pool = np.array(sizes, np.int64), np.array(ids, np.uint32)
+        return cls(keys, np.cumsum(size) - size, size, pool, ends - long, ends, raw, np.zeros(len(size), bool), *_heads(raw, ends - long, long))
 
     def find(self, keys: np.ndarray, words: bw.Words, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The slot of each word, and whether it is there, with the same bytes."""
@@ -181,17 +179,23 @@ class TokenCoder:
             ids += self.tails[tail]
         return ids
 
-    def _words(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
-        """The ids of each word of ``raw``, where they lie one behind the other."""
+    def _words(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[int], list[int]]:
+        """(ids, how many each word has) of the words of ``raw``, where they lie one behind the other. One list holds all ids:
+        a list a word would have Python's garbage collector walk over all of them time and again."""
+        ids, sizes = [], []
         if not len(starts):
-            return []
+            return ids, sizes
         second = np.zeros(len(raw), bool)  # of the two bytes of a Latin-1 letter
         second[1:] = raw[:-1] == 0xC3
         letter = np.where(second, _LATIN[raw], _LETTER[raw] | (raw == 0xC3))
         plain = np.logical_and.reduceat(letter, starts)
         spelt = _BYTE_POINTS[np.where(second, _LATIN_LOWER[raw], bw._LOWER[raw])].tobytes().decode("utf-32-le")
         whole, tokenize = raw.tobytes(), self.tokenizer.model.tokenize
-        return [[t.id for t in tokenize(spelt[a:b])] if p else self._word(whole[a:b].decode()) for p, a, b in zip(plain.tolist(), starts.tolist(), ends.tolist())]
+        for p, a, b in zip(plain.tolist(), starts.tolist(), ends.tolist()):
+            own = [t.id for t in tokenize(spelt[a:b])] if p else self._word(whole[a:b].decode())
+            ids += own
+            sizes.append(len(own))
+        return ids, sizes
 
     def encode(self, words: bw.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all words, how many ids each word has, their hashes)."""

@@ -1,3 +1,4 @@
+import gc
 import uuid
 import zlib
 
@@ -59,6 +60,32 @@ def test_coder_round_trip_and_damage(n):
             range_coder.decode(present, counts, blocks, checks, n)
 
 
+def test_new_words_leave_nothing_to_the_garbage_collector():
+    """Tens of thousands of new words are encoded without a walk of Python's collector over what was made for them."""
+    texts = [" ".join(f"{a}{b}{c}{d}" for b in "abcdefghijklmnopqrst" for c in "abcdefghijklmnopqrst" for d in "abcdefghijklmnopqrst") for a in "zyxwv"]
+    coder, walks, count = TokenCoder(default_tokenizer()), [], lambda phase, info: walks.append(phase)
+    (chunk,) = bytewords.chunks(pa.RecordBatch.from_pydict({"text": texts}))
+    gc.collect()
+    gc.callbacks.append(count)
+    try:
+        ids, bounds = coder.encode_texts(*chunk[2:], 1)
+    finally:
+        gc.callbacks.remove(count)
+    assert walks.count("start") <= 3 and len(coder.young.keys) == 40000
+    assert ids[bounds[0] : bounds[1]].tolist() == plain_ids(texts[0], 1)
+
+
+@pytest.mark.parametrize(("n", "size", "crc"), [(1, 8, 1696784233), (5000, 4808, 2670054118), (300000, 294226, 2085395724)])
+def test_coded_bytes_stay_as_they_are(n, size, crc):
+    """Files written before can be read: the bytes of the blocks are those of the format."""
+    at = np.arange(n, dtype=np.uint64)
+    mixed = bytewords.mix(at) % np.uint64(1000)
+    ids = np.where(at % 7 < 4, at % 97, mixed * mixed // np.uint64(23)).astype(np.uint32)
+    present, counts, blocks, checks = range_coder.encode(ids)
+    assert (sum(map(len, blocks)), zlib.crc32(b"".join(blocks))) == (size, crc)
+    assert (range_coder.decode(present, counts, blocks, checks, n) == ids).all()
+
+
 def test_files_hold_all_documents_in_order(spark, docs, no_docs):
     folder = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
     got = sorted(token_files.read(spark, folder, token_files.write(docs, folder, default_tokenizer(), 1)).collect(), key=lambda r: r.start)
