@@ -27,7 +27,7 @@ from . import range_coder
 from .support import documents, hold_buffers, scratch_dir, stash, tidy
 from .tokens import TokenCoder, default_tokenizer
 
-MAGIC, FILE_IDS = b"HLTOKEN2", 4096 * range_coder.BLOCK
+MAGIC, FILE_IDS = b"HLTOKEN2", 8192 * range_coder.BLOCK  # the more blocks are coded side by side, the less each costs
 MANIFEST = "part int, seq int, path string, n_ids long, n_docs long, n_bytes long"
 
 
