@@ -17,6 +17,11 @@ rounds search the trees again, for all candidates between what is still apart: w
 left out, because other candidates seemed to connect it, is lost nowhere. Components come from
 alternating large and small stars.
 
+Where more than ``WINDOW`` classes share the top ``MIN_DEPTH`` values of a tree, the neighbours are not
+all of them. Such crowds that are still in several components are then compared whole: cut into
+blocks, each with each in tasks of their own, which hold the whole sets and confirm on the spot.
+Blocks of one component are not compared, so a crowd that the rounds joined costs next to nothing.
+
 At a Jaccard index of 0.8 two classes share three values at the top of one of 16 trees with a
 probability of 0.99999; signatures that estimate less than 0.65 are no candidates (0.00001 of the
 pairs at 0.8). The recall against all pairs is measured by the tests.
@@ -37,12 +42,12 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
 from .simhash import components, one_of_each
-from .support import discard, documents, fresh_name, stash, tidy
+from .support import discard, documents, fresh_name, give_back, stash, tidy
 
 VALUES, TREES = 128, 16
 ROUNDS = [(0, True), (1, True), (0, False), (1, False)]  # even or odd trees; whether candidates that connect suffice
@@ -50,6 +55,7 @@ TURN = VALUES // TREES
 MIN_DEPTH, WINDOW = 3, 24
 SURE = 0.9  # signatures alike in so many values: such pairs link, near enough to certain
 PART_ROWS = 40_000  # rows of a tree's part
+BLOCK_HASHES, ROW_HASHES = 1 << 19, 1 << 9  # of a crowd's block (4 MB), each row counted as so many at least
 FEW = 2_000_000  # ids that a broadcast may hold: 16 MB
 SETS_A_BATCH = 256
 
@@ -296,22 +302,105 @@ def _sets(shingle: int):
     return tidy(run)
 
 
-def confirmed(pairs: DataFrame, rows: DataFrame, slim: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs whose whole sets are alike enough. rows: (rid, key, th), th being the XXH64 of the text in ``slim``; the
-    sets are larger than the texts, so they are made again for the texts of candidates rather than kept for all."""
-    needed = stash(pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct().join(rows.select("rid", "key", "th"), "rid"))
+def _sets_of(rids: DataFrame, rows: DataFrame, slim: DataFrame, shingle: int) -> DataFrame:
+    """(rid, hashes) of distinct ``rids``. rows: (rid, key, th), th being the XXH64 of the text in ``slim``; the sets
+    are larger than the texts, so they are made again for the texts of candidates rather than kept for all."""
+    needed = stash(rids.join(rows.select("rid", "key", "th"), "rid"))
     hashed = needed.select("th").distinct()
     hashed = F.broadcast(hashed) if needed.count() <= FEW else hashed  # else both sides are shuffled
-    with _batches_of(pairs.sparkSession, SETS_A_BATCH):
+    with _batches_of(rids.sparkSession, SETS_A_BATCH):
         texts = slim.withColumn("th", F.xxhash64("text")).join(hashed, "th", "left_semi").select("text")
         made = texts.mapInArrow(_sets(shingle), "key binary, hashes binary").groupBy("key").agg(F.first("hashes").alias("hashes"))
         sets = stash(made.join(needed.select("rid", "key"), "key").select("rid", "hashes"))
+    discard(needed)
+    return sets
+
+
+def confirmed(pairs: DataFrame, rows: DataFrame, slim: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs whose whole sets are alike enough."""
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct(), rows, slim, shingle)
+    with _batches_of(pairs.sparkSession, SETS_A_BATCH):
         a, b = (sets.select(F.col("rid").alias(s), F.col("hashes").alias(f"hashes_{s}")) for s in "ab")
         out = stash(pairs.join(a, "a").join(b, "b").select("a", "b", "hashes_a", "hashes_b").mapInArrow(_confirm(similarity), "a long, b long"))
-    discard(needed, sets)
+    discard(sets)
     return out
 
 
+def _crowd(similarity: float):
+    """Confirmed links between two blocks of a crowd, or inside one, as many as join what they connect."""
+    allowed = _allowed(similarity)
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        tree, i, j = key[0].as_py(), key[2].as_py(), key[3].as_py()
+        table = table.combine_chunks()
+        rid, n, component, block = (table.column(k).to_numpy() for k in ("rid", "n", "component", "block"))
+        sig = bw.raw_texts(table.column("signature"))[0].view(np.uint16).reshape(len(rid), VALUES)
+        buffer, offsets = bw.raw_texts(table.column("hashes"))
+        sets = [buffer[x:y].view(np.uint64) for x, y in zip(offsets.tolist(), offsets[1:].tolist())]
+        tops = [sig[:, (t * TURN + np.arange(MIN_DEPTH)) % VALUES] for t in range(tree)]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        label, root = np.unique(component, return_inverse=True)[1].tolist(), {}
+
+        def find(x: int) -> int:
+            while (up := root.get(x, x)) != x:
+                root[x] = x = root.get(up, up)
+            return x
+
+        pairs = []
+        for x in left.tolist():
+            y = right[right > x] if i == j else right
+            y = y[component[y] != component[x]]
+            y = y[np.minimum(n[y], n[x]) >= similarity * np.maximum(n[y], n[x]) - 1e-9]
+            alike = (sig[y] == sig[x]).mean(1) if len(y) else np.zeros(0)
+            y, alike = y[alike >= allowed], alike[alike >= allowed]
+            for top in tops:  # what shares an earlier tree's top is compared there
+                again = (top[y] == top[x]).all(1)
+                y, alike = y[~again], alike[~again]
+            pairs.append((np.full(len(y), x), y, alike))
+        a, b, alike = (np.concatenate([p[k] for p in pairs] or [np.zeros(0, int)]) for k in range(3))
+        order = np.argsort(-alike, kind="stable")
+        took = []
+        for x, y in zip(a[order].tolist(), b[order].tolist()):
+            u, v = find(label[x]), find(label[y])
+            if u != v:
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if both >= similarity * (len(sets[x]) + len(sets[y]) - both) - 1e-9:
+                    root[max(u, v)] = min(u, v)
+                    took.append((x, y))
+        ends = rid[np.array(took, int).reshape(-1, 2)]
+        give_back()
+        return pa.table({"a": ends.min(1), "b": ends.max(1)})
+
+    return run
+
+
+def crowded(classes: DataFrame, rows: DataFrame, slim: DataFrame, shingle: int, similarity: float) -> DataFrame | None:
+    """Confirmed links, as many as connect, in the crowds that classes (rid, n, component, signature) of several
+    components make: more than ``WINDOW`` neighbours with one top of a tree. None if there are no such crowds."""
+    tops = F.transform(F.array(*map(F.lit, range(TREES))), lambda t: F.struct(t.alias("tree"), F.substring("signature", t * 2 * TURN + 1, F.lit(2 * MIN_DEPTH)).alias("top")))
+    tops = classes.select("rid", "n", "component", F.explode(tops).alias("t")).select("t.*", "rid", "n", "component")
+    where = ["tree", "top"]
+    crowds = tops.groupBy(*where).agg(F.count("*").alias("many"), F.min("component").alias("low"), F.max("component").alias("high"))
+    crowds = stash(crowds.where((F.col("many") > WINDOW + 1) & (F.col("low") < F.col("high"))).select(*where))
+    if crowds.isEmpty():
+        discard(crowds)
+        return None
+    filled = F.sum(F.greatest("n", F.lit(ROW_HASHES))).over(Window.partitionBy(*where).orderBy("component", "rid"))
+    members = stash(tops.join(crowds, where).withColumn("block", F.floor((filled - 1) / BLOCK_HASHES)))
+    blocks = stash(members.groupBy(*where, "block").agg(F.min("component").alias("low"), F.max("component").alias("high")))
+    i, j = (blocks.select(*where, F.col("block").alias(s), F.col("low").alias(f"low_{s}"), F.col("high").alias(f"high_{s}")) for s in "ij")
+    meet = i.join(j, where).where((F.col("i") <= F.col("j")) & (F.least("low_i", "low_j") < F.greatest("high_i", "high_j")))
+    meet = stash(meet.select(*where, "i", "j"))
+    sides = meet.select(*where, "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    asked = stash(members.join(sides, [*where, "block"]).drop("n", "component"))
+    sets = _sets_of(asked.select("rid").distinct(), rows, slim, shingle)
+    with _batches_of(classes.sparkSession, SETS_A_BATCH):
+        whole = asked.join(classes, "rid").join(sets, "rid")
+        found = stash(whole.groupBy(*where, "i", "j").applyInArrow(_crowd(similarity), "a long, b long"))
+    discard(crowds, members, blocks, meet, asked, sets)
+    return found
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id (the smallest id reachable by links) and kept."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -323,14 +412,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, similarity: float = 0.8,
     keys = stash(keys)  # the first row of a class in the table is the first in its task, which holds the signature
     classes = stash(rows.select("rid", "n", "signature").join(keys.select("rid"), "rid"))
     links, roots = [], None
+
+    def parted() -> DataFrame:
+        if roots is None:
+            return classes.withColumn("component", F.col("rid"))
+        return classes.join(roots.withColumnRenamed("node", "rid"), "rid", "left").select("rid", "n", "signature", F.coalesce("root", "rid").alias("component"))
+
     for first, connect in ROUNDS:
-        apart = classes.withColumn("component", F.col("rid"))
-        if roots is not None:
-            apart = classes.join(roots.withColumnRenamed("node", "rid"), "rid", "left").select("rid", "n", "signature", F.coalesce("root", "rid").alias("component"))
-        pairs = candidates(apart, range(first, TREES, 2), similarity, connect)
+        pairs = candidates(parted(), range(first, TREES, 2), similarity, connect)
         links.append(confirmed(pairs, rows, slim, shingle, similarity))
         discard(pairs, *([] if roots is None else [roots]))
         roots = stash(components(functools.reduce(DataFrame.union, links)))
+    more = crowded(parted(), rows, slim, shingle, similarity)
+    if more is not None:
+        links.append(more)
+        discard(roots)
+        roots = stash(components(functools.reduce(DataFrame.union, links)))
     whole, rows = rows, stash(rows.select("id", "rid", "n", "key"))  # what follows needs no signatures
     discard(whole, classes, *links)
     own = keys.join(roots.withColumnRenamed("node", "rid"), "rid", "left").select("key", "rid", "least", F.coalesce("root", "rid").alias("root"))

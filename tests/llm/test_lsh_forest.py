@@ -130,3 +130,28 @@ def test_sets_are_not_left_behind(spark, docs):
     assert lsh_forest.near_duplicates(docs).count() == docs.count()
     left = [spark.read.parquet(f"file://{t}").columns for t in set(folder.glob("table-*")) - before]
     assert left and not [c for c in left if {"hashes", "signature"} & set(c)]
+
+
+def star(words=300, changes=8, near=900, seed=11):
+    """A text and near copies of it at 0.805 that are unlike each other (0.65): each is linked to the one text alone."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(words)]
+    rows = [(0, " ".join(base))]
+    for k in range(near):
+        t = list(base)
+        for at in rng.sample(range(4, words - 4, 4), changes):
+            t[at] = word()
+        rows.append((k + 1, " ".join(t)))
+    return rows
+
+
+def test_near_copies_in_a_crowd_are_found(spark, monkeypatch):
+    """Far more near copies of one text than there are neighbours in all trees, in one block of a crowd or in many."""
+    rows = star()
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want, links, _ = brute(rows)
+    assert len(links) == 900 and {r[2] for r in want} == {0}
+    assert answers(lsh_forest.near_duplicates(table)) == sorted(want, key=repr)
+    monkeypatch.setattr(lsh_forest, "BLOCK_HASHES", 50 * lsh_forest.ROW_HASHES)
+    assert answers(lsh_forest.near_duplicates(table)) == sorted(want, key=repr)
