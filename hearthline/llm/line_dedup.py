@@ -66,7 +66,7 @@ def _suspects(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """Each distinct line that shares all outside a chunk with another: h1, h2, first place, line, n, those outsides."""
     cells = lines.select("h1", "h2", F.explode("outsides").alias("outside"))
     shared = cells.groupBy("outside").agg(_differ("h1", "h2").alias("many")).where("many").select("outside")
-    near = cells.join(shared, "outside").groupBy("h1", "h2").agg(F.collect_set("outside").alias("outsides"))
+    near = cells.join(shared.hint("merge"), "outside").groupBy("h1", "h2").agg(F.collect_set("outside").alias("outsides"))
     firsts = lines.where(F.size("outsides") > 0).groupBy("h1", "h2").agg(F.min("at").alias("first"))
     asked = stash(near.join(firsts, ["h1", "h2"]))
     by_doc = asked.groupBy("first.id", "first.th").agg(F.collect_list(F.struct("h1", "h2", "first", "outsides")).alias("asked"))
@@ -90,7 +90,7 @@ def _near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     roles = F.explode(F.array(F.struct(F.xxhash64("outside", F.lit("equal"), "i", "rest").alias("key"), F.lit("equal").alias("role")), F.struct(F.xxhash64("outside", F.lit("longer"), "rest").alias("key"), F.lit("long").alias("role"))))
     variants = short.union(gaps.select(roles.alias("v"), "h1", "h2").select("v.key", "v.role", "h1", "h2"))
     meeting = variants.groupBy("key").agg(_differ("h1", "h2").alias("many")).where("many").select("key")
-    met = stash(variants.join(meeting, "key").distinct())
+    met = stash(variants.join(meeting.hint("merge"), "key").distinct())  # variants are sized as if nothing were exploded, and would be broadcast
     meeting = met.join(suspects.select("h1", "h2", "first"), ["h1", "h2"])
     least = meeting.groupBy("key").agg(F.min("first").alias("least"), F.min(F.when(F.col("role") == "short", F.col("first"))).alias("short"), F.min(F.when(F.col("role") == "long", F.col("first"))).alias("long"))
     keeper = F.when(F.col("role") == "equal", F.col("least")).when(F.col("role") == "long", F.col("short")).otherwise(F.col("long"))

@@ -392,10 +392,10 @@ def crowded(classes: DataFrame, rows: DataFrame, slim: DataFrame, shingle: int,
     meet = i.join(j, where).where((F.col("i") <= F.col("j")) & (F.least("low_i", "low_j") < F.greatest("high_i", "high_j")))
     meet = stash(meet.select(*where, "i", "j"))
     sides = meet.select(*where, "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    asked = stash(members.join(sides, [*where, "block"]).drop("n", "component"))
+    asked = stash(members.join(sides.hint("merge"), [*where, "block"]).drop("n", "component"))
     sets = _sets_of(asked.select("rid").distinct(), rows, slim, shingle)
     with _batches_of(classes.sparkSession, SETS_A_BATCH):
-        whole = asked.join(classes, "rid").join(sets, "rid")
+        whole = asked.hint("merge").join(classes, "rid").join(sets, "rid")  # asked is sized as compressed
         found = stash(whole.groupBy(*where, "i", "j").applyInArrow(_crowd(similarity), "a long, b long"))
     discard(crowds, members, blocks, meet, asked, sets)
     return found

@@ -77,7 +77,8 @@ def links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
     b = ring.select(*[F.col(c).alias(c if c in ("i", "half", "s0", "part") else f"{c}_b") for c in ring.columns])
     differ = lambda c: F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")))
     chain2 = differ("s1")
-    pairs = a.join(b, ["i", "half", "s0", "part"]).where(F.col("fp_a") < F.col("fp_b"))
+    pairs = a.join(b.hint("merge"), ["i", "half", "s0", "part"])  # Spark does not count what an explode adds: it would broadcast eight rows a fingerprint
+    pairs = pairs.where(F.col("fp_a") < F.col("fp_b"))
     pairs = pairs.where((chain2 <= 1) & (chain2 + differ("s2") <= 2) & (differ("fp") <= max_bits))
     return pairs.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).distinct()
 
@@ -161,7 +162,7 @@ def one_of_each(docs: DataFrame, texts: DataFrame, shingle: int, min_similarity:
     bodies = slim.select(F.xxhash64(text).alias("th"), "text")
     needed = pairs.select("th").union(pairs.select("kept_th")).distinct()
     bodies = stash(bodies.join(needed, "th", "left_semi").groupBy("th").agg(F.first(text).alias("text")))  # of equal texts one
-    both = pairs.join(bodies, "th").join(bodies.select(F.col("th").alias("kept_th"), F.col("text").alias("kept_text")), "kept_th")
+    both = pairs.join(bodies.hint("merge"), "th").join(bodies.select(F.col("th").alias("kept_th"), F.col("text").alias("kept_text")).hint("merge"), "kept_th")  # texts are sized as compressed
     gone = both.select("th", "text", "kept_text").mapInArrow(_similar(shingle, min_similarity), "th long")
     keep = stash(texts.join(gone, "th", "left_anti").select("th", "kept_id", "copies"))
     discard(texts, bodies)

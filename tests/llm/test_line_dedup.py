@@ -93,3 +93,16 @@ def test_query_equals_plain_sql(spark):
     con.execute("create view documents as select * from '/root/testdata/sf0.001/documents.parquet'")
     want = sorted(con.execute(line_dedup.ORACLE).fetchall())
     assert sorted(tuple(r) for r in line_dedup.query(spark, "/root/testdata/sf0.001").collect()) == want
+
+
+def test_exploded_variants_are_not_broadcast(docs, monkeypatch):
+    """Spark sizes a line's variants as one row: their join must not become a broadcast."""
+    plans, stash = {}, line_dedup.stash
+
+    def seen(df, *rest):
+        plans[tuple(df.columns)] = df._jdf.queryExecution().sparkPlan().toString()
+        return stash(df, *rest)
+
+    monkeypatch.setattr(line_dedup, "stash", seen)
+    assert line_dedup.dedup_lines(docs).count() == docs.count()
+    assert "Broadcast" not in plans["key", "role", "h1", "h2"]

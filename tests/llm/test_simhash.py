@@ -95,3 +95,9 @@ def test_one_of_each_group_stays(spark, docs, no_docs):
     assert got == survivors(more) and len(got) in (3, 4)
     assert simhash.keep_one_of_each_group(no_docs).count() == 0
     assert simhash.near_duplicates(no_docs).count() == 0
+
+
+def test_exploded_fingerprints_are_not_broadcast(spark):
+    """Spark sizes eight rows a fingerprint as one: the join of the ring must not become a broadcast."""
+    prints = spark.range(2000).selectExpr("id * 7919 as fp")
+    assert "Broadcast" not in simhash.links(prints)._jdf.queryExecution().sparkPlan().toString()
